@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantlake.llm.text import byte_column, flat, mix, segment_sums, window_hash
+from grantlake.llm.text import blocks, byte_column, flat, mix, segment_sums, window_hash
 
 TRAIN_ROWS = 8000
 MIN_WORDS = 20
@@ -63,6 +63,11 @@ def _repeated(hashes: np.ndarray, ids: np.ndarray, width: int) -> int:
 
 def statistics(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The five base counts (n x 5) and the features (n x 13) of a batch of texts."""
+    found = [_statistics(part) for part in blocks(texts)] or [_statistics([])]
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _statistics(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data, at = flat(texts)
     count = lambda flags: segment_sums(flags, at)
     space = SPACE[data]

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from grantlake.llm.decontam import decontaminate
+from grantlake.llm.neardup import near_duplicates
 from grantlake.llm.packing import pack
 from grantlake.llm.quality_rules import quality_rules
+from grantlake.llm.substring import repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_decontamination)}
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_decontamination, op5_substring_dedup, op6_minhash_near_dedup)}
 
 ORACLE: dict[str, str] = {}

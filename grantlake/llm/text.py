@@ -5,6 +5,8 @@ Texts are handled as UTF-8 bytes.  A null text counts as an empty one everywhere
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -24,6 +26,20 @@ def byte_column(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def blocks(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The texts in runs of about ``size`` bytes, so that work arrays stay small; a longer text is a run of its own."""
+    out: list[bytes] = []
+    held = 0
+    for text in texts:
+        out.append(text)
+        held += len(text)
+        if held >= size:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
+
+
 def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a batch in one array and the n + 1 offsets of the texts in it."""
     offsets = np.zeros(len(texts) + 1, np.int64)
