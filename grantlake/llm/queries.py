@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from grantlake.llm.cotrain import score_quality
 from grantlake.llm.decontam import decontaminate
+from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
 from grantlake.llm.packing import pack
 from grantlake.llm.quality_rules import quality_rules
 from grantlake.llm.substring import repeated_passages
+from grantlake.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -36,6 +43,26 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_decontamination, op5_substring_dedup, op6_minhash_near_dedup)}
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_packing,
+        op3_decontamination,
+        op4_toxicity,
+        op5_substring_dedup,
+        op6_minhash_near_dedup,
+        op7_licence_scan,
+        op8_quality_classifier,
+    )
+}
 
 ORACLE: dict[str, str] = {}
