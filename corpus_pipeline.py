@@ -1,24 +1,54 @@
-"""Corpus pipeline: stages over the documents table, each one an operator of grantlake.llm."""
+"""Corpus pipeline: five stages over the documents table, each one an operator of grantlake.llm.
+
+Every stage takes (spark, docs, sf_dir), where docs is what the stage before it kept, and returns a DataFrame; all but
+the last return the columns of documents.  The tables that a stage needs besides come from sf_dir.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from grantlake.llm.cotrain import drop_low_quality
 from grantlake.llm.decontam import drop_contaminated
+from grantlake.llm.neardup import drop_near_duplicates
 from grantlake.llm.packing import pack
+from grantlake.llm.substring import drop_repeated_passages
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier keeps."""
+    return drop_low_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has."""
+    return drop_repeated_passages(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents that aren't contaminated with benchmark passages."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of what is left."""
+    """The pieces of what is left, packed into sequences."""
     return pack(docs)
 
 
-STAGES = [("decontamination", decontamination), ("packing", packing)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+#: SQL can't express trained scores, digests of chunks and tokens; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

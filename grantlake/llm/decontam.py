@@ -221,7 +221,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, block_bytes: int =
     return joined.mapInArrow(finish, SCHEMA)
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``documents`` whose text isn't contaminated; all their columns stay."""
-    flagged = decontaminate(documents, benchmark).where("contaminated").select("doc_id").distinct()
-    return documents.join(flagged, "doc_id", "left_anti")
+    n, items = next(_blocks(benchmark, block_bytes))
+    if n > 1:
+        flagged = decontaminate(documents, benchmark, block_bytes).where("contaminated").select("doc_id").distinct()
+        return documents.join(flagged, "doc_id", "left_anti")
+    block, text = documents.sparkSession.sparkContext.broadcast(items), documents.columns.index("text")
+
+    def clean(batches):
+        index = Index(block.value)
+        for batch in batches:
+            found = [_found(index, t) for t in byte_column(batch.column(text))]
+            keep = [not s or not verdict(k, [x[:2] for x in s], [x[2] for x in s])[4] for k, s in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(clean, documents.schema)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grantlake.llm.cotrain import score_quality
 from grantlake.llm.decontam import decontaminate
+from grantlake.llm.language import identify
 from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
 from grantlake.llm.packing import pack
 from grantlake.llm.quality_rules import quality_rules
 from grantlake.llm.substring import repeated_passages
 from grantlake.llm.toxicity import toxicity
+from grantlake.llm.wrapper import extract
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -62,6 +72,8 @@ QUERIES = {
         op6_minhash_near_dedup,
         op7_licence_scan,
         op8_quality_classifier,
+        op9_html_extraction,
+        op10_language_id,
     )
 }
 
