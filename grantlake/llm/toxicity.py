@@ -29,6 +29,8 @@ CANDIDATES = 800
 PREFIXES = (4, 5, 6, 7, 8)
 DENSE = 1 / 150
 THRESHOLD = 0.3
+#: Most that a given label counts, in log-odds: one label in a dozen may be wrong.
+GIVEN = 2.5
 
 
 def held_out(doc_id: Column) -> Column:
@@ -142,7 +144,7 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 40) -> tupl
         precise = np.clip(np.log(p1 / p0), -4, 4)
         silent = np.log((1 - p1) / (1 - p0))
         odds = np.log(prior / (1 - prior)) + v[:, :m] @ (precise[:m] * weight)
-        odds += np.where(v[:, -2] > 0, 0, silent[-2]) + np.where(labels > 0, precise[-1], silent[-1])
+        odds += np.where(v[:, -2] > 0, 0, silent[-2]) + np.clip(np.where(labels > 0, precise[-1], silent[-1]), -GIVEN, GIVEN)
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         prior = min(max(post.mean(), 0.01), 0.5)
     return post, {"fires_in_1": p1, "fires_in_0": p0, "correlation": correlation, "weight": weight}
