@@ -23,9 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from grantlake.llm.shared import cut
+
 LEAST_PAGES = 4
 CONSTANT = 0.5
 MOST_CHILDREN = 64
+MOST_HOSTS = 100_000
+MODEL_BYTES = 32 << 20
+MOST_PARSED = 512
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -231,60 +236,90 @@ def main_text(root: Node, template: set[int]) -> str:
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
-def _votes(pages: DataFrame) -> DataFrame:
-    """(host, node, pages with the node, pages where its text is that of the model page) for sections of the model page."""
+class Models:
+    """Parsed model pages of a task, the latest ``MOST_PARSED`` hosts kept."""
 
-    def align(batches):
-        model_html, model, order = None, None, {}
-        for batch in batches:
-            out = ([], [], [])
-            for host, page, of in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if of != model_html:
-                    model_html, model = of, parse(of)
-                    order = {id(n): (i, digest(n)) for i, (n, _) in enumerate(sections(model))}
-                pairs: list[tuple[Node, Node]] = []
-                match(model, parse(page), pairs)
-                for m, n in pairs:
-                    number, text = order[id(m)]
-                    if number and n.text():
-                        out[0].append(host), out[1].append(number), out[2].append(int(digest(n) == text))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["host", "node", "same"])
+    def __init__(self):
+        self.parsed: dict[str, tuple[Node, dict[int, tuple[int, int]], list[Node]]] = {}
 
-    return pages.mapInArrow(align, "host string, node int, same long").groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
+    def get(self, host: str, page: str) -> tuple[Node, dict[int, tuple[int, int]], list[Node]]:
+        """(tree, id of each section -> its number and the hash of its text, sections)."""
+        if host not in self.parsed:
+            if len(self.parsed) >= MOST_PARSED:
+                self.parsed.clear()
+            root = parse(page)
+            every = [n for n, _ in sections(root)]
+            self.parsed[host] = root, {id(n): (i, digest(n)) for i, n in enumerate(every)}, every
+        return self.parsed[host]
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, constant: float = CONSTANT) -> DataFrame:
+def _align(batches, model_of) -> Iterator[pa.RecordBatch]:
+    """(host, node, same) of each section of a page's model that the page has."""
+    models = Models()
+    for batch in batches:
+        out: tuple[list, list, list] = ([], [], [])
+        for host, page, of in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), model_of(batch)):
+            if of is None:
+                continue
+            model, order, _ = models.get(host, of)
+            pairs: list[tuple[Node, Node]] = []
+            match(model, parse(page), pairs)
+            for m, n in pairs:
+                number, text = order[id(m)]
+                if number and n.text():
+                    out[0].append(host), out[1].append(number), out[2].append(int(digest(n) == text))
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["host", "node", "same"])
+
+
+def _read(batches, template_of) -> Iterator[pa.RecordBatch]:
+    """Main text of pages (host, html, page_id, url, ...), without what they share with their host's template."""
+    models = Models()
+    for batch in batches:
+        out = []
+        for host, page, (of, nodes) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), template_of(batch)):
+            root, template = parse(page), set()
+            if of is not None and nodes:
+                model, order, every = models.get(host, of)
+                fixed = {id(every[i]) for i in nodes}
+                pairs: list[tuple[Node, Node]] = []
+                match(model, root, pairs)
+                template = {id(n) for m, n in pairs if id(m) in fixed and digest(n) == order[id(m)][1]}
+            out.append(main_text(root, template) or main_text(root, set()))  # a page that is all template is its own content
+        yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, constant: float = CONSTANT, model_bytes: int = MODEL_BYTES) -> DataFrame:
     """One row per page row: page_id, url, main text and its length in code points.
 
     A null or empty page has the empty text.  Pages without a host in their url form a host of their own; a host with
     fewer than ``least_pages`` pages, or whose pages are all alike, has no template, and the declared parts alone are
     left out.  Repeated rows are read each.  Columns other than page_id, url and html are left out.
+
+    Pages aren't shuffled while the model pages of all hosts are at most ``model_bytes``, which is measured first; beyond
+    that, pages meet their host's model in a join, whose hot hosts Spark may split.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     ).withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")))
-    first = rows.groupBy("host").agg(F.min("page_id").alias("page_id"), F.count_distinct(F.xxhash64("html")).alias("pages")).where(F.col("pages") >= least_pages)
-    models = rows.join(first.select("host", "page_id"), ["host", "page_id"], "left_semi").groupBy("host").agg(F.min("html").alias("model"))
-    votes = _votes(rows.select("host", "html").join(models, "host").select("host", "html", "model"))
-    fixed = votes.where((F.col("n") >= least_pages) & (F.col("same") >= F.greatest(F.lit(least_pages), F.col("n") * constant)))
-    templates = models.join(fixed.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("nodes")), "host")
-    full = rows.join(templates, "host", "left").select("page_id", "url", "html", "model", "nodes")
-
-    def read(batches):
-        model_html, model, texts = None, None, {}
-        for batch in batches:
-            out = []
-            for page, of, nodes in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                root, template = parse(page), set()
-                if of:
-                    if of != model_html:
-                        model_html, model = of, parse(of)
-                        every = sections(model)
-                        texts = {id(every[i][0]): digest(every[i][0]) for i in nodes}
-                    pairs: list[tuple[Node, Node]] = []
-                    match(model, root, pairs)
-                    template = {id(n) for m, n in pairs if id(m) in texts and digest(n) == texts[id(m)]}
-                out.append(main_text(root, template) or main_text(root, set()))  # a page that is all template is its own content
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    return full.mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    # one row per host, in the shared folder: its model page's id
+    first = cut(rows.groupBy("host").agg(F.min("page_id").alias("page_id"), F.count_distinct(F.xxhash64("html")).alias("n")).where(F.col("n") >= least_pages).select("host", "page_id"))
+    few = first.count() <= MOST_HOSTS
+    chosen = rows.join(F.broadcast(first) if few else first, ["host", "page_id"], "left_semi")
+    models = cut(chosen.groupBy("host").agg(F.min("html").alias("model")))
+    size = models.agg(F.sum(F.octet_length("model") + F.octet_length("host"))).first()[0] or 0
+    count = lambda votes: votes.groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
+    most = (F.col("n") >= least_pages) & (F.col("same") >= F.greatest(F.lit(least_pages), F.col("n") * constant))
+    listed = lambda votes: count(votes).where(most).groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    vote, text = "host string, node int, same long", "page_id long, url string, text string, n_chars long"
+    rows = rows.select("host", "html", "page_id", "url")
+
+    if few and size <= model_bytes:  # the models go to the tasks, the pages stay where they are
+        held = pages.sparkSession.sparkContext.broadcast({r.host: r.model for r in models.collect()})
+        votes = rows.mapInArrow(lambda b: _align(b, lambda batch: [held.value.get(h) for h in batch.column(0).to_pylist()]), vote)
+        nodes = pages.sparkSession.sparkContext.broadcast({r.host: list(r.nodes) for r in listed(votes).collect()})  # at most the models' nodes
+        return rows.mapInArrow(lambda b: _read(b, lambda batch: [(held.value.get(h), nodes.value.get(h)) for h in batch.column(0).to_pylist()]), text)
+
+    votes = rows.join(models, "host").select("host", "html", "model").mapInArrow(lambda b: _align(b, lambda batch: batch.column(2).to_pylist()), vote)
+    templates = models.join(listed(votes), "host")
+    full = rows.join(templates, "host", "left").select("host", "html", "page_id", "url", "model", "nodes")
+    return full.mapInArrow(lambda b: _read(b, lambda batch: zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())), text)
