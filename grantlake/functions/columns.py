@@ -54,13 +54,13 @@ def looked_up(c: Column, codes: dict[str, str]) -> Column:
 def iso_date(c: Column) -> Column:
     """Date of the first ten characters; null if they are none."""
     head = F.substring(c, 1, 10)
-    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, F.lit("yyyy-MM-dd")))
+    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, "yyyy-MM-dd"))
 
 
 def german_date(c: Column) -> Column:
     """Date of a text that begins with DD.MM.YYYY."""
     head = F.regexp_extract(F.trim(c), r"^\d{2}\.\d{2}\.\d{4}", 0)
-    return F.when(head != "", F.try_to_date(head, F.lit("dd.MM.yyyy")))
+    return F.when(head != "", F.try_to_date(head, "dd.MM.yyyy"))
 
 
 def german_amount(c: Column) -> Column:

@@ -14,6 +14,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CUTOFF = 90
 PRIORITY = ("cordis_bulk", "gepris")
@@ -26,12 +27,12 @@ def normalise(name: str) -> str:
     return " ".join(re.sub(r"[^\w\s]", " ", plain.lower()).split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalised(names: pd.Series) -> pd.Series:
     return names.map(lambda n: normalise(n) if n is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def sorted_tokens(names: pd.Series) -> pd.Series:
     return names.map(lambda n: " ".join(sorted(n.split())) if n is not None else None)
 
@@ -49,7 +50,7 @@ def common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([200.0 * common_subsequence(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)])
 

@@ -6,24 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GRANT = T.StructType.fromDDL(
+TYPES = {
+    "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def table(columns: str) -> T.StructType:
+    """A schema of plain columns, 'name type, name type'; needs no session."""
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
+GRANT = table(
     "id long, funder_id long, instrument_id long, call_id long, project_title string, project_id string, acronym string, abstract string, pi_name string, "
     "pi_institution string, pi_country string, start_date date, end_date date, total_funding double, eu_contribution double, currency string, status string, "
     "partners string, topic_keywords array<string>, source string, source_id string, dedup_of long, total_funding_estimated double, "
     "funding_estimate_method string, is_aggregate boolean, ror_id string, total_funding_eur double, updated_at timestamp"
 )
-CALL = T.StructType.fromDDL(
+CALL = table(
     "id long, instrument_id long, call_identifier string, title string, description string, url string, opening_date date, deadline date, status string, "
     "budget_total double, currency string, topic_keywords array<string>, framework_programme string, programme_division string, sme_eligible boolean, "
     "source string, source_id string, raw_data string, updated_at timestamp"
 )
-FUNDER = T.StructType.fromDDL("id long, name string, short_name string, country string, type string, website string")
-APPLICATION = T.StructType.fromDDL(
+FUNDER = table("id long, name string, short_name string, country string, type string, website string")
+APPLICATION = table(
     "id long, domain string, subdomain string, name string, description string, quantum_approaches array<string>, advantage_type string, advantage_status string, "
     "classical_baseline string, quantum_complexity string, maturity string, year_first_proposed int, seminal_reference string, notes string"
 )
-DATA_SOURCE = T.StructType.fromDDL("id string, name string, last_fetch timestamp, last_success timestamp, records_count long, status string, error_message string")
-FUNDING_LINK = T.StructType.fromDDL("application_id long, query_pattern string, grant_count long, total_funding_eur double, top_funders string, last_computed timestamp")
+DATA_SOURCE = table("id string, name string, last_fetch timestamp, last_success timestamp, records_count long, status string, error_message string")
+FUNDING_LINK = table("application_id long, query_pattern string, grant_count long, total_funding_eur double, top_funders string, last_computed timestamp")
 
 #: Keys that rows are merged on, and what a later load may overwrite.
 GRANT_KEY = ["source", "source_id"]

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grantlake.functions.columns import iso_date, squashed, status_by_dates
 
-PROJECT = T.StructType.fromDDL(
+PROJECT = (
     "id string, code string, acronym string, title string, startDate string, endDate string, keywords string, subjects array<string>, summary string, "
     "fundings array<struct<shortName: string, name: string, jurisdiction: string, fundingStream: struct<id: string, description: string>>>, "
     "granted struct<currency: string, totalCost: double, fundedAmount: double>"

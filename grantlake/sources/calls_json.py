@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grantlake.functions.columns import epoch_ms_date, looked_up
 
-ENTRY = T.StructType.fromDDL(
-    "type int, ccm2Id long, identifier string, title string, callIdentifier string, callTitle string, publicationDateLong long, plannedOpeningDateLong long, deadlineDatesLong array<long>, "
-    "frameworkProgramme struct<id: int, abbreviation: string, description: string>, status struct<id: int, abbreviation: string, description: string>, tags array<string>, sme boolean"
+ENTRY = (
+    "type: int, ccm2Id: long, identifier: string, title: string, callIdentifier: string, callTitle: string, publicationDateLong: long, plannedOpeningDateLong: long, deadlineDatesLong: array<long>, "
+    "frameworkProgramme: struct<id: int, abbreviation: string, description: string>, status: struct<id: int, abbreviation: string, description: string>, tags: array<string>, sme: boolean"
 )
-FILE = T.StructType([T.StructField("fundingData", T.StructType([T.StructField("GrantTenderObj", T.ArrayType(ENTRY))]))])
+FILE = f"fundingData struct<GrantTenderObj: array<struct<{ENTRY}>>>"
 
 #: States of the list, and programmes that are looked at.
 STATES = {"open": "open", "closed": "closed", "forthcoming": "forthcoming", "under evaluation": "under_evaluation"}
