@@ -8,9 +8,11 @@ agrees with the probability of their weighted Jaccard similarity.  Only points b
 ``REGISTERS`` * log ``REGISTERS`` a text; if a register stays empty the limit is doubled.
 
 Copies (same words in the same order) are folded first.  Signatures are cut into bands; in each bucket all texts are
-compared with its smallest id, by exact overlap of the bags.  Buckets whose members aren't all joined by then are
-worked off completely: pairs of members of different classes, sizes permitting (a similarity of s needs sizes within
-s), that were not yet compared.  Classes are connected components; labels spread by joins and pointer jumping.
+compared with the one that shares most buckets, by exact overlap of the bags.  Buckets whose members aren't all joined
+by then are worked off completely, but for pairs that can't be similar: a similarity of s needs an overlap of
+s / (1 + s) of both sizes, and shingles that no other open text has are in no overlap.  What is left of such a bucket
+is compared across classes; in large buckets, shingles that few texts have are joined by themselves first, which shows
+that most of the texts at the edge of a large group can't be linked to it.  Classes are connected components; labels spread by joins and pointer jumping.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ from grantlake.llm.text import byte_column, mix, window_hash, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 30
-ROWS = 5
+BANDS = 20
+ROWS = 4
 SEED = 0x5DEECE66D
+HOT = 64
+RARE = 8
 
 
 class WordHashes(dict):
@@ -171,8 +175,65 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("v", "l")
 
 
-def _similar_size(a: Column, b: Column, similarity: float) -> Column:
-    return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity)
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(doc_id, shingle, n): the bags of texts as rows."""
+
+    def emit(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            bags = [bag(words(t), hashes) for t in byte_column(batch.column(1))]
+            n = np.array([len(items) for items, _ in bags], np.int64)
+            columns = [np.repeat(batch.column(0).to_numpy(), n), *(np.concatenate([x[k] for x in bags] or [[]]).astype(np.uint64).view(np.int64) for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "shingle", "n"])
+
+    return texts.select("doc_id", "text").mapInArrow(emit, "doc_id long, shingle long, n long")
+
+
+def unshared(texts: DataFrame) -> DataFrame:
+    """(doc_id, alone): how many shingles of each text, with repeats, no other of the texts has; no row if there are none."""
+    rows = _shingles(texts)
+    once = rows.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"), F.max("n").alias("n")).where("doc_id = other")
+    return once.groupBy("doc_id").agg(F.sum("n").alias("alone"))
+
+
+def _may_reach(own: Column, size: Column, other: Column, similarity: float) -> Column:
+    """Whether an overlap of ``own`` at most is enough for bags of these sizes; a hair is left for rounding."""
+    return own >= (size + other) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    """The pairs (a, b) that weren't compared in either order."""
+    return pairs.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+
+
+def _without_rare(able: DataFrame, texts: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(rows that may still pair by what is common, other pairs) for the rows (band, doc_id, size, label, own).
+
+    In bands of ``HOT`` members or more, shingles that at most ``RARE`` of these texts have are looked at by
+    themselves: texts that share one are paired here, at most RARE squared for each, and for all other pairs such
+    shingles are in no overlap, which rules out most of what only looks like the rest of a large group.
+    """
+    large = able.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
+    hot = able.join(large, "band").select("doc_id", "label").distinct()
+    rows = _shingles(texts.join(hot.select("doc_id"), "doc_id", "left_semi"))
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    rare = cut(rows.join(counts, "shingle"))
+    sums = rare.groupBy("doc_id").agg(F.sum("n").alias("rare"))
+    of = rare.where("c > 1").join(hot, "doc_id").groupBy("shingle").agg(F.collect_set(F.struct("doc_id", "label")).alias("d"))
+    some = of.select(F.explode("d").alias("x"), "d").select("x", F.explode("d").alias("y")).where("x.doc_id > y.doc_id AND x.label <> y.label")
+    few = some.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    joined = able.join(large, "band", "left").join(sums, "doc_id", "left")
+    common = F.when(F.col("members").isNotNull(), F.least("own", F.col("size") - F.coalesce("rare", F.lit(0)))).otherwise(F.col("own"))
+    least = able.groupBy("band").agg(F.min("size").alias("least"))
+    left = joined.withColumn("own", common).join(least, "band")
+    left = left.where(_may_reach(F.col("own"), F.col("size"), F.greatest(F.col("size") * F.lit(similarity), "least"), similarity))
+    return cut(_mixed(left.select("band", "doc_id", "size", "label", "own"))), few
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The rows (band, label, ...) of bands with more than one label."""
+    bands = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
+    return placed.join(bands, "band", "left_semi")
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -185,29 +246,36 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     signed = cut(signatures(docs, bands, rows))
     copies = signed.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     heads = signed.join(copies.select(F.col("key"), F.col("first").alias("doc_id")), ["key", "doc_id"], "left_semi")
-    banded = cut(heads.select("doc_id", "size", F.explode("bands").alias("band")).groupBy("band", "doc_id").agg(F.max("size").alias("size")))
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z")).where("b < z").select("band", "b")
-    full = banded.join(buckets, "band")  # only members of buckets with two texts or more
-    sizes = banded.select(F.col("doc_id").alias("b"), F.col("size").alias("size_b")).distinct()
-    stars = full.where("doc_id <> b").select(F.col("doc_id").alias("a"), "b", "size").distinct()
-    tested = cut(stars.join(sizes, "b").where(_similar_size(F.col("size"), F.col("size_b"), similarity)).select("a", "b"))
-    ids = full.select("doc_id").distinct()
-    texts = cut(docs.join(ids, "doc_id", "left_semi"))
+    banded = heads.select("doc_id", "size", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("band", "n")
+    full = cut(banded.join(buckets, "band"))  # only members of buckets with two texts or more
+    middle = full.groupBy("doc_id", "size").agg(F.sum("n").alias("shared"))
+    best = full.join(middle.select("doc_id", "shared"), "doc_id").groupBy("band").agg(F.max(F.struct("shared", -F.col("doc_id"), "size")).alias("best"))
+    centres = best.select("band", (-F.col("best.col2")).alias("b"), F.col("best.size").alias("size_b"))
+    stars = full.join(centres, "band").where("doc_id <> b").where(_may_reach(F.least("size", "size_b"), F.col("size"), F.col("size_b"), similarity))
+    tested = cut(stars.select(F.col("doc_id").alias("a"), "b").distinct())
+    texts = cut(docs.join(middle.select("doc_id"), "doc_id", "left_semi"))
     edges = cut(verified(tested, texts, similarity))
     labels = components(edges)
 
     placed = full.select("band", "doc_id", "size").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    mixed = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-    open_ = cut(placed.join(mixed, "band", "left_semi"))
-    one, other = (open_.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "size", "label"))) for s in "ab")
+    open_ = cut(_mixed(placed))
+    alone = unshared(texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi"))
+    least = open_.groupBy("band").agg(F.min("size").alias("least"))
+    able = open_.join(alone, "doc_id", "left").withColumn("own", F.col("size") - F.coalesce("alone", F.lit(0))).join(least, "band")
+    able = able.where(_may_reach(F.col("own"), F.col("size"), F.greatest(F.col("size") * F.lit(similarity), "least"), similarity))
+    able = cut(_mixed(able.select("band", "doc_id", "size", "label", "own")))
+    able, few = _without_rare(able, texts, similarity)
+    one, other = (able.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "size", "label", "own"))) for s in "ab")
     rest = (
         one.join(other, "band")
-        .where((F.col("label_a") > F.col("label_b")) & _similar_size(F.col("size_a"), F.col("size_b"), similarity))
-        .select(F.greatest("doc_id_a", "doc_id_b").alias("a"), F.least("doc_id_a", "doc_id_b").alias("b"))
+        .where((F.col("label_a") > F.col("label_b")) & _may_reach(F.least("own_a", "own_b"), F.col("size_a"), F.col("size_b"), similarity))
+        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+        .unionByName(few)
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
-        .join(tested, ["a", "b"], "left_anti")
     )
-    late = cut(verified(rest, texts, similarity))
+    late = cut(verified(_untested(rest, tested), texts, similarity))
     if late.limit(1).count():
         labels = components(edges.unionByName(late))
     classes = copies.join(labels.select(F.col("doc_id").alias("first"), "label"), "first", "left").select("key", F.coalesce("label", "first").alias("class_id"))
