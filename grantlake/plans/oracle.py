@@ -19,7 +19,7 @@ def rows(values) -> str:
 
 def _names(column: str) -> str:
     for title in ("Professorin Dr. ", "Professor Dr. ", "Privatdozentin Dr. ", "Privatdozent Dr. ", "Professorin ", "Professor ", "Privatdozentin ", "Privatdozent ", "Dr. "):
-        column = f"CASE WHEN starts_with({column}, '{title}') THEN substr({column}, {len(title) + 1}) ELSE {column} END"
+        column = f"regexp_replace({column}, '^{title.replace('.', chr(92) + '.')}', '')"
     return rf"trim(regexp_replace(regexp_replace(regexp_replace({column}, ',\s*Ph\.D\.\s*$', ''), '\s*\([†+]\)\s*$', ''), '\s+', ' ', 'g'))"
 
 
