@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "1998-01-01"
-INSTITUTION = "%NATION_7%"
+INSTITUTION = "%NATION_11%"
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
