@@ -1,11 +1,13 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with one of them, the host's model page (smallest page_id), by simple tree matching: two
-trees match if their roots have the same tag, and the best order-keeping pairing of their children is added up.  Over
-all pages of a host Spark counts, for each node of the model page, how many pages have the node and in how many its
-text is the same.  Nodes that are constant on most of at least ``LEAST_PAGES`` pages are the template; slots whose
-text varies are content.  A page then loses what it shares with the template, and what markup itself declares to be
-no article (menus, forms, adverts, ...), and keeps the text of the rest.
+Nodes of a page are compared with those of all other pages of its host in three ways: with the nodes at the same path of
+tags on all pages of the host, with those on the pages of the same layout (the set of paths that have text), and, by
+simple tree matching, with the node that they are aligned with on the host's model page (a page of its commonest layout
+that has text).  Two trees match if their roots have the same tag, and the best order-keeping pairing of their children
+is added up.  Spark counts how many different pages have such a node and how many of them have the same text there,
+whatever that text is.  Texts that are constant on most of at least ``LEAST_PAGES`` pages are the template; what varies
+is content.  A page then loses what it shares with the template, and what markup itself declares to be no article
+(menus, forms, adverts, ...), and keeps the text of the rest.
 
 Runs of paragraphs vary in number from page to page, so the alignment is of blocks: the tree that is matched has the
 page's sections, lists and headings, and a run of text blocks inside a section is one node, whose text is compared.
@@ -15,9 +17,11 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +31,12 @@ from grantlake.llm.shared import cut
 
 LEAST_PAGES = 4
 CONSTANT = 0.5
-MOST_CHILDREN = 64
 MOST_HOSTS = 100_000
 MODEL_BYTES = 32 << 20
 MOST_PARSED = 512
+#: Slots that aren't of one layout: paths of a whole host, and nodes of its model page.
+HOST_WIDE, MODEL = 0, 1
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000))  # trees are as deep as their pages
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -163,38 +169,98 @@ def sections(root: Node) -> list[tuple[Node, int]]:
     return out
 
 
+class Shapes:
+    """Numbers of the shapes of trees, and sizes of the largest matches of two shapes."""
+
+    def __init__(self):
+        self.known: dict[tuple[str, tuple[int, ...]], int] = {}
+        self.shapes: list[tuple[str, tuple[int, ...]]] = []
+        self.counts: list[int] = []
+        self.of: dict[int, int] = {}
+        self.sizes: dict[tuple[int, int], int] = {}
+
+    def add(self, node: Node) -> int:
+        parts = tuple([self.add(c) for c in _sections_of(node)])
+        key = node.tag, parts
+        if key not in self.known:
+            self.known[key] = len(self.shapes)
+            self.shapes.append(key)
+            self.counts.append(1 + sum([self.counts[c] for c in parts]))
+        self.of[id(node)] = self.known[key]
+        return self.known[key]
+
+    def alike(self, one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+        """Whether two lists of children have the same tags."""
+        return len(one) == len(other) and all([self.shapes[x][0] == self.shapes[y][0] for x, y in zip(one, other)])
+
+    def size(self, x: int, y: int) -> int:
+        if x == y:
+            return self.counts[x]
+        (tag, one), (other_tag, other) = self.shapes[x], self.shapes[y]
+        if tag != other_tag:
+            return 0
+        if (x, y) not in self.sizes:
+            if self.alike(one, other):
+                self.sizes[x, y] = 1 + sum([self.size(a, b) for a, b in zip(one, other)])
+            else:
+                self.sizes[x, y] = 1 + int(self.row(one, other)[-1])
+        return self.sizes[x, y]
+
+    def row(self, one: tuple[int, ...], other: tuple[int, ...]) -> np.ndarray:
+        """The largest match of one list with each head of the other."""
+        out = np.zeros(len(other) + 1, np.int64)
+        if not one or not other:
+            return out
+        kinds, of = np.unique(np.array(other), return_inverse=True)
+        for x in one:
+            sizes = np.array([self.size(x, y) for y in kinds.tolist()])[of]
+            out[1:] = np.maximum(out[1:], out[:-1] + sizes)
+            out = np.maximum.accumulate(out)
+        return out
+
+    def paired(self, one: tuple[int, ...], other: tuple[int, ...]) -> list[tuple[int, int]]:
+        """The places that a largest match pairs; divided in halves, so that memory is linear in both lists."""
+        if self.alike(one, other):  # the usual case: the same children
+            return [(i, i) for i in range(len(one))]
+        out, todo = [], [(0, len(one), 0, len(other))]
+        while todo:
+            a, b, c, d = todo.pop()
+            while a < b and c < d and one[a] == other[c]:  # no match is larger than that of equal ones
+                out.append((a, c))
+                a, c = a + 1, c + 1
+            while a < b and c < d and one[b - 1] == other[d - 1]:
+                b, d = b - 1, d - 1
+                out.append((b, d))
+            if a == b or c == d:
+                continue
+            if b - a == 1:
+                sizes = [self.size(one[a], y) for y in other[c:d]]
+                if max(sizes):
+                    out.append((a, c + sizes.index(max(sizes))))
+                continue
+            middle = (a + b) // 2
+            both = self.row(one[a:middle], other[c:d]) + self.row(one[middle:b][::-1], other[c:d][::-1])[::-1]
+            at = c + int(both.argmax())
+            todo += [(a, middle, c, at), (middle, b, at, d)]
+        return sorted(out)
+
+
+def _sections_of(node: Node) -> list[Node]:
+    return [c for c in node.children if c.tag not in ("p", "br")]
+
+
 def match(a: Node, b: Node, pairs: list[tuple[Node, Node]]) -> int:
     """Simple tree matching: the size of the largest match, whose pairs of nodes are appended."""
-    if a.tag != b.tag:
-        return 0
-    one = [c for c in a.children if c.tag not in ("p", "br")][:]
-    other = [c for c in b.children if c.tag not in ("p", "br")][:]
-    pairs.append((a, b))
-    head = 0
-    total = 1
-    while one and other and one[0].tag == other[0].tag and len(one) == len(other) and [c.tag for c in one] == [c.tag for c in other]:
-        for x, y in zip(one, other):  # the usual case: the same children
-            total += match(x, y, pairs)
-        return total
-    while head < min(len(one), len(other), max(0, max(len(one), len(other)) - MOST_CHILDREN)) and one[head].tag == other[head].tag:
-        total += match(one[head], other[head], pairs)  # very long lists: the equal head is paired in order
-        head += 1
-    one, other = one[head:], other[head:]
-    found = [[(0, []) for _ in range(len(other) + 1)] for _ in range(2)]
-    for x in one:
-        found[1][0] = (0, [])
-        for j, y in enumerate(other, 1):
-            own: list[tuple[Node, Node]] = []
-            size = match(x, y, own)
-            best = max(found[0][j], found[1][j - 1], key=lambda f: f[0])
-            if size and found[0][j - 1][0] + size > best[0]:
-                best = (found[0][j - 1][0] + size, found[0][j - 1][1] + own)
-            found[1][j] = best
-        found.reverse()
-        found[1] = [(0, []) for _ in range(len(other) + 1)]
-    size, own = found[0][-1]
-    pairs += own
-    return total + size
+    shapes = Shapes()
+    size = shapes.size(shapes.add(a), shapes.add(b))
+    todo = [(a, b)] if size else []
+    while todo:
+        x, y = todo.pop()
+        pairs.append((x, y))
+        one, other = _sections_of(x), _sections_of(y)
+        places = shapes.paired(tuple([shapes.of[id(n)] for n in one]), tuple([shapes.of[id(n)] for n in other]))
+        todo += [(one[i], other[j]) for i, j in reversed(places)]
+    return size
 
 
 def digest(node: Node) -> int:
@@ -236,90 +302,157 @@ def main_text(root: Node, template: set[int]) -> str:
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
+def _signed(text: str) -> int:
+    return xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _outline(root: Node) -> tuple[int | None, list[tuple[Node, int]]]:
+    """Layout of a page, None if no article can stand in it, and its sections that have text with their paths."""
+    every = sections(root)
+    paths: list[int] = []
+    read: list[bool] = []
+    out = []
+    for node, parent in every:
+        paths.append(_signed(f"{paths[parent] if parent >= 0 else ''}/{node.tag}"))
+        read.append(not node.aside and (parent < 0 or read[parent]))
+        if read[-1] and parent >= 0 and node.text():
+            out.append((node, paths[-1]))
+    return (_signed(repr(sorted({p for _, p in out}))) if out else None), out
+
+
 class Models:
     """Parsed model pages of a task, the latest ``MOST_PARSED`` hosts kept."""
 
     def __init__(self):
-        self.parsed: dict[str, tuple[Node, dict[int, tuple[int, int]], list[Node]]] = {}
+        self.parsed: dict[str, tuple[Node, dict[int, int]]] = {}
 
-    def get(self, host: str, page: str) -> tuple[Node, dict[int, tuple[int, int]], list[Node]]:
-        """(tree, id of each section -> its number and the hash of its text, sections)."""
+    def get(self, host: str, page: str) -> tuple[Node, dict[int, int]]:
+        """(tree, id of each section -> its number)."""
         if host not in self.parsed:
             if len(self.parsed) >= MOST_PARSED:
                 self.parsed.clear()
             root = parse(page)
-            every = [n for n, _ in sections(root)]
-            self.parsed[host] = root, {id(n): (i, digest(n)) for i, n in enumerate(every)}, every
+            self.parsed[host] = root, {id(n): i for i, (n, _) in enumerate(sections(root))}
         return self.parsed[host]
 
 
+def _slots(models: Models, host: str, of: str, root: Node) -> tuple[int | None, list[tuple[Node, int, int, int]]]:
+    """Layout of a page and (node, scope, slot, hash of the text) of each of its sections that have text."""
+    layout, outline = _outline(root)
+    if layout is None:
+        return layout, []
+    texts = {id(n): digest(n) for n, _ in outline}
+    out = [(n, scope, _signed(f"{scope} {path}"), texts[id(n)]) for n, path in outline for scope in (HOST_WIDE, layout)]
+    model, number = models.get(host, of)
+    pairs: list[tuple[Node, Node]] = []
+    match(model, root, pairs)
+    out += [(n, MODEL, number[id(m)], texts[id(n)]) for m, n in pairs if id(n) in texts]
+    return layout, out
+
+
+def _layouts(batches) -> Iterator[pa.RecordBatch]:
+    """(host, page, page_id, layout) of the pages (host, html, page, page_id) that have text."""
+    for batch in batches:
+        found = [_outline(parse(page))[0] for page in batch.column(1).to_pylist()]
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.int64())], ["host", "page", "page_id", "layout"])
+        yield out.filter(out.column(3).is_valid())
+
+
 def _align(batches, model_of) -> Iterator[pa.RecordBatch]:
-    """(host, node, same) of each section of a page's model that the page has."""
-    models = Models()
+    """(host, scope, slot, text, page): the slots of each page with each of their texts, and once with none."""
+    models, names = Models(), ["host", "scope", "slot", "text", "page"]
+    types = [pa.string(), *[pa.int64()] * 4]
     for batch in batches:
-        out: tuple[list, list, list] = ([], [], [])
-        for host, page, of in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), model_of(batch)):
-            if of is None:
-                continue
-            model, order, _ = models.get(host, of)
-            pairs: list[tuple[Node, Node]] = []
-            match(model, parse(page), pairs)
-            for m, n in pairs:
-                number, text = order[id(m)]
-                if number and n.text():
-                    out[0].append(host), out[1].append(number), out[2].append(int(digest(n) == text))
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())], ["host", "node", "same"])
+        out: list[tuple] = []
+        for host, page, key, of in zip(*(batch.column(i).to_pylist() for i in range(3)), model_of(batch)):
+            if of is not None:
+                found = _slots(models, host, of, parse(page))[1]
+                votes = {(scope, slot, text) for _, scope, slot, text in found} | {(scope, slot, None) for _, scope, slot, _ in found}
+                out += [(host, *vote, key) for vote in votes]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 5, types)], names)
 
 
 def _read(batches, template_of) -> Iterator[pa.RecordBatch]:
-    """Main text of pages (host, html, page_id, url, ...), without what they share with their host's template."""
+    """Main text of pages (host, html, page, page_id, url, ...), without what they share with their host's template.
+
+    ``template_of`` gives the model of each page of a batch, and a function from its layout to its fixed (slot, text).
+    """
     models = Models()
     for batch in batches:
         out = []
-        for host, page, (of, nodes) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), template_of(batch)):
+        for host, page, (of, fixed_of) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), template_of(batch)):
             root, template = parse(page), set()
-            if of is not None and nodes:
-                model, order, every = models.get(host, of)
-                fixed = {id(every[i]) for i in nodes}
-                pairs: list[tuple[Node, Node]] = []
-                match(model, root, pairs)
-                template = {id(n) for m, n in pairs if id(m) in fixed and digest(n) == order[id(m)][1]}
+            if of is not None:
+                layout, found = _slots(models, host, of, root)
+                fixed = fixed_of(layout)
+                template = {id(n) for n, _, slot, text in found if (slot, text) in fixed}
             out.append(main_text(root, template) or main_text(root, set()))  # a page that is all template is its own content
-        yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, constant: float = CONSTANT, model_bytes: int = MODEL_BYTES) -> DataFrame:
     """One row per page row: page_id, url, main text and its length in code points.
 
     A null or empty page has the empty text.  Pages without a host in their url form a host of their own; a host with
-    fewer than ``least_pages`` pages, or whose pages are all alike, has no template, and the declared parts alone are
-    left out.  Repeated rows are read each.  Columns other than page_id, url and html are left out.
+    fewer than ``least_pages`` different pages that have text has no template, and the declared parts alone are left out.
+    Repeated rows are read each, but count as one page of the host.  Columns other than page_id, url and html are left out.
 
-    Pages aren't shuffled while the model pages of all hosts are at most ``model_bytes``, which is measured first; beyond
-    that, pages meet their host's model in a join, whose hot hosts Spark may split.
+    Pages aren't shuffled while the model pages of all hosts are at most ``model_bytes``, and their templates too, which is
+    measured first; beyond that, pages meet their host's model in a join, whose hot hosts Spark may split.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     ).withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")))
-    # one row per host, in the shared folder: its model page's id
-    first = cut(rows.groupBy("host").agg(F.min("page_id").alias("page_id"), F.count_distinct(F.xxhash64("html")).alias("n")).where(F.col("n") >= least_pages).select("host", "page_id"))
+    rows = rows.select("host", "html", F.xxhash64("html").alias("page"), "page_id", "url")
+    # one row per host, in the shared folder: its model page, the smallest of the commonest layout
+    layouts = rows.select("host", "html", "page", "page_id").mapInArrow(_layouts, "host string, page long, page_id long, layout long")
+    smallest = F.struct(F.col("page_id").isNull(), "page_id", "page")
+    layouts = layouts.groupBy("host", "layout").agg(F.count_distinct("page").alias("n"), F.min_by("page", smallest).alias("page"))
+    first = layouts.groupBy("host").agg(F.max_by("page", F.struct("n", "layout")).alias("page"), F.sum("n").alias("n")).where(F.col("n") >= least_pages)
+    first = cut(first.select("host", "page"))
     few = first.count() <= MOST_HOSTS
-    chosen = rows.join(F.broadcast(first) if few else first, ["host", "page_id"], "left_semi")
+    chosen = rows.join(F.broadcast(first) if few else first, ["host", "page"], "left_semi")
     models = cut(chosen.groupBy("host").agg(F.min("html").alias("model")))
     size = models.agg(F.sum(F.octet_length("model") + F.octet_length("host"))).first()[0] or 0
-    count = lambda votes: votes.groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
-    most = (F.col("n") >= least_pages) & (F.col("same") >= F.greatest(F.lit(least_pages), F.col("n") * constant))
-    listed = lambda votes: count(votes).where(most).groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-    vote, text = "host string, node int, same long", "page_id long, url string, text string, n_chars long"
-    rows = rows.select("host", "html", "page_id", "url")
-
+    vote, text = "host string, scope long, slot long, text long, page long", "page_id long, url string, text string, n_chars long"
+    held = None
     if few and size <= model_bytes:  # the models go to the tasks, the pages stay where they are
         held = pages.sparkSession.sparkContext.broadcast({r.host: r.model for r in models.collect()})
         votes = rows.mapInArrow(lambda b: _align(b, lambda batch: [held.value.get(h) for h in batch.column(0).to_pylist()]), vote)
-        nodes = pages.sparkSession.sparkContext.broadcast({r.host: list(r.nodes) for r in listed(votes).collect()})  # at most the models' nodes
-        return rows.mapInArrow(lambda b: _read(b, lambda batch: [(held.value.get(h), nodes.value.get(h)) for h in batch.column(0).to_pylist()]), text)
-
-    votes = rows.join(models, "host").select("host", "html", "model").mapInArrow(lambda b: _align(b, lambda batch: batch.column(2).to_pylist()), vote)
-    templates = models.join(listed(votes), "host")
-    full = rows.join(templates, "host", "left").select("host", "html", "page_id", "url", "model", "nodes")
-    return full.mapInArrow(lambda b: _read(b, lambda batch: zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())), text)
+    else:
+        votes = rows.join(models, "host").select("host", "html", "page", "model").mapInArrow(lambda b: _align(b, lambda batch: batch.column(3).to_pylist()), vote)
+    slot = ["host", "scope", "slot"]
+    counts = cut(votes.groupBy(*slot, "text").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= least_pages))
+    every = counts.where("text IS NULL").select(*slot, F.col("n").alias("of"))
+    fixed = counts.where("text IS NOT NULL").join(every, slot).where(F.col("n") >= F.col("of") * constant).select(*slot, "text")
+    if held:
+        fixed = cut(fixed)
+        if (fixed.agg(F.sum(F.octet_length("host") + F.lit(128))).first()[0] or 0) <= model_bytes:
+            of: dict[tuple[str, int], set[tuple[int, int]]] = {}
+            for r in fixed.toLocalIterator():
+                of.setdefault((r.host, r.scope if r.scope not in (HOST_WIDE, MODEL) else HOST_WIDE), set()).add((r.slot, r.text))
+            fixed_at = pages.sparkSession.sparkContext.broadcast(of)
+
+            def known(batch):
+                for h in batch.column(0).to_pylist():
+                    wide = fixed_at.value.get((h, HOST_WIDE), set())
+                    yield held.value.get(h), lambda layout, h=h, wide=wide: wide | fixed_at.value.get((h, layout), set())
+
+            return rows.mapInArrow(lambda b: _read(b, known), text)
+
+    listed = F.collect_list(F.struct("slot", "text"))
+    wide = models.join(fixed.where(F.col("scope").isin(HOST_WIDE, MODEL)).groupBy("host").agg(listed.alias("wide")), "host", "left")
+    own = fixed.where(~F.col("scope").isin(HOST_WIDE, MODEL)).groupBy("host", F.col("scope").alias("layout")).agg(listed.alias("own"))
+
+    def laid_out(batches):
+        for batch in batches:
+            yield batch.append_column("layout", pa.array([_outline(parse(page))[0] for page in batch.column(1).to_pylist()], pa.int64()))
+
+    full = rows.mapInArrow(laid_out, "host string, html string, page long, page_id long, url string, layout long").join(wide, "host", "left").join(own, ["host", "layout"], "left")
+
+    def joined(batch):
+        for of, *lists in zip(*(batch.column(i).to_pylist() for i in (5, 6, 7))):
+            both = {(x["slot"], x["text"]) for a in lists for x in a or []}
+            yield of, lambda layout, both=both: both
+
+    return full.select("host", "html", "page", "page_id", "url", "model", "wide", "own").mapInArrow(lambda b: _read(b, joined), text)

@@ -64,3 +64,27 @@ def test_odd_rows(spark):
     assert len(got) == len(rows) and {r.text for r in got if r.page_id in (1, 2)} == {""}
     assert {r.text for r in got if r.page_id == 4} == {"deep"} and {r.n_chars for r in got if r.page_id == 5} == {50000}
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_template_does_not_hang_on_one_page_or_layout(spark):
+    rows = [(0, "https://h.example/0", ""), (1, "https://h.example/1", "<p>404</p>"), (2, "https://h.example/2", None)]
+    stale = page(3, "<p>Text 3").replace("All the best", "Farewell")  # the smallest page of the layout words a block differently
+    rows.append((3, "https://h.example/3", stale))
+    expected = {i: f"Story {i} Text {i}" for i in range(4, 20)}
+    rows += [(i, f"https://h.example/{i}", page(i, f"<p>Text {i}")) for i in range(4, 20)]
+    expected |= {i: f"Item {i}" for i in range(30, 36)}
+    rows += [(i, f"https://h.example/{i}", f"<body><table><tr><td>Our shop sells</td></tr><tr><td>Item {i}</td></tr></table><ol><li>Delivery is free</ol></body>") for i in range(30, 36)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1 << 20, 0):
+        got = {r.page_id: r.text for r in extract(pages, model_bytes=size).collect()}
+        assert {k: got[k] for k in expected} == expected and got[1] == "404" and got[0] == got[2] == ""
+
+
+def test_long_lists_are_matched_as_short_ones():
+    tree = lambda tag, *children: Node(tag, False, list(children))
+    items = [tree("li", tree("ul" if i % 3 else "ol", *[tree("li")] * (i % 5))) for i in range(150)]
+    a, b = tree("root", *items), tree("root", *items[1:])
+    pairs = []
+    assert match(a, b, pairs) == len(pairs)
+    size = lambda n: 1 + sum(map(size, n.children))
+    assert match(a, b, []) == size(b)  # all of the smaller one, though the lists are shifted
