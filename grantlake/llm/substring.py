@@ -3,8 +3,10 @@
 A gear hash rolls over the bytes of each text (``GEAR_BYTES`` back).  A chunk ends where the hash is the smallest of
 the ``REACH`` values on both sides, which depends on nearby bytes alone: an insertion moves only the borders around
 it.  Chunks are at least ``REACH`` + 1 bytes long, 2 ``REACH`` + 1 on average, and cut every ``LONGEST`` bytes where the
-text has no such place.  Chunks are grouped by a 128-bit digest; one that several documents have belongs to the
-smallest doc_id, and runs of such chunks of ``LEAST`` bytes or more in the other documents are repeated passages.
+text has no such place.  Runs of consecutive chunks that just cover ``LEAST`` bytes are grouped by a 128-bit digest of
+all their bytes; one that several documents have belongs to the smallest doc_id, and in the other documents the union
+of such runs is repeated.  So every byte reported stands in a span of ``LEAST`` bytes or more that one other document
+has in one piece.
 """
 
 from __future__ import annotations
@@ -63,19 +65,34 @@ def borders(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def chunks(documents: DataFrame) -> DataFrame:
-    """(doc_id, first, size, digest in two halves) of every chunk of every whole text, in bytes of UTF-8."""
+def covering(ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of whole chunks that just cover ``least`` bytes.
+
+    There is the shortest run from each start, and the shortest one to each end that none of those has; so any stretch of
+    chunks of ``least`` bytes or more is the union of the runs inside it.
+    """
+    starts = np.concatenate(([0], ends[:-1]))[: len(ends)]
+    to = np.searchsorted(ends, starts + least, side="left")
+    starts_of, to = starts[to < len(ends)], to[to < len(ends)]
+    skipped = np.ones(len(ends), bool)
+    skipped[to] = False
+    more = ends[skipped & (ends >= least)]
+    return np.concatenate((starts_of, starts[np.searchsorted(starts, more - least, side="right") - 1])), np.concatenate((ends[to], more))
+
+
+def runs(documents: DataFrame, least: int) -> DataFrame:
+    """(doc_id, first, size, digest in two halves) of every run of chunks that just covers ``least`` bytes of UTF-8."""
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     names = ["doc_id", "first", "size", "high", "low"]
 
     def some(ids: list, texts: list[bytes]) -> pa.RecordBatch:
-        found = borders(texts)
-        ends = np.concatenate(found) if found else np.zeros(0, np.int64)
-        counts = np.array([len(e) for e in found])
-        sizes = np.concatenate([np.diff(e, prepend=0) for e in found]) if found else ends
-        digests = [xxh3_128_digest(t[a:b]) for t, e in zip(texts, found) for a, b in zip([0, *e.tolist()], e.tolist())]
+        found = [covering(e, least) for e in borders(texts)]
+        counts = np.array([len(f) for f, _ in found], np.int64)
+        none = [np.zeros(0, np.int64)]
+        first, last = (np.concatenate(none + [f[k] for f in found]) for k in (0, 1))
+        digests = [xxh3_128_digest(t[a:b]) for t, (f, e) in zip(texts, found) for a, b in zip(f.tolist(), e.tolist())]
         halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        columns = [np.repeat(np.array(ids, np.int64), counts), ends - sizes, sizes, halves[:, 0], halves[:, 1]]
+        columns = [np.repeat(np.array(ids, np.int64), counts), first, last - first, halves[:, 0], halves[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     def cut_up(batches):
@@ -94,20 +111,27 @@ def chunks(documents: DataFrame) -> DataFrame:
 
 
 def repeated_passages(documents: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, first, last, kept_in): byte ranges [first, last) of passages that a document with a smaller id has too.
+    """(doc_id, first, last, kept_in): byte ranges [first, last) of passages that documents with a smaller id have too.
 
-    ``kept_in`` is the document that owns most of it.  Null and empty texts and rows without doc_id have no
-    passages; rows that repeat a doc_id count as one document.  Passages of under ``least`` bytes are left alone.
+    Each byte of them is part of ``least`` bytes or more that stand in one piece in one such document; passages that
+    overlap or touch are one range, and ``kept_in`` is the document that owns most of it.  Null and empty texts and
+    rows without doc_id have no passages; rows that repeat a doc_id count as one document.  Passages of under ``least``
+    bytes are left alone.
     """
-    rows = chunks(documents)
+    rows = runs(documents, least)
     owners = rows.groupBy("high", "low").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other")).where("owner < other").select("high", "low", "owner")
     repeats = rows.join(owners, ["high", "low"]).where("doc_id > owner").select("doc_id", "first", (F.col("first") + F.col("size")).alias("last"), "owner")
     order = Window.partitionBy("doc_id").orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum(F.when(F.col("first") <= before, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    shares = repeats.withColumn("run", run).groupBy("doc_id", "run", "owner").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum(F.col("last") - F.col("first")).alias("bytes"))
+    # the bytes up to the next start belong to the smallest owner of the few runs that hold that place
+    near = F.collect_list(F.struct("last", "owner")).over(order.rowsBetween(-2 * (least // REACH + 2), 0))
+    smallest = F.array_min(F.transform(F.filter(near, lambda x: x["last"] > F.col("first")), lambda x: x["owner"]))
+    until = F.least("last", F.coalesce(F.lead("first").over(order), "last"))
+    parts = repeats.select("doc_id", "first", "last", run.alias("run"), smallest.alias("owner"), (until - F.col("first")).alias("own"))
+    shares = parts.groupBy("doc_id", "run", "owner").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("own").alias("bytes"))
     found = shares.groupBy("doc_id", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max_by("owner", F.struct("bytes", -F.col("owner"))).alias("kept_in"))
-    return found.where(F.col("last") - F.col("first") >= least).select("doc_id", "first", "last", "kept_in")
+    return found.select("doc_id", "first", "last", "kept_in")
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:

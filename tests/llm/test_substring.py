@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from grantlake.llm.substring import borders, drop_repeated_passages, repeated_passages, without
+from grantlake.llm.substring import borders, covering, drop_repeated_passages, repeated_passages, without
 from tests.llm.odd import documents
 
 
@@ -54,3 +54,30 @@ def test_odd_rows(spark):
     out = drop_repeated_passages(docs)
     assert out.count() == docs.count() and out.columns == docs.columns
     assert repeated_passages(docs.limit(0)).count() == 0 and drop_repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_only_what_one_document_has_in_one_piece_is_repeated(spark):
+    rng = random.Random(4)
+    words = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    text = words(900)
+    docs = [(i, words(200) + text[40 * i : 40 * i + 95] + words(200)) for i in range(21)] + [(99, text)]
+    schema = "doc_id long, text string"
+    assert repeated_passages(spark.createDataFrame(docs, schema)).count() == 0
+    assert {r.text for r in drop_repeated_passages(spark.createDataFrame(docs, schema)).where("doc_id = 99").collect()} == {text}
+    docs.append((50, words(150) + text[200:600] + words(150)))
+    (row,) = repeated_passages(spark.createDataFrame(docs, schema)).where("doc_id = 99").collect()
+    assert row.kept_in == 50 and 200 <= row["first"] < 300 and 500 < row["last"] <= 600
+
+
+def test_runs_cover_stretches_of_chunks_exactly():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        ends = np.cumsum(rng.choice([17, 20, 33, 60, 150], rng.integers(0, 30)))
+        runs = list(zip(*map(np.ndarray.tolist, covering(ends, 100))))
+        places = [0, *ends.tolist()]
+        for i, a in enumerate(places):
+            for b in places[i + 1 :]:
+                inside = [r for r in runs if a <= r[0] and r[1] <= b]
+                assert bool(inside) == (b - a >= 100)
+                assert not inside or {x for f, e in inside for x in range(f, e)} == set(range(a, b))
+
