@@ -7,12 +7,14 @@ text) and (suffix, language by text) tables, smoothed.  The prior of a host is i
 its domain, of its suffix and of all pages, each level by grouped aggregation.
 
 Counting is done by Spark: tasks sum trigram counts per language before the shuffle, so what is shuffled has one row
-per task, language and part of the table.  The model that is sent to the tasks has a fixed size (languages x
-``BUCKETS``).
+per task, language and part of the table.  The model has all languages; it is collected and sent to the tasks in blocks of
+``LANGUAGES`` x ``BUCKETS`` numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,44 +69,49 @@ def count_trigrams(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(documents: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages (the most frequent ``LANGUAGES``) and log-probabilities of the buckets, by language."""
-    counts = count_trigrams(documents)
-    share = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(LANGUAGES)
-    found = counts.join(F.broadcast(share.select("lang")), "lang").toArrow()  # at most LANGUAGES x BUCKETS rows
-    langs = sorted(set(found.column("lang").to_pylist()))
-    table = np.full((len(langs), BUCKETS), 0.5)
-    number = {x: i for i, x in enumerate(langs)}
-    table[[number[x] for x in found.column("lang").to_pylist()], found.column("bucket").to_numpy()] += found.column("n").to_numpy()
-    return langs, np.log(table / table.sum(axis=1, keepdims=True))
+def train(documents: DataFrame, block: int = LANGUAGES) -> tuple[list[str], Iterator[np.ndarray]]:
+    """All languages and log-probabilities of the buckets, by language, in blocks of at most ``block`` languages."""
+    counts = cut(count_trigrams(documents))
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
+
+    def tables():
+        for at in range(0, len(langs), block):
+            some = langs[at : at + block]
+            found = counts.where(F.col("lang").isin(some)).toArrow()  # at most block x BUCKETS rows
+            table = np.full((len(some), BUCKETS), 0.5)
+            number = {x: i for i, x in enumerate(some)}
+            table[[number[x] for x in found.column("lang").to_pylist()], found.column("bucket").to_numpy()] += found.column("n").to_numpy()
+            yield np.log(table / table.sum(axis=1, keepdims=True))
+
+    return langs, tables()
 
 
-def text_evidence(texts: list[bytes], table: np.ndarray) -> np.ndarray:
+def text_evidence(texts: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
     """Log-likelihood of each text under each language, less that of the best, bounded by ``EVIDENCE``."""
-    out = []
+    out, n_langs = [], sum(map(len, tables))
     for part in blocks([_fold(t) for t in texts], 1 << 18):
         joined = b"".join(part)
         data = np.frombuffer(joined, np.uint8)
         ends = np.cumsum([len(t) for t in part])
         offsets = np.concatenate(([0], ends))
         if len(data) < 3:
-            out.append(np.zeros((len(part), len(table))))
+            out.append(np.zeros((len(part), n_langs)))
             continue
         at = trigrams(data)
-        scores = np.zeros((len(part), len(table)))
+        scores = np.zeros((len(part), n_langs))
         inside = np.ones(len(at) + 2, bool)
         inside[len(at) :] = False
         for e in ends:  # a run of three that crosses into the next text doesn't count
             inside[max(0, e - 2) : e] = False
-        for k, row in enumerate(table):
+        for k, row in enumerate(row for table in tables for row in table):
             values = np.concatenate((row[at], [0.0, 0.0])) * inside
             total = np.concatenate(([0.0], np.cumsum(values)))
             scores[:, k] = total[offsets[1:]] - total[offsets[:-1]]
         n = segment_sums(inside.astype(np.int64), offsets)
-        scores -= scores.max(axis=1, keepdims=True) if len(table) else 0
+        scores -= scores.max(axis=1, keepdims=True) if n_langs else 0
         scores *= np.minimum(1.0, 1.0 / np.sqrt(np.maximum(n, 1) / 50))[:, None]
         out.append(np.maximum(scores, -EVIDENCE))
-    return np.concatenate(out) if out else np.zeros((0, len(table)))
+    return np.concatenate(out) if out else np.zeros((0, n_langs))
 
 
 DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
@@ -115,14 +122,15 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
 
     A page without text, declaration and suffix gets the prior of its host.  Null html counts as empty and a null url
     as a host of its own.  Without documents that state a language there is none to choose, and language is null.
-    Repeated rows count each, and columns other than page_id, url and html are left out.
+    All languages of the documents can be chosen, however many they are.  Repeated rows count each, and columns other than
+    page_id, url and html are left out.
     """
-    langs, table = train(documents)
+    langs, tables = train(documents)
     spark = pages.sparkSession
-    model = spark.sparkContext.broadcast(table)
+    model = [spark.sparkContext.broadcast(table) for table in tables]
 
     def read(batches):
-        likelihoods = model.value
+        likelihoods = [block.value for block in model]
         for batch in batches:
             texts = [main_text(parse(h or ""), set()).encode("utf-8", "ignore") for h in batch.column(4).to_pylist()]
             rows = list(text_evidence(texts, likelihoods))

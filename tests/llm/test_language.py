@@ -1,4 +1,6 @@
-from grantlake.llm.language import identify
+import random
+
+from grantlake.llm.language import LANGUAGES, identify
 from tests.llm.odd import documents
 
 
@@ -27,3 +29,16 @@ def test_odd_rows(spark):
     assert len(identify(pages, docs).collect()) == len(rows)
     assert {r.language for r in identify(pages, docs.limit(0)).collect()} == {None}
     assert identify(pages.limit(0), docs).count() == 0
+
+
+def test_no_language_is_dropped_however_many_there_are(spark):
+    rng = random.Random(3)
+    codes = [a + b for a in "abcdef" for b in "klmnopq"][: LANGUAGES + 8]
+    text = {}
+    for code in codes:
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        text[code] = [" ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(30)) for _ in range(2)]
+    docs = [(t, code) for i, code in enumerate(codes) for t in text[code] * (len(codes) - i)]  # the last ones are the rarest
+    pages = [(i, f"https://h{i}.example/", f"<html lang='{code}'><body><p>{text[code][0]}") for i, code in enumerate(codes)]
+    rows = identify(spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(docs, "text string, lang string")).collect()
+    assert {r.page_id: r.language for r in rows} == dict(enumerate(codes))
