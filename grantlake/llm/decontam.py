@@ -18,6 +18,7 @@ import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -178,6 +179,37 @@ def _judged(ids: pa.Array, found: list[tuple[int, list[tuple[int, int, int]]]])
     return pa.RecordBatch.from_arrays([ids, *map(pa.array, columns, ARROW.types[1:])], schema=ARROW)
 
 
+def _keyed(pairs: DataFrame) -> DataFrame:
+    """Rows with a digest of their text; doc_id and digest, compared null-safe, tell texts apart row by row."""
+    return pairs.withColumn("digest", F.md5(F.col("text").cast("string")))
+
+
+def _same_row(a: DataFrame, b: DataFrame):
+    return a["doc_id"].cast("long").eqNullSafe(b["hit_id"]) & a["digest"].eqNullSafe(b["hit_digest"])
+
+
+def _hits(pairs: DataFrame, blocks: Iterator[tuple[int, list[tuple[int, bytes]]]]) -> DataFrame:
+    """(hit_id, hit_digest, n_words, hits) of each text with a shared run, over all blocks."""
+    context = pairs.sparkSession.sparkContext
+    parts = []
+    for _, items in blocks:
+        block = context.broadcast(items)
+
+        def hits(batches, block=block):
+            index = Index(block.value)
+            for batch in batches:
+                kept = [(i, n, s) for i, (n, s) in enumerate(_found(index, t) for t in byte_column(batch.column(1))) if s]
+                rows = [[{"first": a, "last": b, "item": k} for a, b, k in s] for _, _, s in kept]
+                at = pa.array([i for i, _, _ in kept], pa.int64())
+                columns = [batch.column(0).take(at), batch.column(2).take(at), pa.array([n for _, n, _ in kept], pa.int64()), pa.array(rows, HITS)]
+                yield pa.RecordBatch.from_arrays(columns, ["hit_id", "hit_digest", "n_words", "hits"])
+
+        part = _keyed(pairs).mapInArrow(hits, "hit_id long, hit_digest string, n_words long, hits array<struct<first: int, last: int, item: long>>")
+        parts.append(part.checkpoint())  # cuts the lineage, so that the block can go
+        block.destroy()
+    return reduce(DataFrame.unionByName, parts).groupBy("hit_id", "hit_digest", "n_words").agg(F.flatten(F.collect_set("hits")).alias("hits"))
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: how many of its words lie in a passage that a benchmark item has too.
 
@@ -186,32 +218,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, block_bytes: int =
     """
     context = documents.sparkSession.sparkContext
     pairs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = []
-    for n, items in _blocks(benchmark, block_bytes):
+    blocks = _blocks(benchmark, block_bytes)
+    n, items = next(blocks)
+    if n == 1:
         block = context.broadcast(items)
-        if n == 1:
-
-            def whole(batches, block=block):
-                index = Index(block.value)
-                for batch in batches:
-                    yield _judged(batch.column(0), [_found(index, t) for t in byte_column(batch.column(1))])
-
-            return pairs.mapInArrow(whole, SCHEMA)
 
-        def hits(batches, block=block):
+        def whole(batches):
             index = Index(block.value)
             for batch in batches:
-                kept = [(i, s) for i, t in enumerate(byte_column(batch.column(1))) if (s := _found(index, t)[1])]
-                rows = [[{"first": a, "last": b, "item": k} for a, b, k in s] for _, s in kept]
-                at = pa.array([i for i, _ in kept], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(rows, HITS)], ["doc_id", "digest", "hits"])
+                yield _judged(batch.column(0), [_found(index, t) for t in byte_column(batch.column(1))])
 
-        keyed = pairs.withColumn("digest", F.md5("text"))
-        part = keyed.mapInArrow(hits, "doc_id long, digest string, hits array<struct<first: int, last: int, item: long>>")
-        parts.append(part.checkpoint())  # cuts the lineage, so that the block can go
-        block.destroy()
-    hits_of = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "digest").agg(F.flatten(F.collect_set("hits")).alias("hits"))
-    joined = pairs.withColumn("digest", F.md5("text")).join(hits_of, ["doc_id", "digest"], "left").select("doc_id", "text", "hits")
+        return pairs.mapInArrow(whole, SCHEMA)
+    keyed, hits_of = _keyed(pairs), _hits(pairs, chain([(n, items)], blocks))
+    joined = keyed.join(hits_of, _same_row(keyed, hits_of), "left").select("doc_id", "text", "hits")
 
     def finish(batches):
         for batch in batches:
@@ -223,10 +242,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, block_bytes: int =
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``documents`` whose text isn't contaminated; all their columns stay."""
-    n, items = next(_blocks(benchmark, block_bytes))
+    blocks = _blocks(benchmark, block_bytes)
+    n, items = next(blocks)
     if n > 1:
-        flagged = decontaminate(documents, benchmark, block_bytes).where("contaminated").select("doc_id").distinct()
-        return documents.join(flagged, "doc_id", "left_anti")
+
+        def flag(batches):
+            for batch in batches:
+                found = [verdict(k, [(x["first"], x["last"]) for x in s], [x["item"] for x in s])[4] for k, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["hit_id", "hit_digest"]).filter(pa.array(found, pa.bool_()))
+
+        pairs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        flagged = _hits(pairs, chain([(n, items)], blocks)).mapInArrow(flag, "hit_id long, hit_digest string")
+        keyed = _keyed(documents.select(F.struct("*").alias("row"), "doc_id", "text"))
+        return keyed.join(flagged, _same_row(keyed, flagged), "left_anti").select("row.*")
     block, text = documents.sparkSession.sparkContext.broadcast(items), documents.columns.index("text")
 
     def clean(batches):

@@ -74,3 +74,16 @@ def test_odd_rows(spark):
     assert decontaminate(docs.limit(0), items).count() == 0
     assert not decontaminate(docs, items.limit(0)).where("contaminated").count()
     assert set(drop_contaminated(docs, items).columns) == set(docs.columns)
+
+
+def test_blocks_judge_null_and_repeated_ids_row_by_row(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(10)]
+    docs = [(None, items[0][1]), (None, "clean text"), (None, None), (1, items[9][1]), (1, "other clean text"), (2, items[3][1] + " and " + items[4][1]), (2, None)]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    items_df = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute(docs, items)
+    assert sum(r[-1] for r in expected) == 3
+    for size in (1 << 20, 200):
+        assert got(decontaminate(docs_df, items_df, block_bytes=size)) == expected
+        out = drop_contaminated(docs_df, items_df, block_bytes=size)
+        assert out.schema.names == ["doc_id", "text"] and {tuple(r) for r in out.collect()} == {(None, "clean text"), (None, None), (1, "other clean text"), (2, None)}
