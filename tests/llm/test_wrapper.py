@@ -2,7 +2,7 @@ import html as h
 import random
 import re
 
-from grantlake.llm.wrapper import Node, extract, main_text, match, parse
+from grantlake.llm.wrapper import Node, Shapes, Tree, extract, main_text, match, parse
 
 
 def test_articles_of_the_tables_are_extracted(spark, sf):
@@ -48,13 +48,44 @@ def test_declared_parts_markup_and_references():
     assert text("<p>open <script>a") in ("open", "open a")
 
 
+def tree(tag, *children):
+    return Node(tag, False, list(children))
+
+
+def largest(a, b):
+    """Simple tree matching as it is defined, by the whole table of children."""
+    if a.tag != b.tag:
+        return 0
+    one, other = a.sections, b.sections
+    table = [[0] * (len(other) + 1) for _ in range(len(one) + 1)]
+    for i in range(1, len(one) + 1):
+        for j in range(1, len(other) + 1):
+            table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + largest(one[i - 1], other[j - 1]))
+    return 1 + table[-1][-1]
+
+
 def test_simple_tree_matching_pairs_in_order():
-    tree = lambda tag, *children: Node(tag, False, list(children))
-    a = tree("root", tree("div", tree("ul"), tree("h1")), tree("section"))
-    b = tree("root", tree("div", tree("h1")), tree("form"), tree("section"))
-    pairs = []
-    assert match(a, b, pairs) == 4 and [x.tag for x, _ in pairs] == ["root", "div", "h1", "section"]
-    assert match(a, tree("x"), []) == 0
+    a, b = Tree(tree("root", tree("div", tree("ul"), tree("h1")), tree("section"))), Tree(tree("root", tree("div", tree("h1")), tree("form"), tree("section")))
+    size, pairs = match(Shapes(), a, b)
+    assert size == 4 and [a.nodes[i].tag for i, _ in pairs] == ["root", "div", "h1", "section"]
+    assert match(Shapes(), a, Tree(tree("x"))) == (0, [])
+
+
+def test_simple_tree_matching_equals_the_whole_table_on_random_trees():
+    rng = random.Random(7)
+
+    def grown(depth):
+        return tree(rng.choice("ab" if depth else "r"), *[grown(depth + 1) for _ in range(rng.randint(0, 4) if depth < 4 else 0)])
+
+    shapes = Shapes()  # one memory for all pairs
+    for _ in range(150):
+        a, b = grown(0), grown(0)
+        x, y = Tree(a), Tree(b)
+        size, pairs = match(shapes, x, y)
+        assert size == largest(a, b) == len(pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == size
+        assert all(x.nodes[i].tag == y.nodes[j].tag for i, j in pairs)
+        up = {(x.parents[i], y.parents[j]) for i, j in pairs[1:]}
+        assert up <= set(pairs)  # parents of a pair are a pair
 
 
 def test_odd_rows(spark):
@@ -81,10 +112,37 @@ def test_template_does_not_hang_on_one_page_or_layout(spark):
 
 
 def test_long_lists_are_matched_as_short_ones():
-    tree = lambda tag, *children: Node(tag, False, list(children))
     items = [tree("li", tree("ul" if i % 3 else "ol", *[tree("li")] * (i % 5))) for i in range(150)]
-    a, b = tree("root", *items), tree("root", *items[1:])
-    pairs = []
-    assert match(a, b, pairs) == len(pairs)
-    size = lambda n: 1 + sum(map(size, n.children))
-    assert match(a, b, []) == size(b)  # all of the smaller one, though the lists are shifted
+    a, b = Tree(tree("root", *items)), Tree(tree("root", *items[1:]))
+    size, pairs = match(Shapes(), a, b)
+    assert size == len(pairs) == len(b.nodes)  # all of the smaller one, though the lists are shifted
+
+
+def test_markup_of_any_depth(spark):
+    deep = lambda tag, n: f"<{tag}>a" * n + "deep" + f"</{tag}>b" * n
+    rows = [(i, f"https://deep.example/{i}", deep("div" if i % 2 else "section", 20_000) + f"<p>{i}") for i in range(8)] + [(9, "https://deep.example/9", "<div>" * 30_000)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == 9 and got[9] == "" and all(str(i) in got[i] for i in range(8))
+
+
+def test_slots_that_rotate_are_template_by_themselves(spark):
+    rng = random.Random(3)
+    stock = [f"Offer {k} of our shop" for k in range(5)]
+    rows = [(i, f"https://r.example/{i}", f"<body><div>{rng.choice(stock)}</div><table><tr><td>Story {i} {rng.random()}</td></tr></table></body>") for i in range(40)]
+    rows.append((99, "https://r.example/99", "<body><div>A new offer</div><table><tr><td>Story 99</td></tr></table></body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1 << 20, 0):
+        got = {r.page_id: r.text for r in extract(pages, model_bytes=size).collect()}
+        assert all(got[i].startswith(f"Story {i}") and "ffer" not in got[i] for i in [*range(40), 99])
+
+
+def test_the_template_alone_finds_menus_and_adverts_of_the_tables(spark):
+    """Without names of tags and classes, pages of hosts with many pages lose what induction finds, and the article stays."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").where("url LIKE '%//blog.tionsh.example.com/%'")
+    told = {r.page_id: r.text for r in extract(pages).collect()}
+    induced = {r.page_id: r.text for r in extract(pages, declared=False).collect()}
+    plain = {r.page_id: main_text(parse(r.html), set(), False) for r in pages.collect()}
+    assert len(told) > 100 and all(told[k] in induced[k] for k in told)
+    less = [k for k in told if len(induced[k]) < len(plain[k])]
+    assert len(less) > 0.95 * len(told)  # induction takes something away
+    assert sum(len(induced[k]) - len(told[k]) for k in told) < 0.35 * sum(len(plain[k]) - len(told[k]) for k in told)
