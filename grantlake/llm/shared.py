@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that all executors see; on a session without one (tests) a new local one is set."""
+    """The folder for checkpoints that all executors see; in a session of one machine (tests) a new local one is set."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 

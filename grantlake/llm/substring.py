@@ -104,7 +104,8 @@ def runs(documents: DataFrame, least: int) -> DataFrame:
                 if held >= BLOCK:
                     yield some(ids, texts)
                     ids, texts, held = [], [], 0
-            yield some(ids, texts)
+            if ids:
+                yield some(ids, texts)
 
     rows = documents.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(cut_up, "doc_id long, first int, size int, high long, low long")
@@ -154,11 +155,12 @@ def drop_repeated_passages(documents: DataFrame, least: int = LEAST) -> DataFram
 
     A document of which no word is left goes.
     """
-    spans = repeated_passages(documents, least).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("__spans"))
-    joined = documents.join(spans, "doc_id", "left")
-    at = joined.columns.index("__spans")
-    text = joined.columns.index("text")
-    schema = joined.drop("__spans").schema
+    own = F.struct("first", "last")
+    spans = repeated_passages(documents, least).groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(own).alias("spans"))
+    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"))
+    # the columns of documents in their order, then the ranges: columns are told apart by place, whatever their names
+    joined = row.join(spans, "of", "left").select(*(F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(documents.columns)), "spans")
+    at, text, schema = len(documents.columns), documents.columns.index("text"), documents.schema
 
     def edit(batches):
         for batch in batches:
@@ -166,8 +168,7 @@ def drop_repeated_passages(documents: DataFrame, least: int = LEAST) -> DataFram
             edited = [t if t is None or not s else without(t.encode(), [(x["first"], x["last"]) for x in s]).decode("utf-8", "ignore") for t, s in zip(texts, spans)]
             keep = [not s or bool(t and t.strip()) for t, s in zip(edited, spans)]
             columns = [pa.array(edited, pa.string()) if i == text else c for i, c in enumerate(batch.columns)]
-            del columns[at]
-            yield pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "__spans"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns[:at], schema.names).filter(pa.array(keep, pa.bool_()))
 
     out = joined.mapInArrow(edit, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in out.columns else out

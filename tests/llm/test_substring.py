@@ -81,3 +81,52 @@ def test_runs_cover_stretches_of_chunks_exactly():
                 assert bool(inside) == (b - a >= 100)
                 assert not inside or {x for f, e in inside for x in range(f, e)} == set(range(a, b))
 
+
+
+def test_long_texts_and_empty_batches(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    passage = " ".join(word() for _ in range(120))
+    some = [" ".join(word() for _ in range(4000)) for _ in range(60)]
+    long = lambda n: " ".join(rng.choice(some) for _ in range(n))
+    rows = [(1, passage), (2, "x"), (3, long(60) + passage), (4, "y"), (5, long(140)), (6, "z" * (1 << 20))]  # 1 MB as the last row
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert len(rows[2][1]) > 1 << 20 and len(rows[4][1]) > 3 << 20
+    found = repeated_passages(docs).collect()
+    assert {r.doc_id for r in found} >= {3, 5}
+    batches = docs.repartition(7)  # some tasks have no row at all
+    assert sorted(map(tuple, repeated_passages(batches).collect())) == sorted(map(tuple, found))
+    none = docs.where("doc_id = 2").union(docs.where("doc_id > 100")).union(spark.createDataFrame([(8, "")], docs.schema))
+    assert repeated_passages(none).count() == 0
+
+
+def brute(texts, least):
+    """Bytes of each text that lie in a run of ``least`` bytes or more which a text with a smaller id has in one piece."""
+    out = {}
+    for d, t in texts.items():
+        own = set()
+        for i in range(len(t) - least + 1):
+            if any(t[i : i + least] in o for k, o in texts.items() if k < d):
+                own |= set(range(i, i + least))
+        out[d] = own
+    return out
+
+
+def test_passages_against_brute_force(spark):
+    """Every byte reported is one that brute force finds, and of long passages all but the ends are reported."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    pool = [text(rng.randint(80, 700)) for _ in range(12)]
+    docs = [(d, text(rng.randint(0, 300)) + "".join(rng.choice(pool) + text(rng.randint(0, 60)) for _ in range(rng.randint(0, 3)))) for d in range(40)]
+    true = brute({d: t.encode() for d, t in docs}, 100)
+    got = {d: set() for d, _ in docs}
+    for r in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.doc_id] |= set(range(r["first"], r["last"]))
+    assert all(got[d] <= true[d] for d in got)
+    assert sum(map(len, got.values())) > 0.75 * sum(map(len, true.values()))
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a b " * 60, "q", 5), (2, "a b " * 60, "r", 6), (3, "c", "s", None)], "doc_id long, text string, spans string, of int")
+    out = drop_repeated_passages(docs)
+    assert out.schema == docs.schema and {tuple(r)[2:] for r in out.where("doc_id <> 2").collect()} == {("q", 5), ("s", None)}
