@@ -1,17 +1,21 @@
 """Corpus pipeline: five stages over the documents table, each one an operator of grantlake.llm.
 
 Every stage takes (spark, docs, sf_dir), where docs is what the stage before it kept, and returns a DataFrame; all but
-the last return the columns of documents.  The tables that a stage needs besides come from sf_dir.
+the last return the columns of documents.  The tables that a stage needs besides come from sf_dir.  What a stage keeps
+is written as Parquet to the shared folder and read again by the next one, so no stage is computed twice.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from grantlake.llm.cotrain import drop_low_quality
 from grantlake.llm.decontam import drop_contaminated
 from grantlake.llm.neardup import drop_near_duplicates
 from grantlake.llm.packing import pack
+from grantlake.llm.shared import shared_folder
 from grantlake.llm.substring import drop_repeated_passages
 
 
@@ -53,8 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the documents table."""
+    """All stages, one after the other, over the documents table; each one's rows are stored before the next reads them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    home = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{home}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
