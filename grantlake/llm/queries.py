@@ -9,7 +9,7 @@ from grantlake.llm.decontam import decontaminate
 from grantlake.llm.language import identify
 from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
-from grantlake.llm.packing import pack
+from grantlake.llm.packing import pack, pack_conversations
 from grantlake.llm.quality_rules import quality_rules
 from grantlake.llm.substring import repeated_passages
 from grantlake.llm.toxicity import toxicity
@@ -28,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -66,6 +70,7 @@ QUERIES = {
     for f in (
         op1_quality_rules,
         op2_packing,
+        packed_conversations,
         op3_decontamination,
         op4_toxicity,
         op5_substring_dedup,

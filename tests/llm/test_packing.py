@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from grantlake.llm.packing import LENGTH, SEGMENTS, Packer, pack
+from grantlake.llm.packing import LENGTH, SEGMENTS, Packer, pack, pack_conversations
 from tests.llm.odd import ODD, documents
 
 
@@ -40,7 +40,9 @@ def test_pieces_cover_every_document_with_little_padding(spark, sf):
             assert start == at
             at += length
         assert at == len(ids[d])
-    assert padded < 0.02
+    assert padded < 0.01
+    fitting = [d for d in ids if len(ids[d]) <= LENGTH]
+    assert sum(len(of_doc[d]) > 1 for d in fitting) < 0.02 * len(fitting)  # only the last ones of a task
 
 
 def test_odd_rows(spark):
@@ -54,19 +56,51 @@ def test_odd_rows(spark):
 
 def test_limits_on_segments_and_loss_tokens_hold():
     rng = np.random.default_rng(3)
-    packer = Packer(100, 4, 60, 8, 0)
-    total = {}
-    for d in range(300):
-        n = int(rng.integers(1, 260))
-        total[d] = n
-        packer.add(d, rng.integers(0, 9, n).astype("<u4"), rng.random(n) < rng.random())
-    packer.finish()
-    by = {}
-    for doc_id, start, n, _, _, sequence, offset, loss in packer.taken():
-        by.setdefault(sequence, []).append((offset, n, loss))
-        total[doc_id] -= n
-    assert not any(total.values())
-    for pieces in by.values():
-        pieces.sort()
-        assert len(pieces) <= 4 and sum(p[1] for p in pieces) <= 100 and sum(p[2] for p in pieces) <= 60
-        assert [p[0] for p in pieces] == [sum(q[1] for q in pieces[:i]) for i in range(len(pieces))]
+    for most in (260, 90):  # with and without examples beyond a sequence
+        packer = Packer(100, 4, 60, 8, 0)
+        total, ids = {}, {}
+        for d in range(300):
+            n = int(rng.integers(1, most))
+            total[d], ids[d] = n, rng.integers(0, 9, n).astype("<u4")
+            packer.add(d, ids[d], rng.random(n) < rng.random())
+        packer.finish()
+        by = {}
+        for doc_id, start, n, crc, _, sequence, offset, loss in packer.taken():
+            by.setdefault(sequence, []).append((offset, n, loss))
+            total[doc_id] -= n
+            assert zlib.crc32(ids[doc_id][start : start + n].tobytes()) == crc
+        assert not any(total.values())
+        for pieces in by.values():
+            pieces.sort()
+            assert len(pieces) <= 4 and sum(p[1] for p in pieces) <= 100 and sum(p[2] for p in pieces) <= 60
+            assert [p[0] for p in pieces] == [sum(q[1] for q in pieces[:i]) for i in range(len(pieces))]
+
+
+def test_conversations_bear_loss_by_role(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    turns = sorted({tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()})
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, marks = {}, {}
+    for conv, _, role, text in turns:
+        new = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        ids.setdefault(conv, []).extend(new)
+        marks.setdefault(conv, []).extend([role == "assistant"] * len(new))
+    rows = pack_conversations(table).collect()
+    of_sequence, covered = {}, {c: 0 for c in ids}
+    for r in rows:
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert zlib.crc32(part.tobytes()) == r.ids_crc32 and r.loss_tokens == sum(marks[r.doc_id][r.start : r.start + r.length]) and r.first_turn == 0
+        covered[r.doc_id] += r.length
+        of_sequence.setdefault(r.sequence_id, []).append(r)
+    assert covered == {c: len(x) for c, x in ids.items()}
+    assert all(sum(r.length for r in x) <= LENGTH and sum(r.loss_tokens for r in x) <= LENGTH * 3 // 4 and len(x) <= SEGMENTS for x in of_sequence.values())
+    assert any(sum(r.loss_tokens for r in x) > LENGTH // 2 for x in of_sequence.values())
+
+
+def test_odd_conversations(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", None), (1, 200, "assistant", "far"), (None, None, None, None), (2, 1, "assistant", "b " * 3000), (2, 0, "user", "")]
+    table = spark.createDataFrame([(*r, 5) for r in rows], "conv_id long, turn long, role string, text string, doc_id int")
+    out = pack_conversations(table).collect()
+    assert {(r.doc_id, r.first_turn) for r in out} == {(1, 0), (1, 192), (None, None), (2, 0)}
+    assert sum(r.length for r in out if r.first_turn == 0 and r.doc_id == 1) == 3
+    assert pack_conversations(table.limit(0)).count() == 0
