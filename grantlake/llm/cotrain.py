@@ -2,8 +2,10 @@
 
 One view sees the text (document statistics and byte frequencies), the other the page's metadata (source, language,
 length).  Both start from labelled documents; in each round each view labels the pool documents that it is surest of,
-which then train the other.  Both views are calibrated on labelled documents kept aside, and the calibrated scores are
-combined by a small logistic model fitted there, so a view that tells nothing gets no weight.
+which then train the other.  A view teaches a class only while it is right about it: of the labelled documents kept
+aside that it is as sure of, the share of errors must be well below that of guessing (``SKILL``).  Both views are
+calibrated on these documents and the calibrated scores are combined by a small logistic model fitted there; a view
+that tells nothing, or the opposite, gets no weight.
 
 Fitting takes bounded samples (``LABELLED`` labelled and ``POOL`` other documents); every document is scored.
 """
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantlake.llm.quality_rules import label_sample, statistics
+from grantlake.llm.quality_rules import label_sample, one_row_each, statistics
 from grantlake.llm.text import blocks, byte_column
 from grantlake.llm.toxicity import logistic
 
@@ -26,6 +28,8 @@ LABELLED = 6000
 POOL = 6000
 ROUNDS = 4
 ADDED = 300
+#: Margin from which a view is sure, errors it may make there against guessing, and documents kept aside to tell it.
+SURE, SKILL, LEAST_TOLD = 2.2, 0.6, 10
 KEEP_SCORE = 0.35
 SOURCES = 64
 LANGUAGES = 16
@@ -74,6 +78,7 @@ class Model:
     metadata: View
     calibration: np.ndarray  # 2 x (slope, constant)
     combination: np.ndarray  # weight of each calibrated view, constant
+    taught: tuple[int, int] = (0, 0)  # pool documents that each view has labelled for the other
 
     def scores(self, text: np.ndarray, metadata: np.ndarray) -> np.ndarray:
         """Calibrated score of each view and of both."""
@@ -82,6 +87,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.column_stack([*margins, both]), -30, 30)))
 
 
+def _upward(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights of which none is negative: columns that would pull down are left out, the worst first."""
+    out, used = np.zeros(x.shape[1] + 1), list(range(x.shape[1]))
+    while used:
+        w = logistic(x[:, used], y)
+        if w[:-1].min() >= 0:
+            out[used], out[-1] = w[:-1], w[-1]
+            return out
+        used.pop(int(w[:-1].argmin()))
+    p = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    out[-1] = np.log(p / (1 - p))
+    return out
+
+
+def _may_teach(margin: np.ndarray, y: np.ndarray) -> dict[int, bool]:
+    """Whether a view is right enough about each class on documents kept aside, where it is sure."""
+    out = {}
+    for c, sure in ((1, margin > SURE), (0, margin < -SURE)):
+        out[c] = bool(sure.sum() >= LEAST_TOLD and (y[sure] != c).mean() <= SKILL * (y != c).mean())
+    return out
+
+
 def cotrain(text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, added: int = ADDED) -> Model:
     """labels: 1, 0, or -1 for pool rows."""
     known = np.flatnonzero(labels >= 0)
@@ -92,26 +119,29 @@ def cotrain(text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds:
         return Model(*blank, np.array([[1.0, 0.0]] * 2), np.array([0.0, 0.0, p]))
     own = [dict(zip(fit.tolist(), labels[fit].astype(float))) for _ in range(2)]
     pool, share = set(np.flatnonzero(labels < 0).tolist()), labels[fit].mean()
-    views = [View.fit(text[fit], labels[fit].astype(float)), View.fit(metadata[fit], labels[fit].astype(float))]
+    views, taught = [View.fit(text[fit], labels[fit].astype(float)), View.fit(metadata[fit], labels[fit].astype(float))], [0, 0]
     for _ in range(rounds):
         for i, x in enumerate((text, metadata)):
+            may = _may_teach(views[i].margin(x[kept]), labels[kept])
             rest = np.array(sorted(pool), np.int64)
-            if not len(rest):
-                break
+            if not len(rest) or not any(may.values()):
+                continue
             margin = views[i].margin(x[rest])
             order = np.argsort(margin, kind="stable")
-            sure = [(k, 1.0) for k in order[::-1][: round(added * share)] if margin[k] > 2.2] + [(k, 0.0) for k in order[: round(added * (1 - share))] if margin[k] < -2.2]
+            sure = [(k, 1.0) for k in order[::-1][: round(added * share)] if may[1] and margin[k] > SURE]
+            sure += [(k, 0.0) for k in order[: round(added * (1 - share))] if may[0] and margin[k] < -SURE]
             for k, y in sure:  # the other view learns them
                 own[1 - i][int(rest[k])] = y
                 pool.discard(int(rest[k]))
+            taught[i] += len(sure)
         for i, x in enumerate((text, metadata)):
             at = np.array(sorted(own[i]), np.int64)
             views[i] = View.fit(x[at], np.array([own[i][k] for k in at.tolist()]))
     y = labels[kept].astype(float)
     margins = [v.margin(x[kept]) for v, x in zip(views, (text, metadata))]
-    calibration = np.array([logistic(m[:, None], y) for m in margins])
+    calibration = np.array([_upward(m[:, None], y) for m in margins])
     calibrated = np.column_stack([m * c[0] + c[1] for m, c in zip(margins, calibration)])
-    return Model(*views, calibration, logistic(calibrated, y))
+    return Model(*views, calibration, _upward(calibrated, y), tuple(taught))
 
 
 def _views(batch: pa.RecordBatch, first: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +155,12 @@ def _columns(documents: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """The combined model; view columns of at most ``labelled`` + ``pool`` documents reach the driver."""
+    """The combined model; view columns of at most ``labelled`` + ``pool`` documents reach the driver, an id once."""
     docs = _columns(documents)
     known = label_sample(labels, "quality", labelled)
     others = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
     others = others.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(-1))
-    sample = docs.join(F.broadcast(known.unionByName(others)), "doc_id").select("doc_id", "label", "text", "source", "lang", "n_chars")
+    sample = one_row_each(docs, known.unionByName(others), ["text", "source", "lang", "n_chars"])
 
     def measure(batches):
         for batch in batches:
@@ -164,14 +194,15 @@ def score_quality(documents: DataFrame, labels: DataFrame, keep_score: float = K
 def drop_low_quality(documents: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE) -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
     model = train(documents, labels)
-    given = _columns(documents).columns[1:]
-    extra = {f"__{c}": _columns(documents).schema[c].dataType for c in given}
-    rows = documents.withColumns({f"__{c}": (F.col(c) if c in documents.columns else F.lit(None)).cast(t) for c, t in zip(given, extra.values())})
-    at = len(documents.columns)
+    views, at = _columns(documents).drop("doc_id"), len(documents.columns)
+    # columns are told apart by place, whatever their names
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)]
+    seen = [(F.col(c) if c in documents.columns else F.lit(None)).cast(views.schema[c].dataType).alias(f"v{i}") for i, c in enumerate(views.columns)]
 
     def judge(batches):
         for batch in batches:
             kept = model.scores(*_views(batch, at))[:, 2] >= keep_score
-            yield pa.RecordBatch.from_arrays(batch.columns[:at], batch.schema.names[:at]).filter(pa.array(kept))
+            yield pa.RecordBatch.from_arrays(batch.columns[:at], names).filter(pa.array(kept))
 
-    return rows.mapInArrow(judge, documents.schema)
+    names = documents.columns
+    return documents.select(*own, *seen).mapInArrow(judge, documents.schema)

@@ -180,11 +180,21 @@ def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def one_row_each(documents: DataFrame, sample: DataFrame, columns: list[str]) -> DataFrame:
+    """(doc_id, label, columns) of the sampled ids, one row for each however many rows repeat it.
+
+    The sample has at most its limit of ids of 12 bytes, so it can be broadcast; of the rows of an id, that with the
+    smallest hash counts, which tasks settle before anything is shuffled.
+    """
+    rows = documents.join(F.broadcast(sample), "doc_id").select("doc_id", "label", F.struct(*columns).alias("row"))
+    one = rows.groupBy("doc_id", "label").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("doc_id", "label", *(F.col("row")[c].alias(c) for c in columns))
+
+
 def labelled_texts(documents: DataFrame, labels: DataFrame, column: str, rows: int) -> DataFrame:
-    """(label, text) of a bounded sample.  The sample has at most ``rows`` ids of 12 bytes, so it can be broadcast."""
-    sample = label_sample(labels, column, rows)
+    """(label, text) of a bounded sample: at most ``rows`` rows."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(sample), "doc_id").select("label", "text")
+    return one_row_each(texts, label_sample(labels, column, rows), ["text"]).select("label", "text")
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
@@ -205,7 +215,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Tr
 def quality_rules(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_score: float = KEEP_SCORE) -> DataFrame:
     """One row per document row: base counts, base rule, score of the trees and the verdict.
 
-    Null and empty texts have no words and fail the base rule.  Without usable labels the score is constant.
+    Null and empty texts have no words and fail the base rule.  Without usable labels the score is constant.  Repeated
+    rows are judged one by one, but a labelled id is learnt from once.
     """
     trees = train(documents, labels, rows)
     types = [pa.int64()] * 6 + [pa.bool_(), pa.bool_(), pa.float64()]

@@ -1,6 +1,6 @@
 import numpy as np
 
-from grantlake.llm.cotrain import cotrain, drop_low_quality, score_quality
+from grantlake.llm.cotrain import cotrain, drop_low_quality, score_quality, train
 from tests.llm.odd import documents
 
 
@@ -35,3 +35,45 @@ def test_odd_rows(spark):
     assert score_quality(docs.limit(0), labels).count() == 0
     assert score_quality(docs.select("doc_id", "text"), labels).count() == docs.count()
     assert drop_low_quality(docs, labels.limit(0)).count() == docs.count()
+
+
+def test_a_view_without_skill_neither_teaches_nor_counts():
+    rng = np.random.default_rng(6)
+    n = 3000
+    y = rng.random(n) < 0.8
+    text = y[:, None] * 2.0 + rng.standard_normal((n, 3))
+    noise = np.eye(20)[rng.integers(0, 20, n)] * 3
+    labels = np.where(np.arange(n) < 400, y.astype(int), -1)
+    model = cotrain(text, noise, labels)
+    assert model.taught[1] == 0 and model.taught[0] > 0 and (model.combination[:2] >= 0).all() and (model.calibration[:, 0] >= 0).all()
+    scores = model.scores(text, noise)
+    assert ((scores[:, 2] > 0.5) == y).mean() > 0.9
+
+
+def test_held_out_labels_are_told_apart(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = score_quality(docs, labels.where("doc_id % 3 <> 0")).collect()
+    quality = {r.doc_id: r.quality for r in labels.where("doc_id % 3 = 0").collect()}
+    mine = [(r.score, r.kept, quality[r.doc_id]) for r in rows if r.doc_id in quality]
+    assert len(mine) > 500 and np.mean([k == bool(y) for _, k, y in mine]) > 0.93
+    good, bad = np.array([s for s, _, y in mine if y]), np.array([s for s, _, y in mine if not y])
+    assert (good[:, None] > bad[None, :]).mean() + 0.5 * (good[:, None] == bad[None, :]).mean() > 0.85
+
+
+def test_an_id_is_learnt_from_once_and_columns_of_any_name_stay(spark):
+    docs = documents(spark)
+    many = docs.where("doc_id = 8").crossJoin(spark.range(3000).select()).union(docs)
+    labels = spark.createDataFrame([(8, 0, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    import grantlake.llm.cotrain as module
+
+    inner = module.cotrain
+    module.cotrain = lambda text, metadata, y, *a: seen.append(len(y)) or inner(text, metadata, y, *a)
+    try:
+        train(many, labels)
+    finally:
+        module.cotrain = inner
+    assert seen[0] <= docs.select("doc_id").distinct().count()
+    odd = docs.selectExpr("*", "doc_id as __text", "lang as v0", "1 as c1")
+    assert drop_low_quality(odd, labels).schema == odd.schema

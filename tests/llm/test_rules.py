@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from grantlake.llm.quality_rules import FALLING, FEATURES, grow, quality_rules, statistics
+from grantlake.llm.quality_rules import FALLING, FEATURES, grow, labelled_texts, quality_rules, statistics
 from tests.llm.odd import documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,3 +71,11 @@ def test_falling_features_never_raise_the_score():
 def test_statistics_small(text):
     base, features = statistics([text.encode(), b"", b"other words here"])
     assert tuple(base[0]) == brute(text) and np.isfinite(features).all()
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    docs = spark.range(10_000).selectExpr("id % 2 as doc_id", "concat('text ', id % 5000) as text")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    assert labelled_texts(docs, labels, "quality", 1).count() == 1
+    one = labelled_texts(docs, labels, "quality", 9).collect()
+    assert len(one) == 2 and sorted(one) == sorted(labelled_texts(docs.repartition(7), labels, "quality", 9).collect())
