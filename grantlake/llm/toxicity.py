@@ -1,12 +1,14 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon entries (whole words) and patterns (word beginnings).  They are mined from the texts of a bounded
-sample of labelled documents (``TRAIN_ROWS``): Spark counts in how many toxic and other texts each candidate is present
-and in how many it is dense, and those with the strongest link are taken one after the other, each on the texts that
-the earlier ones leave open.  A generative label model then sees only the votes: for the hidden class of a text it
-estimates how often each voter fires in either class, and from what remains it estimates the correlations between
-voters, by which correlated votes count less.  The given label is one more voter with its own error rates, so wrong
-labels can be outvoted.  A linear classifier on the voters' densities is fitted to the posterior labels and scores
+Voters are lexicon entries (whole words) and patterns (word beginnings).  A fixed bank of them comes with the operator:
+insults, and words of courtesy and notices that speak against.  Further ones are mined from the texts of a bounded sample
+of labelled documents (``TRAIN_ROWS``): Spark counts in how many toxic and other texts each candidate is present and in
+how many it is dense, and those with the strongest link are taken one after the other, each on the texts that the
+earlier ones leave open.  A generative label model then sees only the votes.  Given the hidden class of a text, groups of
+voters are independent of each other; a group is what its conditional correlations join, and has a distribution of its
+own over none, one or more of its voters firing.  So voters that err together count as one voice, each group speaks for
+the class its rates tell, and a silent group abstains.  The given label is one more voter with its own error rates, so
+wrong labels can be outvoted.  A linear classifier on the voters' densities is fitted to the posterior labels and scores
 every whole text.
 """
 
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlake.llm.quality_rules import labelled_texts
+from grantlake.llm.shared import cut
 from grantlake.llm.text import byte_column, words
 
 TRAIN_ROWS = 12000
@@ -29,6 +32,14 @@ CANDIDATES = 800
 PREFIXES = (4, 5, 6, 7, 8)
 DENSE = 1 / 150
 THRESHOLD = 0.3
+#: Conditional correlation from which two voters are of one group.
+TOGETHER = 0.3
+#: The bank of voters, whole words and beginnings (with ^).
+BANK = (
+    "idiot idiots idiotic moron morons stupid dumb loser losers scum trash garbage pathetic worthless disgusting clown clowns fool fools jerk ^imbecil ^cretin ^bastard ^retard ^asshole ^bitch ^fuck ^shit "
+    "dummkopf trottel arschloch ^idioten abschaum connard imbécile ordure salaud estúpido idiota imbécil basura "
+    "please thanks thank licensed license copyright welcome bitte danke merci gracias"
+).split()
 #: Most that a given label counts, in log-odds: one label in a dozen may be wrong.
 GIVEN = 2.5
 
@@ -48,12 +59,14 @@ class Matcher(dict):
 
     def __init__(self, patterns: list[bytes], alone: bool = False):
         self.number = {p: i for i, p in enumerate(patterns)}
+        self.lengths = sorted({len(p) - 1 for p in patterns if p[:1] == b"^"})
         self.alone = alone
 
     def __missing__(self, word: bytes) -> tuple:
         if len(self) > 400_000:
             self.clear()
-        found = sorted(i for p in _patterns(word) if (i := self.number.get(p)) is not None)
+        own = [b"=" + word, *(b"^" + word[:n] for n in self.lengths if len(word) >= n)]
+        found = sorted(i for p in own if (i := self.number.get(p)) is not None)
         out = self[word] = tuple(found[:1] if self.alone else found)
         return out
 
@@ -123,31 +136,50 @@ def choose(fires: np.ndarray, labels: np.ndarray, most: int = VOTERS) -> list[in
     return out
 
 
+def groups_of(votes: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """The group of each voter: those whose votes are correlated given the class stand together."""
+    m = votes.shape[1]
+    p1, p0 = ((w @ votes + 0.01) / (w.sum() + 1) for w in (post, 1 - post))
+    left = votes - post[:, None] * p1 - (1 - post)[:, None] * p0
+    scale = np.sqrt((left**2).mean(axis=0)) + 1e-6
+    near = (left.T @ left) / len(votes) / scale[:, None] / scale[None, :] > TOGETHER
+    group = np.arange(m)
+    while True:  # labels of connected voters fall to the smallest
+        new = np.array([group[near[i] | (group == group[i])].min() for i in range(m)], np.int64) if m else group
+        if (new == group).all():
+            return np.unique(group, return_inverse=True)[1]
+        group = new
+
+
 def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, dict]:
     """Posterior of class 1, with the estimates.
 
-    votes: n x m, 1 where a voter fires; a silent voter abstains and tells nothing.  That none fires, and the given
-    label, are votes for either class.  All rates and the correlations are estimated by expectation maximisation.
+    votes: n x m, true where a voter fires; a silent group abstains and tells nothing.  That no voter for class 1 fires,
+    and the given label, are votes for either class.  All rates are estimated by expectation maximisation, and the groups
+    anew every few rounds.
     """
-    m = votes.shape[1]
-    v = np.column_stack([votes, votes.any(axis=1), labels]).astype(float)
+    votes, n = votes.astype(float), len(votes)
     prior = min(max(labels.mean(), 0.01), 0.9)
-    post = 0.5 * v[:, -2] * prior**0.25 + 0.5 * labels
-    for _ in range(rounds):
-        p1 = np.clip((post @ v + 2 * prior) / (post.sum() + 2), 1e-3, 1 - 1e-3)
-        p0 = np.clip(((1 - post) @ v + 0.02) / ((1 - post).sum() + 2), 1e-4, 1 - 1e-3)
-        left = v - post[:, None] * p1 - (1 - post)[:, None] * p0
-        scale = np.sqrt((left**2).mean(axis=0)) + 1e-6
-        correlation = (left.T @ left) / len(v) / scale[:, None] / scale[None, :]
-        np.fill_diagonal(correlation, 0)
-        weight = 1 / (1 + np.clip(correlation[:m, :m] - 0.1, 0, None).sum(axis=1))  # voters that err together share a vote
-        precise = np.clip(np.log(p1 / p0), -4, 4)
-        silent = np.log((1 - p1) / (1 - p0))
-        odds = np.log(prior / (1 - prior)) + v[:, :m] @ (precise[:m] * weight)
-        odds += np.where(v[:, -2] > 0, 0, silent[-2]) + np.clip(np.where(labels > 0, precise[-1], silent[-1]), -GIVEN, GIVEN)
+    heard = votes.any(axis=1)
+    post = 0.5 * heard * prior**0.25 + 0.5 * labels
+    for step in range(rounds):
+        if step % 8 == 0:
+            group = groups_of(votes, post)
+            symbol = np.zeros((n, group.max() + 1 if len(group) else 0), np.int64)
+            for g in range(symbol.shape[1]):
+                symbol[:, g] = np.minimum(votes[:, group == g].sum(axis=1), 2)
+        rates = [np.array([((symbol == s).T @ w + a) / (w.sum() + b) for s in range(3)]) for w, a, b in ((post, 0.03, 0.1), (1 - post, 0.01, 0.1))]
+        says = np.clip(np.log(rates[0] / rates[1]), -4, 4)
+        odds = np.log(prior / (1 - prior)) + sum(((symbol == s) @ says[s] for s in (1, 2)), np.zeros(n))
+        speaking = (symbol > 0) @ (says[1] > 0) > 0
+        for vote, most in ((speaking, 4.0), (labels > 0, GIVEN)):
+            p1, p0 = (post @ vote + 2 * prior) / (post.sum() + 2), ((1 - post) @ vote + 0.02) / ((1 - post).sum() + 2)
+            p1, p0 = np.clip([p1, p0], 1e-3, 1 - 1e-3)
+            silent = np.log((1 - p1) / (1 - p0))
+            odds += np.clip(np.where(vote, 0 if vote is speaking else np.log(p1 / p0), silent), -most, most)
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         prior = min(max(post.mean(), 0.01), 0.5)
-    return post, {"fires_in_1": p1, "fires_in_0": p0, "correlation": correlation, "weight": weight}
+    return post, {"group": group, "says": says, "fires_in_1": 1 - rates[0][0], "fires_in_0": 1 - rates[1][0]}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 15) -> np.ndarray:
@@ -178,16 +210,19 @@ class Model:
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Model, dict]:
     """The classifier and the label model's estimates; only counts of at most ``rows`` labelled texts reach the driver."""
-    sample = labelled_texts(documents, labels.where(~held_out(F.col("doc_id"))), "toxic", rows)
-    candidates = mine(sample)
-
+    sample = cut(labelled_texts(documents, labels.where(~held_out(F.col("doc_id"))), "toxic", rows))  # read several times
+    mined = mine(sample)
+    bank = [b"^" + w[1:].encode() if w[0] == "^" else b"=" + w.encode() for w in BANK]
+    candidates = list(dict.fromkeys([*mined, *bank]))
     y, n, counts = _counts(sample, candidates)
-    if not candidates:
+    if len(set(y.tolist())) < 2:
         p = min(max(float(y.mean()) if len(y) else 0.0, 1e-3), 1 - 1e-3)
         return Model([], np.array([0.0, 0.0, np.log(p / (1 - p))])), {}
-    word = np.array([p[:1] == b"=" for p in candidates])
+    fixed = np.array([p in bank for p in candidates])
+    word = np.array([p[:1] == b"=" for p in candidates]) | fixed
     fires = np.where(word, counts > 0, (counts >= 2) & (counts >= DENSE * n[:, None]))
-    chosen = choose(fires, y)
+    chosen = choose(fires[:, : len(mined)], y) if mined else []
+    chosen += [i for i in np.flatnonzero(fixed & (fires.sum(axis=0) >= 2)).tolist() if i not in chosen]
     posterior, estimates = label_model(fires[:, chosen], y)
     patterns = [candidates[i] for i in chosen]
     alone = _counts(sample, patterns, alone=True)[2]

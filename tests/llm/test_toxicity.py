@@ -34,7 +34,34 @@ def test_label_model_finds_good_voters_and_outvotes_wrong_labels():
     given = np.where(rng.random(4000) < 0.08, ~y, y)
     post, estimates = label_model(np.column_stack([*good, *copies, *bad]), given.astype(float))
     assert ((post > 0.5) == y).mean() > (given == y).mean() + 0.03
-    assert estimates["weight"][0] < 0.6 * estimates["weight"][1]
+    group = estimates["group"].tolist()
+    assert {group[i] for i in (0, 6, 7, 8)} == {group[0]} and len(set(group)) == 9  # the copies are one voice
+    once, _ = label_model(np.column_stack([*good, *bad]), given.astype(float))
+    assert np.abs(post - once).mean() < 0.02
+
+
+def test_label_model_recovers_rates_and_voters_of_either_class():
+    rng = np.random.default_rng(4)
+    y = rng.random(6000) < 0.25
+    rates = ((0.5, 0.02), (0.6, 0.03), (0.4, 0.01), (0.05, 0.5), (0.03, 0.4))
+    votes = [np.where(y, rng.random(6000) < a, rng.random(6000) < b) for a, b in rates]
+    given = np.where(rng.random(6000) < 0.1, ~y, y)
+    post, estimates = label_model(np.column_stack(votes), given.astype(float))
+    odds = np.log(1 / 3) + sum(np.where(v, np.log(a / b), np.log((1 - a) / (1 - b))) for v, (a, b) in zip([*votes, given], [*rates, (0.9, 0.1)]))
+    assert ((post > 0.5) == y).mean() > ((odds > 0) == y).mean() - 0.02  # nearly as good as with the true rates
+    for k, (a, b) in enumerate(rates):
+        g = estimates["group"][k]
+        # silence tells nothing in the model, so its rates lean to where voters are heard
+        assert abs(estimates["fires_in_1"][g] - a) < 0.1 and abs(estimates["fires_in_0"][g] - b) < 0.05
+        assert (estimates["says"][1][g] > 0) == (k < 3)
+
+
+def test_held_out_texts_of_more_rows_are_told_apart(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    mine = [(r.predicted, toxic[r.doc_id]) for r in toxicity(docs, labels).collect() if r.held_out and r.doc_id in toxic]
+    assert np.mean([p for p, y in mine if y]) > 0.8 and np.mean([p for p, y in mine if not y]) < 0.03
 
 
 def test_odd_rows(spark):
