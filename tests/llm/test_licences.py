@@ -41,7 +41,7 @@ def test_base_columns_equal_brute_force(spark, sf):
 def test_templates_are_found_with_small_changes_and_other_text_not():
     scanner = Scanner()
     for label, texts in TEMPLATES.items():
-        for text in texts:
+        for text in texts.values():
             assert label in scanner.scan(("Some words before. " + text.upper() + ", and after").encode())["labels"].split(","), text
             w = text.split()
             if len(w) > 20:
@@ -50,6 +50,17 @@ def test_templates_are_found_with_small_changes_and_other_text_not():
     assert scanner.scan(b"the use of this software and the terms of the work are for any other person to read in the file")["labels"] == ""
 
 
+def test_every_copy_of_a_template_is_a_span():
+    scanner, between = Scanner(), " some other words stand here " * 3
+    text = " ".join(TEMPLATES["mit"]["text"].split())
+    n = len(text.split())
+    spans = [s for s in scanner.scan((between.join([text] * 3) + between + "Licensed under CC BY 4.0").encode())["spans"] if s["part"] == "text"]
+    assert [(s["label"], s["first"], s["last"]) for s in spans] == [("mit", k * (n + 15), k * (n + 15) + n - 1) for k in range(3)]
+    grant = scanner.scan(TEMPLATES["mit"]["grant"].encode())["spans"]
+    assert {(s["label"], s["part"]) for s in grant} == {("mit", "grant")}  # the opening alone is no whole text
+    assert len([s for s in scanner.scan(b"licensed under cc by 4 0 " * 7)["spans"] if s["label"] == "cc-by"]) == 7
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     rows = licence_scan(docs).collect()
