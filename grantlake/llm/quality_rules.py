@@ -212,6 +212,26 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Tr
     return grow(x[order], y[order], [FEATURES.index(f) for f in FALLING])
 
 
+def _base(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The base counts and whether the base rule fails, as columns, and the features."""
+    base, x = statistics(texts)
+    return [*base.T, (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])], x
+
+
+BASE_SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean"
+
+
+def base_statistics(documents: DataFrame) -> DataFrame:
+    """One row per document row: the base counts and the base rule alone."""
+
+    def count(batches):
+        for batch in batches:
+            columns, _ = _base(byte_column(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["doc_id", *BASE, "base_failed"])
+
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(count, BASE_SCHEMA)
+
+
 def quality_rules(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_score: float = KEEP_SCORE) -> DataFrame:
     """One row per document row: base counts, base rule, score of the trees and the verdict.
 
@@ -224,11 +244,9 @@ def quality_rules(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROW
 
     def judge(batches):
         for batch in batches:
-            base, x = statistics(byte_column(batch.column(1)))
-            failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
+            columns, x = _base(byte_column(batch.column(1)))
             score = trees.score(x)
-            columns = [*base.T, failed, ~failed & (score >= keep_score), score]
+            columns += [~columns[-1] & (score >= keep_score), score]
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns, types[1:])], names)
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, kept boolean, score double"
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(judge, schema)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(judge, BASE_SCHEMA + ", kept boolean, score double")

@@ -9,8 +9,9 @@ from grantlake.llm.decontam import decontaminate
 from grantlake.llm.language import identify
 from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
+from grantlake.llm.oracle import ORACLE as ORACLE
 from grantlake.llm.packing import pack, pack_conversations
-from grantlake.llm.quality_rules import quality_rules
+from grantlake.llm.quality_rules import base_statistics, quality_rules
 from grantlake.llm.substring import repeated_passages
 from grantlake.llm.toxicity import toxicity
 from grantlake.llm.wrapper import extract
@@ -24,6 +25,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``op1_quality_rules`` counts, without the trees."""
+    return base_statistics(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,11 @@ def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def licence_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``op7_licence_scan`` says about the phrases."""
+    return op7_licence_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        quality_base,
         op2_packing,
         packed_conversations,
         op3_decontamination,
@@ -76,10 +88,9 @@ QUERIES = {
         op5_substring_dedup,
         op6_minhash_near_dedup,
         op7_licence_scan,
+        licence_base,
         op8_quality_classifier,
         op9_html_extraction,
         op10_language_id,
     )
 }
-
-ORACLE: dict[str, str] = {}
