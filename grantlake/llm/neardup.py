@@ -213,7 +213,8 @@ def _without_rare(able: DataFrame, texts: DataFrame, similarity: float) -> tuple
     themselves: texts that share one are paired here, at most RARE squared for each, and for all other pairs such
     shingles are in no overlap, which rules out most of what only looks like the rest of a large group.
     """
-    large = able.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
+    large = cut(able.groupBy("band").agg(F.count("*").alias("members"), F.min("size").alias("least")))
+    able, large = able.join(large.select("band", "least"), "band"), large.where(F.col("members") >= HOT).drop("least")
     hot = able.join(large, "band").select("doc_id", "label").distinct()
     rows = _shingles(texts.join(hot.select("doc_id"), "doc_id", "left_semi"))
     counts = rows.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
@@ -224,8 +225,7 @@ def _without_rare(able: DataFrame, texts: DataFrame, similarity: float) -> tuple
     few = some.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     joined = able.join(large, "band", "left").join(sums, "doc_id", "left")
     common = F.when(F.col("members").isNotNull(), F.least("own", F.col("size") - F.coalesce("rare", F.lit(0)))).otherwise(F.col("own"))
-    least = able.groupBy("band").agg(F.min("size").alias("least"))
-    left = joined.withColumn("own", common).join(least, "band")
+    left = joined.withColumn("own", common)
     left = left.where(_may_reach(F.col("own"), F.col("size"), F.greatest(F.col("size") * F.lit(similarity), "least"), similarity))
     return cut(_mixed(left.select("band", "doc_id", "size", "label", "own"))), few
 
@@ -233,7 +233,7 @@ def _without_rare(able: DataFrame, texts: DataFrame, similarity: float) -> tuple
 def _mixed(placed: DataFrame) -> DataFrame:
     """The rows (band, label, ...) of bands with more than one label."""
     bands = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-    return placed.join(bands, "band", "left_semi")
+    return placed.join(cut(bands), "band", "left_semi")
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -247,11 +247,12 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     copies = signed.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     heads = signed.join(copies.select(F.col("key"), F.col("first").alias("doc_id")), ["key", "doc_id"], "left_semi")
     banded = heads.select("doc_id", "size", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("band", "n")
+    # one row a band is stored before it meets the members, so that Spark can split the members of a large band
+    buckets = cut(banded.groupBy("band").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("band", "n"))
     full = cut(banded.join(buckets, "band"))  # only members of buckets with two texts or more
     middle = full.groupBy("doc_id", "size").agg(F.sum("n").alias("shared"))
     best = full.join(middle.select("doc_id", "shared"), "doc_id").groupBy("band").agg(F.max(F.struct("shared", -F.col("doc_id"), "size")).alias("best"))
-    centres = best.select("band", (-F.col("best.col2")).alias("b"), F.col("best.size").alias("size_b"))
+    centres = cut(best.select("band", (-F.col("best.col2")).alias("b"), F.col("best.size").alias("size_b")))
     stars = full.join(centres, "band").where("doc_id <> b").where(_may_reach(F.least("size", "size_b"), F.col("size"), F.col("size_b"), similarity))
     tested = cut(stars.select(F.col("doc_id").alias("a"), "b").distinct())
     texts = cut(docs.join(middle.select("doc_id"), "doc_id", "left_semi"))
@@ -261,7 +262,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     placed = full.select("band", "doc_id", "size").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     open_ = cut(_mixed(placed))
     alone = unshared(texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi"))
-    least = open_.groupBy("band").agg(F.min("size").alias("least"))
+    least = cut(open_.groupBy("band").agg(F.min("size").alias("least")))
     able = open_.join(alone, "doc_id", "left").withColumn("own", F.col("size") - F.coalesce("alone", F.lit(0))).join(least, "band")
     able = able.where(_may_reach(F.col("own"), F.col("size"), F.greatest(F.col("size") * F.lit(similarity), "least"), similarity))
     able = cut(_mixed(able.select("band", "doc_id", "size", "label", "own")))
@@ -285,4 +286,4 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
 def drop_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, the one with the smallest id; all its columns stay.  Rows without doc_id stay."""
     copies = near_duplicates(documents, similarity).where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(copies, "doc_id", "left_anti")
+    return documents.join(copies, "doc_id", "left_anti").select(*documents.columns)

@@ -75,3 +75,27 @@ def test_odd_rows(spark):
     kept = drop_near_duplicates(docs)
     assert set(kept.columns) == set(docs.columns) and kept.where("doc_id = 5").count() == 0
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_recall_of_every_fiftieth_document_against_all(spark):
+    """Exact similarities of the query set with all rows, by a table of all shingles; no link may be lost."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    hashes = WordHashes()
+    bags = {r.doc_id: bag(words(r.text.encode()), hashes) for r in docs.collect() if words((r.text or "").encode())}
+    ids = np.array(sorted(bags))
+    totals = np.array([int(bags[d][1].sum()) for d in ids.tolist()])
+    items, counts = (np.concatenate([bags[d][k] for d in ids.tolist()]) for k in (0, 1))
+    owner = np.repeat(np.arange(len(ids)), [len(bags[d][0]) for d in ids.tolist()])
+    order = np.argsort(items, kind="stable")
+    items, counts, owner = items[order], counts[order], owner[order]
+    classes = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    links = lost = 0
+    for q in np.flatnonzero(ids % 50 == 0).tolist():
+        own, n = bags[int(ids[q])]
+        a, b = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
+        at = np.concatenate([np.arange(x, y) for x, y in zip(a, b)])
+        both = np.bincount(owner[at], np.minimum(counts[at], np.repeat(n, b - a)), len(ids))
+        near = np.flatnonzero(both / (totals + totals[q] - both) >= 0.8)
+        links += len(near) - 1
+        lost += sum(classes[int(ids[k])] != classes[int(ids[q])] for k in near.tolist())
+    assert links > 20 and lost == 0
