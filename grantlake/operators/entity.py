@@ -2,8 +2,9 @@
 
 Similarity is the token-sort ratio: words are sorted, and the ratio is 2 * longest common subsequence / sum of lengths.
 Candidates come from an exact filter: at a ratio of r two names are at most k = (1 - r) * (sum of lengths) insertions
-and deletions apart, each of which destroys at most three trigrams, so the two names share a trigram among the first
-3 * k + 1 of either if trigrams are ordered by rarity.
+and deletions apart, each of which destroys at most three trigrams, so if either name has more than 3 * k trigrams, the
+two share one among the first 3 * k + 1 of either, trigrams ordered by rarity.  Names that are too short for that are
+compared with each other by single characters in the same way, of which an edit destroys one.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +33,9 @@ def normalised(names: pd.Series) -> pd.Series:
     return names.map(lambda n: normalise(n) if n is not None else None)
 
 
-@F.pandas_udf(T.StringType())
-def sorted_tokens(names: pd.Series) -> pd.Series:
-    return names.map(lambda n: " ".join(sorted(n.split())) if n is not None else None)
+def sorted_tokens(name) -> Column:
+    """The words of a name in order."""
+    return F.array_join(F.array_sort(F.split(name, " ")), " ")
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -73,39 +74,50 @@ def exact_matches(names: DataFrame, registry: DataFrame) -> DataFrame:
     return names.select("name").distinct().withColumn("norm", normalised("name")).where("norm <> ''").join(index, "norm").select("name", "r.*")
 
 
-def _grams(df: DataFrame, key: str) -> DataFrame:
-    """(key, t, n, gram): the distinct trigrams of the sorted form t, by occurrence ('gram#2' is a second one)."""
-    at = F.sequence(F.lit(1), F.greatest(F.length("t") - 2, F.lit(1)))
-    rows = df.select(key, "t", F.explode(F.transform(at, lambda i: F.substring(F.col("t"), i, F.lit(3)))).alias("g"))
-    counted = rows.groupBy(key, "t", "g").agg(F.count("*").alias("c"))
-    return counted.select(key, "t", F.explode(F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.concat_ws("#", "g", i.cast("string")))).alias("gram"))
+def _grams(df: DataFrame, width: int) -> DataFrame:
+    """(k, t, n, gram): the runs of ``width`` characters of t, by occurrence ('gram#2' is a second one), and their number."""
+    at = F.sequence(F.lit(1), F.greatest(F.length("t") - (width - 1), F.lit(1)))
+    rows = df.select("k", "t", F.size(at).alias("n"), F.explode(F.transform(at, lambda i: F.substring(F.col("t"), i, F.lit(width)))).alias("g"))
+    counted = rows.groupBy("k", "t", "n", "g").agg(F.count("*").alias("c"))
+    return counted.select("k", "t", "n", F.explode(F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.concat_ws("#", "g", i.cast("string")))).alias("gram"))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """(a, b, score) of all pairs of sorted forms (column t in both) with a ratio of at least the cutoff."""
-    one = left.select("t").distinct().where(F.length("t") >= 3)
-    other = right.select("t").distinct().where(F.length("t") >= 3)
-    left_grams, right_grams = _grams(one.withColumn("k", F.lit(0)), "k"), _grams(other.withColumn("k", F.lit(1)), "k")
-    grams = left_grams.unionByName(right_grams)
+def _candidates(names: DataFrame, width: int, cutoff: float) -> DataFrame:
+    """(a, b) of the names (k, t) of either side that share one of their rarest runs of ``width`` characters."""
+    grams = _grams(names, width)
     frequency = grams.groupBy("gram").agg(F.count("*").alias("f"))
-    share = 1 - cutoff / 100
-    # the partner's length is at most len * (1 + share) / (1 - share)
-    most = F.floor(F.length("t") * (1 + (1 + share) / (1 - share)) * share + 1e-9)
     rank = F.row_number().over(Window.partitionBy("k", "t").orderBy("f", "gram"))
-    prefix = grams.join(frequency, "gram").withColumn("n", rank).where(F.col("n") <= 3 * most + 1)
+    prefix = grams.join(frequency, "gram").withColumn("at", rank).where(F.col("at") <= width * _most_edits(cutoff) + 1)
     a = prefix.where("k = 0").select("gram", F.col("t").alias("a"))
     b = prefix.where("k = 1").select("gram", F.col("t").alias("b"))
     la, lb = F.length("a"), F.length("b")
-    fits = F.least(la, lb) * 200.0 / (la + lb) >= cutoff
-    pairs = a.join(b, "gram").where(fits).select("a", "b").distinct()
+    return a.join(b, "gram").where(F.least(la, lb) * 200.0 / (la + lb) >= cutoff).select("a", "b").distinct()
+
+
+def _most_edits(cutoff: float) -> Column:
+    """Most edits between t and a name that is similar; its length is at most len * (1 + share) / (1 - share)."""
+    share = 1 - cutoff / 100
+    return F.floor(F.length("t") * (1 + (1 + share) / (1 - share)) * share + 1e-9)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """(a, b, score) of all pairs of sorted forms (column t in both) with a ratio of at least the cutoff, above 67.
+
+    Null and empty forms have no pairs.
+    """
+    if cutoff <= 67:
+        raise ValueError("below a cutoff of 67 names need not share a character of their rarest ones")
+    names = left.select(F.lit(0).alias("k"), "t").unionByName(right.select(F.lit(1).alias("k"), "t")).where("t <> ''").distinct()
+    short = F.greatest(F.length("t") - 2, F.lit(1)) <= 3 * _most_edits(cutoff)
+    pairs = _candidates(names, 3, cutoff).unionByName(_candidates(names.where(short | (F.length("t") < 3)), 1, cutoff)).distinct()
     return pairs.withColumn("score", ratio("a", "b")).where(F.col("score") >= cutoff)
 
 
 def similar_matches(names: DataFrame, registry: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """(name, ror_id, display_name, country, score): the most similar registry name; of equals, the first in the file."""
-    given = names.select("name").distinct().withColumn("norm", normalised("name")).where(F.length("norm") >= SHORTEST).withColumn("t", sorted_tokens("norm"))
+    given = names.select("name").distinct().withColumn("norm", normalised("name")).where(F.length("norm") >= SHORTEST).withColumn("t", sorted_tokens(F.col("norm")))
     listed = registry.withColumn("norm", normalised("name")).where("norm <> ''").groupBy("norm").agg(F.min_by(F.struct("ror_id", "display_name", "country", "position"), "position").alias("r"))
-    listed = listed.withColumn("t", sorted_tokens("norm"))
+    listed = listed.withColumn("t", sorted_tokens(F.col("norm")))
     pairs = similar_pairs(given, listed, cutoff)
     scored = pairs.join(given.select("name", F.col("t").alias("a")), "a").join(listed.select(F.col("t").alias("b"), "r"), "b")
     best = scored.groupBy("name").agg(F.max_by(F.struct("r.ror_id", "r.display_name", "r.country", "score"), F.struct("score", -F.col("r.position"))).alias("m"))

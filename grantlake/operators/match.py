@@ -7,6 +7,8 @@ inside the tasks, and only patterns whose piece occurs are tested whole.
 
 from __future__ import annotations
 
+import re
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -16,10 +18,21 @@ MOST_PATTERNS = 200_000
 
 
 def pieces(pattern: str) -> list[str]:
-    """Pieces of a pattern in lower case.  It must begin and end with a wildcard and have no single-character one."""
-    if not (pattern.startswith("%") and pattern.endswith("%")) or "_" in pattern.replace("\\_", ""):
+    """Pieces of a pattern in lower case.  It must begin and end with a wildcard and have no single-character one.
+
+    A backslash takes the special meaning from the wildcard or backslash after it.
+    """
+    parts = [""]
+    for token in re.findall(r"\\[%_\\]|.", pattern.lower(), re.S):
+        if token == "_":
+            raise ValueError(f"not a pattern of pieces: {pattern!r}")
+        if token == "%":
+            parts.append("")
+        else:
+            parts[-1] += token[-1]
+    if len(parts) < 2 or parts[0] or parts[-1]:
         raise ValueError(f"not a pattern of pieces: {pattern!r}")
-    return [p for p in pattern.lower().split("%") if p]
+    return [p for p in parts if p]
 
 
 class Patterns:

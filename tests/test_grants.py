@@ -171,3 +171,27 @@ def test_refresh_keeps_the_rows_of_a_source_that_fails(spark):
     new = grants(spark, [row(2, "gepris", "2")])
     out, states = refresh.refresh(old, binding.funders(spark), {"cordis_bulk": broken, "gepris": lambda: new})
     assert states == {"cordis_bulk": "error: OSError", "gepris": "ok"} and {r.source for r in out.collect()} == {"cordis_bulk", "gepris"}
+
+
+def test_no_similar_pair_is_lost_at_any_cutoff(spark):
+    import random
+
+    rng = random.Random(3)
+    names = sorted({"".join(rng.choice("abcd ") for _ in range(rng.randint(1, 12))).strip() or "a" for _ in range(160)} | {"abcde", "abxde"})
+    df = spark.createDataFrame([(n,) for n in names], "t string")
+    for cutoff in (70, 80, 90):
+        expected = {(a, b) for a in names for b in names if 200 * entity.common_subsequence(a, b) / (len(a) + len(b)) >= cutoff}
+        assert {(r.a, r.b) for r in entity.similar_pairs(df, df, cutoff).collect()} == expected
+    with pytest.raises(ValueError):
+        entity.similar_pairs(df, df, 60)
+    odd = spark.createDataFrame([(None,), ("",), ("b a",)], "t string")
+    assert [tuple(r)[:2] for r in entity.similar_pairs(odd, odd, 90).collect()] == [("b a", "b a")]
+
+
+def test_escaped_wildcards_are_literal():
+    assert match.pieces(r"%a\_b%") == ["a_b"] and match.pieces(r"%50\%%x\\%") == ["50%", "x\\"] and match.pieces("%") == []
+    found = match.Patterns([r"%a\_b%", "%A%c%"]).found
+    assert found("xA_By") == [0] and found("a-b c") == [1] and found("axb") == []
+    for wrong in ("a%", "%a", "%a_b%", "", r"%a\%"):
+        with pytest.raises(ValueError):
+            match.pieces(wrong)
