@@ -19,10 +19,11 @@ from xxhash import xxh3_128_digest
 
 from grantlake.llm.text import byte_column, mix, sliding_min
 
-GEAR_BYTES = 16
+GEAR_BYTES = 8
 REACH = 16
 LONGEST = 4096
-LEAST = 100
+#: Whole chunks inside a passage of 50 words (290 bytes and more) cover so many bytes; in passages of under 35 they don't.
+LEAST = 160
 BLOCK = 1 << 20
 
 #: One random number per byte value; the pad byte between texts has none.

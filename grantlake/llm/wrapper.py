@@ -38,6 +38,7 @@ RECURRING, ROTATING_PAGES = 0.85, 16
 MOST_HOSTS = 100_000
 MODEL_BYTES = 32 << 20
 MOST_PARSED = 512
+VOTES = 20_000
 #: Slots that aren't of one layout: paths of a whole host, and nodes of its model page.
 HOST_WIDE, MODEL = 0, 1
 #: Modulus and base of the hashes of runs of text blocks.
@@ -384,7 +385,7 @@ def _slots(models: Models, host: str, of: str, outline: Outline) -> list[tuple[i
 def _layouts(batches, declared: bool) -> Iterator[pa.RecordBatch]:
     """(host, page, page_id, layout) of the pages (host, html, page, page_id) that have text."""
     for batch in batches:
-        found = [_outline(parse(page), declared).layout for page in batch.column(1).to_pylist()]
+        found = [_outline(parse(page.as_py()), declared).layout for page in batch.column(1)]
         out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.int64())], ["host", "page", "page_id", "layout"])
         yield out.filter(out.column(3).is_valid())
 
@@ -396,15 +397,20 @@ def _align(batches, model_of, declared: bool) -> Iterator[pa.RecordBatch]:
     """
     models, names = Models(), ["host", "scope", "slot", "text", "page", "texts"]
     types = [pa.string(), *[pa.int64()] * 5]
+    rows = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 6, types)], names)
     for batch in batches:
         out: list[tuple] = []
-        for host, page, key, of in zip(*(batch.column(i).to_pylist() for i in range(3)), model_of(batch)):
+        for i, of in enumerate(model_of(batch)):
+            host, page, key = (batch.column(k)[i].as_py() for k in range(3))
+            if len(out) >= VOTES:  # the votes of a batch of pages are more than its rows
+                yield rows(out)
+                out = []
             if of is not None:
                 found = _slots(models, host, of, _outline(parse(page), declared))
                 votes = {(scope, slot, text) for _, scope, slot, text in found}
                 texts = Counter((scope, slot) for scope, slot, _ in votes)
                 out += [(host, *vote, key, 0) for vote in votes] + [(host, scope, slot, None, key, n) for (scope, slot), n in texts.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 6, types)], names)
+        yield rows(out)
 
 
 def _read(batches, template_of, declared: bool) -> Iterator[pa.RecordBatch]:
@@ -417,7 +423,8 @@ def _read(batches, template_of, declared: bool) -> Iterator[pa.RecordBatch]:
     models = Models()
     for batch in batches:
         out = []
-        for host, page, (of, template_by) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), template_of(batch)):
+        for i, (of, template_by) in enumerate(template_of(batch)):
+            host, page = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
             root, template = parse(page), set()
             if of is not None:
                 outline = _outline(root, declared)

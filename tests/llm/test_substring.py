@@ -62,13 +62,31 @@ def test_only_what_one_document_has_in_one_piece_is_repeated(spark):
     text = words(900)
     docs = [(i, words(200) + text[40 * i : 40 * i + 95] + words(200)) for i in range(21)] + [(99, text)]
     schema = "doc_id long, text string"
-    assert repeated_passages(spark.createDataFrame(docs, schema)).count() == 0
-    assert {r.text for r in drop_repeated_passages(spark.createDataFrame(docs, schema)).where("doc_id = 99").collect()} == {text}
+    assert repeated_passages(spark.createDataFrame(docs, schema), 100).count() == 0
+    assert {r.text for r in drop_repeated_passages(spark.createDataFrame(docs, schema), 100).where("doc_id = 99").collect()} == {text}
     docs.append((50, words(150) + text[200:600] + words(150)))
-    (row,) = repeated_passages(spark.createDataFrame(docs, schema)).where("doc_id = 99").collect()
+    (row,) = repeated_passages(spark.createDataFrame(docs, schema), 100).where("doc_id = 99").collect()
     assert row.kept_in == 50 and 200 <= row["first"] < 300 and 500 < row["last"] <= 600
 
 
+def test_passages_over_50_words_are_caught_and_shorter_ones_left(spark):
+    """Planted passages of 51 to 80 words are caught but for rare ones; documents that share 22 words at most are left alone."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) BETWEEN 800 AND 4000").collect()}
+    rng = random.Random(12)
+    ids = sorted(docs)
+    pool = [w for d in ids[:200] for w in docs[d].split()]
+    new = lambda n: " ".join(rng.choice(pool) for _ in range(n))
+    rows, caught, clean = [], [], []
+    for k in range(300):
+        long, passage = k % 2 == 0, new(rng.randint(51, 80) if k % 2 == 0 else rng.randint(12, 22))
+        for copy in range(2):
+            at = 10 * k + copy
+            rows.append((at, f"{new(rng.randint(40, 90))} {passage} {new(rng.randint(40, 90))}"))
+        (caught if long else clean).append(at)
+    found = {r.doc_id for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(d in found for d in caught) >= 0.99 * len(caught) and not found & set(clean)
+
+
 def test_runs_cover_stretches_of_chunks_exactly():
     rng = np.random.default_rng(2)
     for _ in range(50):
@@ -120,7 +138,7 @@ def test_passages_against_brute_force(spark):
     docs = [(d, text(rng.randint(0, 300)) + "".join(rng.choice(pool) + text(rng.randint(0, 60)) for _ in range(rng.randint(0, 3)))) for d in range(40)]
     true = brute({d: t.encode() for d, t in docs}, 100)
     got = {d: set() for d, _ in docs}
-    for r in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+    for r in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string"), 100).collect():
         got[r.doc_id] |= set(range(r["first"], r["last"]))
     assert all(got[d] <= true[d] for d in got)
     assert sum(map(len, got.values())) > 0.75 * sum(map(len, true.values()))
