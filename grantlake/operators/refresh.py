@@ -11,17 +11,23 @@ from pyspark.sql import functions as F
 from grantlake.operators.integrity import run_integrity
 from grantlake.operators.merge import merge_upsert
 from grantlake.schemas import GRANT, GRANT_KEY, GRANT_UPDATES, ensure_columns
+from grantlake.sources.landing import new_folder
 
 log = logging.getLogger(__name__)
 
 
 def refresh(grants: DataFrame, funders: DataFrame, loaders: dict[str, Callable[[], DataFrame]], registry: DataFrame | None = None) -> tuple[DataFrame, dict[str, str]]:
-    """(grants, state of each source).  A source that can't be read keeps its old rows."""
+    """(grants, state of each source).  A source that can't be read as a whole keeps its old rows.
+
+    Each source's rows are stored in the shared folder before they are merged, so what fails in any of its files fails by
+    itself.
+    """
     states: dict[str, str] = {}
     for name, load in loaders.items():
         try:
-            batch = ensure_columns(load(), GRANT).drop("id")
-            batch.limit(1).count()  # reading fails here, not later
+            path = new_folder(grants.sparkSession, "load")
+            ensure_columns(load(), GRANT).drop("id").write.parquet(path)  # reading fails here, not later
+            batch = grants.sparkSession.read.parquet(path)
         except Exception as e:
             log.warning("source %s isn't loaded: %s", name, e)
             states[name] = f"error: {type(e).__name__}"

@@ -1,6 +1,7 @@
 """Canonical grants, calls, funders and applications as views over the given tables.
 
-The texts are plain SQL that Spark and other engines read alike; {names} stand for tables.
+The texts are plain SQL that Spark and other engines read alike; {names} stand for tables, UNNEST for the function that
+makes rows of a list.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = "1998-01-01"
 INSTITUTION = "%NATION_11%"
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark")
 
 GRANTS = """
 SELECT o.o_orderkey AS id,
@@ -19,7 +20,7 @@ SELECT o.o_orderkey AS id,
        CASE o.o_orderkey % 5 WHEN 0 THEN 'cordis_' WHEN 3 THEN 'gepris_' WHEN 4 THEN 'fk_' WHEN 1 THEN 'oaire_' ELSE 'openaire_' END
          || CASE WHEN o.o_orderkey % 5 IN (1, 2) THEN CASE o.o_custkey % 4 WHEN 0 THEN 'EC_' WHEN 1 THEN 'DFG_' WHEN 2 THEN 'NIH_' ELSE 'SNSF_' END ELSE '' END
          || CAST(o.o_custkey AS STRING) AS source_id,
-       substr(d.text, 1, 120) AS project_title,
+       substr(d.text, 1, CASE WHEN position(chr(10) IN d.text) > 0 THEN position(chr(10) IN d.text) - 1 ELSE length(d.text) END) AS project_title,
        'ACR' || CAST(o.o_custkey % 100 AS STRING) AS acronym,
        CASE WHEN o.o_orderkey % 17 = 0 THEN NULL WHEN o.o_orderkey % 5 = 3 THEN 'DFG Programme '
          || CASE o.o_custkey % 5 WHEN 0 THEN 'Research Grants' WHEN 1 THEN 'Emmy Noether Independent Junior Research Groups' WHEN 2 THEN 'Heisenberg' WHEN 3 THEN 'Priority ProgrammesMore' ELSE 'Something Else' END
@@ -47,7 +48,7 @@ LEFT JOIN {documents} d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {docu
 CALLS = """
 SELECT o.o_orderkey AS id,
        CASE o.o_orderkey % 6 WHEN 0 THEN 'ERC-' WHEN 1 THEN 'MSCA-' WHEN 2 THEN 'EIC-' ELSE 'CALL-' END || CAST(o.o_orderkey AS STRING) AS call_identifier,
-       substr(d.text, 1, 80) AS title,
+       substr(d.text, 1, CASE WHEN position(chr(10) IN d.text) > 0 THEN position(chr(10) IN d.text) - 1 ELSE length(d.text) END) AS title,
        CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS deadline,
        CASE o.o_orderkey % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'forthcoming' WHEN 2 THEN 'closed' ELSE 'under_evaluation' END AS status,
        o.o_totalprice AS budget_total,
@@ -61,26 +62,30 @@ FROM {orders} o LEFT JOIN {documents} d ON d.doc_id = o.o_orderkey % (SELECT cou
 
 FUNDERS = [(1, "European Commission", "EC", "EU", "eu"), (2, "Deutsche Forschungsgemeinschaft", "DFG", "DE", "federal"), (3, "Federal Ministry of Education and Research", "BMBF", "DE", "federal")]
 
-APPLICATIONS = [
-    ("Insults", "Tone", "Rude words", "exponential", "proven", "theoretical", 1994),
-    ("Insults", "Tone", "Ruder words", "quadratic", "conjectured", "production", 1999),
-    ("Insults", "Pairs", "Pairs of words", "unknown", "debated", "industry_pilot", 2003),
-    ("Licences", "Permissive", "Apache notes", "polynomial", "heuristic_only", "numerical_evidence", 1996),
-    ("Licences", "Permissive", "MIT notes", "subquadratic", "proven_with_caveats", "small_device_demo", None),
-    ("Licences", "Copyleft", "GPL notes", "superpolynomial", "conjectured", "theoretical", 2001),
-    ("Syllables", "English", "Endings", "constant", "unknown", "theoretical", 2009),
-    ("Syllables", "None", "Nothing found", "unknown", "disproven", "theoretical", 2010),
-]
-PATTERNS = [
-    ("Rude words", "%idiot%"), ("Rude words", "%STUPID%"), ("Rude words", "%moron%"), ("Ruder words", "%scum%"), ("Ruder words", "%worthless%"), ("Pairs of words", "%idiot%stupid%"),
-    ("Pairs of words", "%clown%loser%"), ("Apache notes", "%licensed under%apache license%"), ("MIT notes", "%the MIT License%"), ("GPL notes", "%GNU General Public License%"), ("GPL notes", "%gpl%"),
-    ("Endings", "%ertion%ing %the %"), ("Endings", "% onthe%"), ("Nothing found", "%zzzzqq%"), ("Rude words", "%idiot%"),
-]
+#: The catalogue: an application for each benchmark item.
+APPLICATIONS = """
+SELECT 'Domain ' || CAST(item_id % 4 AS STRING) AS domain,
+       'Subdomain ' || CAST(item_id % 12 AS STRING) AS subdomain,
+       'Item ' || CAST(item_id AS STRING) AS name,
+       CASE item_id % 7 WHEN 0 THEN 'exponential' WHEN 1 THEN 'quadratic' WHEN 2 THEN 'unknown' WHEN 3 THEN 'polynomial' WHEN 4 THEN 'subquadratic' WHEN 5 THEN 'superpolynomial' ELSE 'constant' END AS advantage_type,
+       CASE item_id % 5 WHEN 0 THEN 'proven' WHEN 1 THEN 'conjectured' WHEN 2 THEN 'debated' WHEN 3 THEN 'heuristic_only' ELSE 'proven_with_caveats' END AS advantage_status,
+       CASE item_id % 3 WHEN 0 THEN 'theoretical' WHEN 1 THEN 'production' ELSE 'small_device_demo' END AS maturity,
+       CASE WHEN item_id % 9 = 0 THEN NULL ELSE CAST(1985 + item_id % 37 AS INT) END AS year_first_proposed
+FROM {benchmark}
+"""
+
+#: Patterns of each application: the sentences and clauses of its item between commas, and two words that stand apart.
+PATTERNS = """
+SELECT application, '%' || piece || '%' AS pattern FROM (
+  SELECT application, trim(piece) AS piece FROM (SELECT 'Item ' || CAST(item_id AS STRING) AS application, UNNEST(split(text, ',')) AS piece FROM {benchmark})
+  UNION ALL SELECT 'Item ' || CAST(item_id AS STRING), trim(split_part(text, ' ', 2)) || '%' || trim(split_part(text, ' ', 3)) || ' ' || trim(split_part(text, ' ', 4)) FROM {benchmark})
+WHERE length(piece) >= 12 AND position('_' IN piece) = 0 AND position(chr(92) IN piece) = 0
+"""
 
 
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = [t for t in TABLES if "{" + t + "}" in text]
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in names})
+    return spark.sql(text.replace("UNNEST(", "explode("), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in names})
 
 
 def plain(text: str) -> str:
@@ -103,12 +108,11 @@ def funders(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FUNDERS, "id long, name string, short_name string, country string, type string")
 
 
-def applications(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(APPLICATIONS, "domain string, subdomain string, name string, advantage_type string, advantage_status string, maturity string, year_first_proposed int")
+def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, APPLICATIONS)
 
 
-def patterns(spark: SparkSession) -> DataFrame:
+def patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from grantlake.operators.match import merge_patterns
 
-    rows = spark.createDataFrame(PATTERNS, "application string, pattern string")
-    return merge_patterns(rows)
+    return merge_patterns(view(spark, sf_dir, PATTERNS))

@@ -69,8 +69,8 @@ g AS (SELECT e.* EXCLUDE (prog), CASE WHEN e.currency = 'EUR' OR e.currency IS N
      JOIN rate ON rate.cur = w.currency GROUP BY w.currency, w.y) r ON e.currency = r.currency AND r.y = coalesce(year(e.start_date), year(e.end_date), 2024)),
 canonical AS (SELECT * FROM g WHERE dedup_of IS NULL AND NOT is_aggregate),
 calls AS ({binding.plain(binding.CALLS)}),
-application AS (SELECT * FROM ({rows(binding.APPLICATIONS)}) AS t(domain, subdomain, name, advantage_type, advantage_status, maturity, year_first_proposed)),
-pattern AS (SELECT DISTINCT * FROM ({rows(binding.PATTERNS)}) AS t(application, pattern)),
+application AS ({binding.plain(binding.APPLICATIONS)}),
+pattern AS (SELECT DISTINCT * FROM ({binding.plain(binding.PATTERNS)})),
 matched AS (SELECT DISTINCT p.application, c.id, c.funder_id, coalesce(c.total_funding_eur, c.total_funding_estimated, 0) AS amount FROM canonical c JOIN pattern p ON c.project_title ILIKE p.pattern OR c.abstract ILIKE p.pattern),
 by_funder AS (SELECT m.application, coalesce(f.short_name, 'Unknown') AS name, count(*) AS c, row_number() OVER (PARTITION BY m.application ORDER BY count(*) DESC, coalesce(f.short_name, 'Unknown'), m.funder_id) AS n
    FROM matched m LEFT JOIN funder f ON f.fid = m.funder_id GROUP BY m.application, m.funder_id, f.short_name),
@@ -111,11 +111,23 @@ ORACLE = {
         round(total_funding_estimated, 2) AS total_funding_estimated FROM g""",
     "canonical_view": "SELECT source, count(*) AS n, sum(id) AS ids FROM canonical GROUP BY source",
     "within_source_pointers": "SELECT count(*) AS within_source_flagged FROM g a JOIN g b ON a.dedup_of = b.id WHERE a.source = b.source AND a.source_id = b.source_id",
-    "integrity_counts": """SELECT (SELECT count(*) FROM raw WHERE start_date > end_date) AS swapped, (SELECT count(*) FROM raw WHERE pi_country IN ('UK', 'EL')) AS countries_fixed,
-        (SELECT count(*) FROM raw WHERE pi_country = 'EU') AS eu_country_fixed, (SELECT count(*) FROM raw WHERE currency = '$') AS currencies_fixed, count(funder_id) AS funders_linked,
-        count(*) FILTER (WHERE dedup_of IS NOT NULL AND source = 'openaire') AS api_duplicates_flagged, count(*) FILTER (WHERE is_aggregate) AS aggregates_flagged,
-        count(total_funding_estimated) AS funding_estimated FROM g""",
-    "missing_funders": f"SELECT short_name, fcountry AS country FROM funder WHERE fid > {len(binding.FUNDERS)}",
+    "integrity_counts": """SELECT d.*, (SELECT count(*) FROM raw WHERE pi_country IN ('UK', 'EL')) AS countries_fixed,
+        (SELECT count(*) FROM raw WHERE pi_country = 'EU') AS eu_country_fixed, (SELECT count(*) FROM raw WHERE currency = '$') AS currencies_fixed,
+        (SELECT count(*) FROM raw WHERE regexp_matches(pi_name, '  |^Professor |^Professorin |^Privatdozent|^Dr[.] |[(]|, Ph[.]D[.]$')) AS pi_names_fixed,
+        (SELECT count(*) FROM raw WHERE source = 'cordis_bulk' AND pi_institution = upper(pi_institution) AND length(pi_institution) > 1 OR source = 'gepris' AND pi_institution LIKE 'shared %through:%'
+           OR source = 'foerderkatalog' AND pi_institution LIKE 'Keine Anzeige%') AS institutions_fixed,
+        g.*, (SELECT count(*) FROM g a JOIN g b ON a.dedup_of = b.id WHERE a.source = b.source AND a.source_id = b.source_id) AS within_source_flagged,
+        (SELECT count(*) FROM raw WHERE source = 'cordis_bulk' AND project_id <> '' AND (total_funding IS NULL OR pi_country IS NULL)
+           AND project_id IN (SELECT project_id FROM raw WHERE source = 'openaire_bulk' AND project_id <> '')) AS enriched
+        FROM (SELECT (SELECT count(*) FROM raw WHERE start_date > end_date) AS swapped, count(*) FILTER (WHERE start_date = DATE '1900-01-01') AS sentinel_start,
+          count(*) FILTER (WHERE end_date = DATE '9999-12-31') AS sentinel_end, count(*) FILTER (WHERE start_date <> DATE '1900-01-01' AND year(start_date) < 1950) AS ancient_start,
+          count(*) FILTER (WHERE year(end_date) < 1950) AS ancient_end, count(*) FILTER (WHERE end_date <> DATE '9999-12-31' AND year(end_date) > 2040) AS future_end FROM swapped) d,
+        (SELECT count(funder_id) AS funders_linked, count(*) FILTER (WHERE dedup_of IS NOT NULL AND source IN ('openaire_bulk', 'openaire') AND regexp_matches(source_id, '^(oaire|openaire)_EC_')) AS ec_duplicates_flagged,
+          count(*) FILTER (WHERE dedup_of IS NOT NULL AND source = 'openaire') AS api_duplicates_flagged,
+          count(*) FILTER (WHERE dedup_of IS NOT NULL AND (source = 'openaire_bulk' AND starts_with(source_id, 'oaire_DFG_') OR source = 'openaire' AND starts_with(source_id, 'openaire_DFG_'))) AS gepris_duplicates_flagged,
+          count(*) FILTER (WHERE is_aggregate) AS aggregates_flagged, count(total_funding_estimated) AS funding_estimated, CAST(0 AS BIGINT) AS ror_matched FROM g) g""",
+    "missing_funders": f"""SELECT short_name, fcountry AS country FROM funder WHERE fid > {len(binding.FUNDERS)}
+        AND short_name IN (SELECT split_part(source_id, '_', 2) FROM raw WHERE source IN ('openaire_bulk', 'openaire'))""",
     "to_eur": "SELECT id, round(total_funding_eur, 2) AS total_funding_eur FROM g",
     "conversion_counts": """SELECT count(total_funding) AS total_funded, count(total_funding_eur) FILTER (WHERE currency IS NULL OR currency IN ('EUR', '')) AS eur_copied,
         count(total_funding_eur) FILTER (WHERE currency NOT IN ('EUR', '')) AS converted, count(total_funding_eur) AS eur_set,
@@ -177,7 +189,7 @@ ORACLE = {
     "status_counts": """SELECT attribute, value, count(*) AS n FROM (SELECT unnest(['domain', 'advantage_type', 'advantage_status', 'maturity']) AS attribute,
         unnest([domain, advantage_type, advantage_status, maturity]) AS value FROM linked_apps) GROUP BY ALL""",
     "duplicate_totals": "SELECT count(*) AS total, count(dedup_of) AS duplicates, count(*) FILTER (WHERE is_aggregate) AS aggregates FROM g",
-    "residual_keys": "SELECT source, source_id, count(*) AS c FROM g WHERE source_id IS NOT NULL AND dedup_of IS NULL GROUP BY source, source_id HAVING count(*) > 1",
+    "residual_keys": "SELECT source, source_id, count(*) AS c FROM linked WHERE source_id IS NOT NULL AND dedup_of IS NULL GROUP BY source, source_id HAVING count(*) > 1",
     "residual_titles": """SELECT md5(lower(trim(project_title))) AS title, year(start_date) AS y, funder_id, count(*) AS c FROM canonical WHERE project_title IS NOT NULL AND start_date IS NOT NULL AND length(project_title) > 20
         GROUP BY lower(trim(project_title)), year(start_date), funder_id HAVING count(*) > 1""",
     "missing_data": "SELECT source, count(*) AS n, " + ", ".join(f"round(100.0 * count(*) FILTER (WHERE {f} IS NULL" + ("" if f == "pi_country" else f" OR CAST({f} AS VARCHAR) = ''") + f") / count(*), 6) AS {f}" for f in FIELDS)
@@ -204,10 +216,11 @@ ORACLE = {
         (SELECT count(*) FROM calls WHERE status IN ('open', 'forthcoming')) AS open_calls FROM canonical""",
     "report_quality": """SELECT source, count(*) AS n, count(total_funding) AS with_total_funding, count(*) FILTER (WHERE coalesce(pi_institution, '') <> '') AS with_pi_institution, count(start_date) AS with_start_date
         FROM canonical GROUP BY source""",
-    "merge_upsert": """WITH old AS (SELECT source, source_id, min(id) AS id, min(project_title) AS project_title, min(status) AS status, min(currency) AS currency FROM raw WHERE id % 2 = 0 GROUP BY source, source_id),
-        new AS (SELECT source, source_id, arg_max(project_title, id) AS project_title, arg_max(status, id) AS status, arg_max(coalesce(currency, ''), id) AS currency FROM raw WHERE id % 3 = 0 GROUP BY source, source_id)
-        SELECT coalesce(o.source, n.source) AS source, coalesce(o.source_id, n.source_id) AS source_id, CASE WHEN n.source IS NULL THEN o.project_title ELSE n.project_title END AS project_title,
-        CASE WHEN n.source IS NULL THEN o.status ELSE n.status END AS status, CASE WHEN o.source IS NULL THEN nullif(n.currency, '') ELSE o.currency END AS currency
+    "merge_upsert": """WITH old AS (SELECT source, source_id, min(id) AS id, min(pi_name) AS pi_name, min(pi_country) AS pi_country, min(currency) AS currency FROM raw GROUP BY source, source_id),
+        keyed AS (SELECT id, source, CASE WHEN id % 4 = 0 THEN source_id || '_b' ELSE source_id END AS source_id, coalesce(pi_name, '#') AS pi_name, coalesce(pi_country, '#') AS pi_country, coalesce(currency, '#') AS currency FROM named),
+        new AS (SELECT source, source_id, nullif(arg_max(pi_name, id), '#') AS pi_name, nullif(arg_max(pi_country, id), '#') AS pi_country, nullif(arg_max(currency, id), '#') AS currency FROM keyed GROUP BY source, source_id)
+        SELECT coalesce(o.source, n.source) AS source, coalesce(o.source_id, n.source_id) AS source_id, CASE WHEN n.source IS NULL THEN o.pi_name ELSE n.pi_name END AS pi_name,
+        CASE WHEN n.source IS NULL THEN o.pi_country ELSE n.pi_country END AS pi_country, CASE WHEN o.source IS NULL THEN n.currency ELSE o.currency END AS currency
         FROM old o FULL JOIN new n ON o.source = n.source AND o.source_id = n.source_id""",
     "snapshot_diff": """SELECT o.id, 'updated' AS change, 'pi_name' AS field FROM raw o JOIN g ON o.id = g.id WHERE o.pi_name IS DISTINCT FROM g.pi_name
         UNION ALL SELECT o.id, 'updated', 'currency' FROM raw o JOIN g ON o.id = g.id WHERE o.currency IS DISTINCT FROM g.currency""",
@@ -230,6 +243,6 @@ ORACLE |= {
         CAST(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS INTEGER) AS n_links, list_filter(regexp_extract_all(html, '(?s)<p>([^<]*)</p>', 1), lambda x: length(x) > 50)[1] AS block FROM pages""",
     "page_links": r"""SELECT page_id, href AS link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) GROUP BY page_id, href""",
     "keep_first_documents": "SELECT text_key, min(doc_id) AS doc_id FROM (SELECT md5(text) AS text_key, doc_id FROM documents) GROUP BY text_key",
-    "similar_names": """WITH n AS (SELECT DISTINCT lower(n_name) AS name FROM nation), p AS (SELECT name AS a, 'x' || name AS b FROM n WHERE length(name) >= 5)
-        SELECT a, b, round(200.0 * length(a) / (length(a) + length(b)), 4) AS score FROM p WHERE 200.0 * length(a) / (length(a) + length(b)) >= 90""",
+    "similar_names": f"""WITH n AS (SELECT DISTINCT lower(replace(pattern, '%', '')) AS name FROM ({binding.plain(binding.PATTERNS)}))
+        SELECT name AS a, 'x' || name AS b, round(200.0 * length(name) / (2 * length(name) + 1), 4) AS score FROM n WHERE length(name) >= 40""",
 }

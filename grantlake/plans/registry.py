@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,8 +10,9 @@ from pyspark.sql import functions as F
 
 from grantlake import schemas
 from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, refresh, report, rollups
-from grantlake.plans import binding, oracle
+from grantlake.plans import binding, landed, oracle
 from grantlake.sources import html_pages
+from grantlake.sources.landing import new_folder
 from grantlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,8 +67,8 @@ class Tables:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Applications and their links."""
-        apps = binding.applications(self.spark)
-        return apps, match.funding_links(self.canonical_eur(), binding.patterns(self.spark), apps, self.funders)
+        apps = binding.applications(self.spark, self.dir)
+        return apps, match.funding_links(self.canonical_eur(), binding.patterns(self.spark, self.dir), apps, self.funders)
 
     def catalogue(self) -> DataFrame:
         """Applications with patterns, with the number of their grants."""
@@ -112,7 +111,9 @@ def validate_grants(spark, sf_dir):
 
 @query
 def missing_funders(spark, sf_dir):
-    return enrich.missing_funders(binding.funders(spark)).select("short_name", "country")
+    """Known funders that grants name by code and the table lacks."""
+    codes = Tables(spark, sf_dir).raw.select(enrich.funder_code().alias("short_name")).distinct()
+    return enrich.missing_funders(binding.funders(spark)).join(codes, "short_name", "left_semi").select("short_name", "country")
 
 
 @query
@@ -155,8 +156,7 @@ def integrity_pipeline(spark, sf_dir):
 @query
 def integrity_counts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    names = ["swapped", "countries_fixed", "eu_country_fixed", "currencies_fixed", "funders_linked", "api_duplicates_flagged", "aggregates_flagged", "funding_estimated"]
-    return integrity.integrity_counts(t.raw, t.whole()).select(*names)
+    return integrity.integrity_counts(t.raw, t.whole())
 
 
 @query
@@ -267,12 +267,12 @@ def active_by_period(spark, sf_dir):
 
 @query
 def pattern_matches(spark, sf_dir):
-    return match.matches(Tables(spark, sf_dir).canonical(), binding.patterns(spark))
+    return match.matches(Tables(spark, sf_dir).canonical(), binding.patterns(spark, sf_dir))
 
 
 @query
 def pattern_fields(spark, sf_dir):
-    return match.matched_patterns(Tables(spark, sf_dir).canonical(), binding.patterns(spark)).withColumnRenamed("key", "id")
+    return match.matched_patterns(Tables(spark, sf_dir).canonical(), binding.patterns(spark, sf_dir)).withColumnRenamed("key", "id")
 
 
 @query
@@ -282,12 +282,12 @@ def funding_links(spark, sf_dir):
 
 @query
 def distinct_total(spark, sf_dir):
-    return match.distinct_total(Tables(spark, sf_dir).canonical_eur(), binding.patterns(spark)).withColumns(cents("total_funding_eur"))
+    return match.distinct_total(Tables(spark, sf_dir).canonical_eur(), binding.patterns(spark, sf_dir)).withColumns(cents("total_funding_eur"))
 
 
 @query
 def review_sample(spark, sf_dir):
-    return match.review_sample(Tables(spark, sf_dir).canonical(), binding.patterns(spark), over=5)
+    return match.review_sample(Tables(spark, sf_dir).canonical(), binding.patterns(spark, sf_dir), over=5)
 
 
 def _with_grants(summary: DataFrame, catalogue: DataFrame, *by: str) -> DataFrame:
@@ -362,7 +362,8 @@ def duplicate_totals(spark, sf_dir):
 
 @query
 def residual_keys(spark, sf_dir):
-    return audit.residual_keys(Tables(spark, sf_dir).whole(), None)
+    """Keys that several rows have before any is flagged."""
+    return audit.residual_keys(Tables(spark, sf_dir).linked(), None)
 
 
 @query
@@ -453,12 +454,13 @@ def totals(spark, sf_dir):
 
 @query
 def merge_upsert(spark, sf_dir):
-    raw = Tables(spark, sf_dir).raw
-    half = raw.where("id % 2 = 0").groupBy("source", "source_id")
-    target = half.agg(*(F.min(c).alias(c) for c in ("id", "project_title", "status", "currency")))
-    batch = raw.where("id % 3 = 0").select("source", "source_id", "project_title", "status", "currency", F.col("id").alias("position"))
-    merged = merge.merge_upsert(target, batch, schemas.GRANT_KEY, ["project_title", "status"])
-    return merged.select("source", "source_id", "project_title", "status", "currency")
+    """All grants as loaded, with a load of all grants cleaned; every fourth has a key of its own by then."""
+    t = Tables(spark, sf_dir)
+    target = t.raw.groupBy("source", "source_id").agg(*(F.min(c).alias(c) for c in ("id", "pi_name", "pi_country", "currency")))
+    key = F.when(F.col("id") % 4 == 0, F.concat("source_id", F.lit("_b"))).otherwise(F.col("source_id"))
+    batch = clean.clean(t.raw).select("source", key.alias("source_id"), "pi_name", "pi_country", "currency", F.col("id").alias("position"))
+    merged = merge.merge_upsert(target, batch, schemas.GRANT_KEY, ["pi_name", "pi_country"])
+    return merged.select("source", "source_id", "pi_name", "pi_country", "currency")
 
 
 @query
@@ -488,7 +490,8 @@ def exact_entities(spark, sf_dir):
 
 @query
 def similar_names(spark, sf_dir):
-    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lower("n_name").alias("name")).distinct().where("length(name) >= 5")
+    """Clauses of the benchmark items, and the same with a letter before them."""
+    names = binding.patterns(spark, sf_dir).select(F.lower(F.replace("pattern", F.lit("%"), F.lit(""))).alias("name")).distinct().where("length(name) >= 40")
     left = names.select(F.col("name").alias("t"))
     return entity.similar_pairs(left, names.select(F.concat(F.lit("x"), "name").alias("t"))).withColumn("score", F.round("score", 4))
 
@@ -531,8 +534,7 @@ def latest_events(spark, sf_dir):
 @query
 def stream_latest_events(spark, sf_dir):
     """The events as a stream of landed files, merged by key; the table and its checkpoint are in the shared folder."""
-    home = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
-    home = f"{home}/{uuid.uuid4().hex}"
+    home = new_folder(spark, "stream")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     target = "user_id long, event_type string, event_id long, ts timestamp, id long"
     table = spark.createDataFrame([], target).schema
@@ -543,4 +545,5 @@ def stream_latest_events(spark, sf_dir):
     return ingest.read_snapshot(spark, f"{home}/events", table).select("user_id", "event_type", "event_id")
 
 
-ORACLE = {name: text for name, text in oracle.ORACLE.items() if name in QUERIES}
+QUERIES |= landed.QUERIES
+ORACLE = {name: text for name, text in (oracle.ORACLE | landed.ORACLE).items() if name in QUERIES}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +26,15 @@ def read_delimited(spark: SparkSession, path: str, separator: str = ";") -> Data
     """A quoted file with a header, all columns as text; quotes are doubled inside quotes, and values may have line ends.
 
     Columns are read by the header's names.  enforceSchema is off and nothing is inferred: types are cast afterwards.
+    ``position`` rises with the files' names and the place in a file.  With line ends inside values, a file is read by one
+    task; large lists are landed in several files.
     """
-    return spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    rows = spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    return rows.withColumn("position", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
+
+
+def _positioned(rows: DataFrame) -> DataFrame:
+    return rows if "position" in rows.columns else rows.withColumn("position", F.monotonically_increasing_id())
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -46,8 +55,7 @@ def project_grants(rows: DataFrame, framework: str, source: str = "cordis_bulk")
 
 def coordinators(rows: DataFrame) -> DataFrame:
     """(project_id, pi_institution, pi_country) of the organisations that coordinate; the last row of a project counts."""
-    ordered = rows.withColumn("position", F.monotonically_increasing_id())  # rises with the place in the file
-    chosen = ordered.where((F.col("role") == "coordinator") & (F.col("projectID") != ""))
+    chosen = _positioned(rows).where((F.col("role") == "coordinator") & (F.col("projectID") != ""))
     named = chosen.select(F.col("projectID").alias("project_id"), F.coalesce("name", F.lit("")).alias("pi_institution"), F.coalesce("country", F.lit("")).alias("pi_country"), "position")
     return keep_last(named, ["project_id"], "position").drop("position")
 
@@ -72,15 +80,54 @@ def read_archived(spark: SparkSession, path: str, member: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(unpack, "archive string, text string")
 
 
+def zipped(files: DataFrame, member: str) -> DataFrame:
+    """(path, content): an archive of one member for each row's text, as a reader of binary files gives it."""
+
+    def pack(batches):
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(member, text)
+                out.append(buffer.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(out), pa.string()), pa.array(out, pa.binary())], ["path", "content"])
+
+    return files.select("text").mapInArrow(pack, "path string, content binary")
+
+
+def archived_rows(archives: DataFrame, member: str, columns: list[str], separator: str = ";", batch: int = 10_000) -> DataFrame:
+    """The rows of one delimited member of each archive (path, content), as text columns chosen by the header.
+
+    A task reads a member as a stream, ``batch`` rows at a time; archives without the member have no rows.
+    """
+    schema = pa.schema([(c, pa.string()) for c in columns])
+
+    def rows(content: bytes):
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            if member in archive.namelist():
+                with archive.open(member) as stream:
+                    yield from csv.DictReader(io.TextIOWrapper(stream, "utf-8", newline=""), delimiter=separator)
+
+    def unpack(batches):
+        for contents in batches:
+            for content in contents.column(0).to_pylist():
+                source = rows(content)
+                while some := list(islice(source, batch)):
+                    yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in some], pa.string()) for c in columns], schema=schema)
+
+    return archives.select("content").mapInArrow(unpack, ", ".join(f"{c} string" for c in columns))
+
+
 STAGED = (
     "source_id string, project_title string, project_id string, acronym string, pi_country string, start_date string, end_date string, total_funding string, "
     "currency string, status string, funder_short string, funder_name string, funding_stream string, keywords string, abstract string"
 )
 
 
-def read_staged(spark: SparkSession, path: str) -> DataFrame:
+def read_staged(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Staged bulk rows with declared columns; malformed lines are left out and blanks are null."""
-    rows = spark.read.schema(STAGED).option("sep", "\t").option("header", True).option("quote", "").option("mode", "DROPMALFORMED").csv(path)
+    rows = spark.read.schema(STAGED).option("sep", "\t").option("header", header).option("quote", "").option("mode", "DROPMALFORMED").csv(path)
     return staged_grants(rows)
 
 
@@ -96,4 +143,4 @@ def staged_grants(rows: DataFrame, source: str = "openaire_bulk") -> DataFrame:
 def investigators(rows: DataFrame) -> DataFrame:
     """(project_id, first_name, last_name, position) of a list of people; ids that were read as numbers lose their fraction."""
     number = F.col("project_id").try_cast("double").cast("long").cast("string")
-    return rows.select(F.coalesce(number, F.col("project_id").cast("string")).alias("project_id"), "first_name", "last_name", F.monotonically_increasing_id().alias("position"))
+    return _positioned(rows).select(F.coalesce(number, F.col("project_id").cast("string")).alias("project_id"), "first_name", "last_name", "position")

@@ -28,15 +28,21 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(f"{path}/{found[-1]}") if found else spark.createDataFrame([], schema)
 
 
-def write_snapshot(df: DataFrame, path: str, number: int) -> None:
-    """Write a snapshot beside the old ones; the same number again replaces it."""
+def write_snapshot(df: DataFrame, path: str, number: int, kept: int = 3) -> None:
+    """Write a snapshot beside the old ones, of which the latest ``kept`` stay; the same number again replaces it."""
+    spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{path}/v{number:012d}")
+    for name in _snapshots(spark, path)[: -kept - 1]:
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def upsert_batch(path: str, schema: T.StructType, keys: list[str], updates: list[str], status_path: str, source: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: merge a batch into the table and note the load.
 
-    A batch that is run again after a failure starts from the snapshot before it, so the result is the same.
+    A batch that is run again after a failure starts from the snapshot before it, so the result is the same.  Only the
+    load status has the clock's time.  Parquet has no updates in place, so a batch writes the table anew; batches are as
+    large as what has landed since the last call.
     """
 
     def run(batch: DataFrame, number: int) -> None:

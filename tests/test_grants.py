@@ -195,3 +195,12 @@ def test_escaped_wildcards_are_literal():
     for wrong in ("a%", "%a", "%a_b%", "", r"%a\%"):
         with pytest.raises(ValueError):
             match.pieces(wrong)
+
+
+def test_a_bad_file_anywhere_fails_its_source_alone(spark):
+    good = spark.createDataFrame([("gepris", "gepris_1", "T")], "source string, source_id string, project_title string")
+    rows = spark.range(0, 100, 1, 10).selectExpr("'cordis_bulk' as source", "concat('c', id) as source_id", "if(id = 99, raise_error('bad file'), 'x') as project_title")
+    old = schemas.ensure_columns(spark.createDataFrame([("cordis_bulk", "old", "O")], "source string, source_id string, project_title string"), schemas.GRANT)
+    out, states = refresh.refresh(old, binding.funders(spark), {"cordis_bulk": lambda: rows, "gepris": lambda: good})
+    assert states["gepris"] == "ok" and states["cordis_bulk"].startswith("error")
+    assert {r.source_id for r in out.collect()} == {"old", "gepris_1"}
