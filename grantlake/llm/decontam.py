@@ -213,8 +213,8 @@ def _hits(pairs: DataFrame, blocks: Iterator[tuple[int, list[tuple[int, bytes]]]
 def decontaminate(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: how many of its words lie in a passage that a benchmark item has too.
 
-    Null and empty texts have no words and are clean.  Items without a word are ignored; items with the same text
-    count each.  Repeated document rows are judged one by one.  Columns other than doc_id and text are left out.
+    Null and empty texts have no words and are clean.  Items without a word or without item_id are ignored; items with the
+    same text count each.  Repeated document rows are judged one by one.  Columns other than doc_id and text are left out.
     """
     context = documents.sparkSession.sparkContext
     pairs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -46,6 +46,14 @@ def trigrams(data: np.ndarray) -> np.ndarray:
     return ((code * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.int64)
 
 
+def within(texts: list[bytes]) -> np.ndarray:
+    """Whether the run of three bytes from each byte of the joined texts stays inside its text."""
+    out = np.ones(sum(map(len, texts)), bool)
+    for end in np.cumsum([len(t) for t in texts]).tolist():
+        out[max(0, end - 2) : end] = False
+    return out
+
+
 def count_trigrams(documents: DataFrame) -> DataFrame:
     """(lang, bucket block, counts) over all documents with a language; the sum of a task comes in one row a language."""
 
@@ -60,7 +68,7 @@ def count_trigrams(documents: DataFrame) -> DataFrame:
                 for part in blocks(texts):
                     data = np.frombuffer(b"".join(part), np.uint8)
                     if len(data) > 2:
-                        into += np.bincount(trigrams(data), minlength=BUCKETS)
+                        into += np.bincount(trigrams(data)[within(part)[:-2]], minlength=BUCKETS)
         for lang, counts in totals.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["lang", "bucket", "n"])
@@ -99,10 +107,7 @@ def text_evidence(texts: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
             continue
         at = trigrams(data)
         scores = np.zeros((len(part), n_langs))
-        inside = np.ones(len(at) + 2, bool)
-        inside[len(at) :] = False
-        for e in ends:  # a run of three that crosses into the next text doesn't count
-            inside[max(0, e - 2) : e] = False
+        inside = within(part)
         for k, row in enumerate(row for table in tables for row in table):
             values = np.concatenate((row[at], [0.0, 0.0])) * inside
             total = np.concatenate(([0.0], np.cumsum(values)))
