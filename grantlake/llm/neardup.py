@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_hexdigest
 
-from grantlake.llm.shared import cut
+from grantlake.llm.shared import cut, release
 from grantlake.llm.text import byte_column, mix, window_hash, words
 
 SHINGLE = 5
@@ -173,6 +173,7 @@ def components(edges: DataFrame) -> DataFrame:
         if not new.where("moved").limit(1).count():
             return new.select(F.col("v").alias("doc_id"), F.col("l").alias("label"))
         labels = new.select("v", "l")
+        release(edges.sparkSession)
 
 
 def _shingles(texts: DataFrame) -> DataFrame:
@@ -255,8 +256,10 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     centres = cut(best.select("band", (-F.col("best.col2")).alias("b"), F.col("best.size").alias("size_b")))
     stars = full.join(centres, "band").where("doc_id <> b").where(_may_reach(F.least("size", "size_b"), F.col("size"), F.col("size_b"), similarity))
     tested = cut(stars.select(F.col("doc_id").alias("a"), "b").distinct())
+    release(documents.sparkSession)
     texts = cut(docs.join(middle.select("doc_id"), "doc_id", "left_semi"))
     edges = cut(verified(tested, texts, similarity))
+    release(documents.sparkSession)
     labels = components(edges)
 
     placed = full.select("band", "doc_id", "size").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
@@ -266,7 +269,9 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     able = open_.join(alone, "doc_id", "left").withColumn("own", F.col("size") - F.coalesce("alone", F.lit(0))).join(least, "band")
     able = able.where(_may_reach(F.col("own"), F.col("size"), F.greatest(F.col("size") * F.lit(similarity), "least"), similarity))
     able = cut(_mixed(able.select("band", "doc_id", "size", "label", "own")))
+    release(documents.sparkSession)
     able, few = _without_rare(able, texts, similarity)
+    release(documents.sparkSession)
     one, other = (able.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "size", "label", "own"))) for s in "ab")
     rest = (
         one.join(other, "band")
@@ -277,6 +282,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
         .distinct()
     )
     late = cut(verified(_untested(rest, tested), texts, similarity))
+    release(documents.sparkSession)
     if late.limit(1).count():
         labels = components(edges.unionByName(late))
     classes = copies.join(labels.select(F.col("doc_id").alias("first"), "label"), "first", "left").select("key", F.coalesce("label", "first").alias("class_id"))

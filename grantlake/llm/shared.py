@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 
@@ -23,3 +24,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder now and go on from there, so that no executor's loss repeats their making."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose rows are stored already.
+
+    Spark does so when the driver's garbage collector finds their plans; a driver with room to spare finds them late, and
+    the executors' disks hold the shuffles of all steps until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
