@@ -132,10 +132,15 @@ def institution_name(c: Column, source: Column) -> Column:
     )
 
 
+#: Where a description names its programme, and how listings state their number of entries.
+PROGRAMME_MARK = "DFG Programme"
+PAGE_INDEX, PAGE_SIZE, STATED = r"index=(\d+)", r"hitsPerPage=(\d+)", r"([\d,.\s]+)\s*(?:results|Treffer|Projects)"
+
+
 def programme_type(c: Column) -> Column:
     """The programme that a project description names, or null."""
     ends = "|".join(AFTER_PROGRAMME)
-    found = F.trim(F.regexp_extract(c, rf"DFG Programme\s*(.+?)(?:{ends})", 1))
+    found = F.trim(F.regexp_extract(c, rf"{PROGRAMME_MARK}\s*(.+?)(?:{ends})", 1))
     return F.nullif(F.regexp_replace(found, rf"({'|'.join(PROGRAMME_ENDINGS)}).*", "$1"), F.lit(""))
 
 
@@ -163,7 +168,7 @@ def bracketed_count(html: Column) -> Column:
 
 def listing_total(html: Column) -> Column:
     """Entries of a listing: last page's index plus page size, else a stated number, else 0."""
-    last = F.array_max(F.transform(F.regexp_extract_all(html, F.lit(r"index=(\d+)"), 1), lambda x: x.cast("int")))
-    size = F.coalesce(F.regexp_extract(html, r"hitsPerPage=(\d+)", 1).try_cast("int"), F.lit(50))
-    stated = F.regexp_replace(F.regexp_extract(html, r"([\d,.\s]+)\s*(?:results|Treffer|Projects)", 1), r"[,. ]", "").try_cast("int")
+    last = F.array_max(F.transform(F.regexp_extract_all(html, F.lit(PAGE_INDEX), 1), lambda x: x.cast("int")))
+    size = F.coalesce(F.regexp_extract(html, PAGE_SIZE, 1).try_cast("int"), F.lit(50))
+    stated = F.regexp_replace(F.regexp_extract(html, STATED, 1), r"[,. ]", "").try_cast("int")
     return F.coalesce(last + size, stated, F.lit(0))

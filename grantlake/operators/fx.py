@@ -45,12 +45,13 @@ def nearest_rates(rates: DataFrame, later_on_tie: bool = True) -> DataFrame:
     Years before or after have the rate of the first or last of these, so the table serves all dates; its size depends
     on the rates alone.
     """
-    span = rates.agg(F.min("year").alias("a"), F.max("year").alias("b"))
-    years = span.select(F.explode(F.sequence("a", "b")).alias("y")).withColumn("k", F.lit(1))
+    first, last = rates.agg(F.min("year"), F.max("year")).first()
+    if first is None:
+        return rates.select("currency", F.col("year").alias("y"), F.col("year").alias("rate_year"), "rate")
+    pairs = rates.withColumn("y", F.explode(F.sequence(F.lit(first), F.lit(last))))
     gap = F.abs(F.col("y") - F.col("year"))
     n = F.row_number().over(Window.partitionBy("currency", "y").orderBy(gap, F.desc("year") if later_on_tie else F.asc("year")))
-    pairs = rates.withColumn("k", F.lit(1)).join(years, "k").withColumn("n", n)
-    return pairs.where("n = 1").select("currency", "y", F.col("year").alias("rate_year"), "rate")
+    return pairs.withColumn("n", n).where("n = 1").select("currency", "y", F.col("year").alias("rate_year"), "rate")
 
 
 def to_eur(df: DataFrame, rates: DataFrame, normalise: bool = False, later_on_tie: bool = True, default_year: int | None = DEFAULT_YEAR) -> DataFrame:

@@ -146,6 +146,6 @@ def review_sample(grants: DataFrame, patterns: DataFrame, over: int = 200, k: in
     found = matched_patterns(grants, patterns, columns).join(patterns, "pattern").groupBy("application", F.col("key").alias("id"))
     per_grant = found.agg(F.sort_array(F.collect_set("pattern")).alias("patterns"), F.sort_array(F.collect_set("field")).alias("fields"))
     counts = per_grant.groupBy("application").agg(F.count("*").alias("n")).where(F.col("n") > over).select("application")
-    order = Window.partitionBy("application").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    order = Window.partitionBy("application").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), "id")
     drawn = per_grant.join(counts, "application").withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= k)
     return drawn.join(grants.select("id", "source", "project_title", "pi_institution"), "id").orderBy("application", "draw")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from grantlake.functions.columns import AFTER_PROGRAMME, NAME_TITLES, PROGRAMME_ENDINGS
 from grantlake.operators.enrich import FUNDERS, OTHER_RATE, PROGRAMME_RATES
 from grantlake.operators.fx import RATES
 from grantlake.plans import binding
@@ -18,14 +19,14 @@ def rows(values) -> str:
 
 
 def _names(column: str) -> str:
-    for title in ("Professorin Dr. ", "Professor Dr. ", "Privatdozentin Dr. ", "Privatdozent Dr. ", "Professorin ", "Professor ", "Privatdozentin ", "Privatdozent ", "Dr. "):
+    for title in NAME_TITLES:
         column = f"regexp_replace({column}, '^{title.replace('.', chr(92) + '.')}', '')"
     return rf"trim(regexp_replace(regexp_replace(regexp_replace({column}, ',\s*Ph\.D\.\s*$', ''), '\s*\([†+]\)\s*$', ''), '\s+', ' ', 'g'))"
 
 
 all_funders = [f[:1] + f[2:4] for f in binding.FUNDERS] + [(4 + i, code, FUNDERS[code][1]) for i, code in enumerate(sorted(FUNDERS))]
-ends = "Subject Area|Subproject of|Participating|Term |International Connection|Applicant|Spokesperson|Major|Project Identifier|Co-Applicant|Further|Instrumentation Group"
-programme = rf"regexp_replace(trim(regexp_extract(abstract, 'DFG Programme\s*(.+?)(?:{ends})', 1)), '(Grants|Programmes|Centres|Units|Groups|Schools|Fellowships).*', '\1')"
+ends = "|".join(AFTER_PROGRAMME)
+programme = rf"regexp_replace(trim(regexp_extract(abstract, 'DFG Programme\s*(.+?)(?:{ends})', 1)), '({'|'.join(PROGRAMME_ENDINGS)}).*', '\1')"
 has_project = "coalesce(project_id <> '', false)"
 
 
@@ -129,6 +130,10 @@ ORACLE = {
     "missing_funders": f"""SELECT short_name, fcountry AS country FROM funder WHERE fid > {len(binding.FUNDERS)}
         AND short_name IN (SELECT split_part(source_id, '_', 2) FROM raw WHERE source IN ('openaire_bulk', 'openaire'))""",
     "to_eur": "SELECT id, round(total_funding_eur, 2) AS total_funding_eur FROM g",
+    "to_eur_earlier": """WITH bounds AS (SELECT min(yr) AS a, max(yr) AS b FROM rate),
+        e AS (SELECT *, upper(trim(currency)) AS code, greatest(a, least(b, coalesce(year(start_date), year(end_date), 9999))) AS y FROM estimated, bounds),
+        r AS (SELECT code, y, arg_min(rate, abs(y - yr) * 10000 + yr) AS rate FROM (SELECT DISTINCT code, y FROM e) JOIN rate ON cur = code GROUP BY code, y)
+        SELECT id, round(CASE WHEN e.code IS NULL OR e.code = 'EUR' THEN total_funding ELSE total_funding / r.rate END, 2) AS total_funding_eur FROM e LEFT JOIN r ON r.code = e.code AND r.y = e.y""",
     "conversion_counts": """SELECT count(total_funding) AS total_funded, count(total_funding_eur) FILTER (WHERE currency IS NULL OR currency IN ('EUR', '')) AS eur_copied,
         count(total_funding_eur) FILTER (WHERE currency NOT IN ('EUR', '')) AS converted, count(total_funding_eur) AS eur_set,
         count(*) FILTER (WHERE total_funding IS NOT NULL AND total_funding_eur IS NULL) AS unmapped FROM g""",
@@ -229,6 +234,13 @@ ORACLE = {
     "co_participation": """WITH p AS (SELECT DISTINCT project_id, pi_institution FROM g WHERE project_id <> '' AND pi_institution <> '')
         SELECT x.pi_institution AS a, y.pi_institution AS b, count(*) AS projects FROM p x JOIN p y ON x.project_id = y.project_id AND x.pi_institution < y.pi_institution GROUP BY 1, 2""",
     "relevance": "SELECT id, call_identifier, 1 AS relevance FROM calls WHERE list_has_any(list_transform(topic_keywords, lambda x: lower(x)), ['urgent', 'high', 'low'])",
+    "review_sample": """WITH m AS (SELECT application, id, pattern, 'project_title' AS field FROM canonical JOIN pattern ON project_title ILIKE pattern.pattern
+          UNION ALL SELECT application, id, pattern, 'abstract' FROM canonical JOIN pattern ON abstract ILIKE pattern.pattern),
+        per AS (SELECT application, id, string_agg(DISTINCT pattern, '|' ORDER BY pattern) AS patterns, string_agg(DISTINCT field, '|' ORDER BY field) AS fields FROM m GROUP BY application, id),
+        drawn AS (SELECT *, count(*) OVER (PARTITION BY application) AS n, row_number() OVER (PARTITION BY application ORDER BY md5('0:' || CAST(id AS VARCHAR)), id) AS draw FROM per)
+        SELECT application, draw, d.id, source, md5(project_title) AS title, pi_institution, patterns, fields FROM drawn d JOIN canonical c ON c.id = d.id WHERE n > 2 AND draw <= 10""",
+    "similar_institutions": """WITH names AS (SELECT DISTINCT pi_institution FROM g WHERE source IN ('cordis_bulk', 'gepris') AND pi_institution <> '')
+        SELECT id, g.pi_institution, 'org' || CAST(n_nationkey AS VARCHAR) AS ror_id FROM g JOIN names ON names.pi_institution = g.pi_institution JOIN nation ON lower(g.pi_institution) = 'university of ' || lower(n_name)""",
     "totals": "SELECT count(*) AS grants, count(*) FILTER (WHERE dedup_of IS NULL AND NOT is_aggregate) AS canonical, (SELECT count(*) FROM calls) AS calls FROM g",
     "exact_entities": """SELECT DISTINCT c.pi_institution AS name, 'org' || CAST(n.n_nationkey AS VARCHAR) AS ror_id FROM g c JOIN nation n ON lower(c.pi_institution) = 'university of ' || lower(n.n_name)""",
 }

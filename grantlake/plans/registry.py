@@ -177,6 +177,13 @@ def to_eur(spark, sf_dir):
     return Tables(spark, sf_dir).priced().select("id", F.round(F.col("total_funding_eur") + oracle.OFF, 2).alias("total_funding_eur"))
 
 
+@query
+def to_eur_earlier(spark, sf_dir):
+    """The other convention: codes in any spelling, ties to the earlier year, the latest rate where there is no date."""
+    rows = fx.to_eur(Tables(spark, sf_dir).whole(), fx.rate_table(spark), normalise=True, later_on_tie=False, default_year=None)
+    return rows.select("id", F.round(F.col("total_funding_eur") + oracle.OFF, 2).alias("total_funding_eur"))
+
+
 @query
 def conversion_counts(spark, sf_dir):
     return fx.conversion_counts(Tables(spark, sf_dir).priced())
@@ -287,7 +294,8 @@ def distinct_total(spark, sf_dir):
 
 @query
 def review_sample(spark, sf_dir):
-    return match.review_sample(Tables(spark, sf_dir).canonical(), binding.patterns(spark, sf_dir), over=5)
+    rows = match.review_sample(Tables(spark, sf_dir).canonical(), binding.patterns(spark, sf_dir), over=2)
+    return rows.select("application", "draw", "id", "source", F.md5("project_title").alias("title"), "pi_institution", F.array_join("patterns", "|").alias("patterns"), F.array_join("fields", "|").alias("fields"))
 
 
 def _with_grants(summary: DataFrame, catalogue: DataFrame, *by: str) -> DataFrame:

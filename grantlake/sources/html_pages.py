@@ -6,6 +6,7 @@ which part is what and how its text is read, is columns.
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,6 +15,19 @@ from pyspark.sql import functions as F
 
 from grantlake.functions.columns import filled, german_amount, german_date, status_by_dates
 
+#: Keys of project pages, and of detail and person pages, in the order in which they are asked.
+APPLICANT = ["Applicant", "Spokesperson", "Spokespersons", "Antragsteller", "Sprecher"]
+TERM = ["Term", "Förderung"]
+AMOUNT = ["Gesamtförderung", "Overall Funding", "Funding", "DFG Programme"]
+AREA = ["Subject Area", "Fachgebiet"]
+INSTITUTION = [
+    "Applicant Institution", "Institution", "Einrichtung", "Antragstellende Institution", "Co-Applicant Institution", "Host", "Participating Institution", "Participating University", "Partner Organisation",
+]
+THEME = ["Thema des geförderten Vorhabens", "Thema"]
+PLAN = "Leistungsplansystematik"
+DESCRIPTION = ["Kurzbeschreibung", "Projektbeschreibung"]
+ADDRESS = ["Institution", "Address", "Einrichtung", "Adresse"]
+
 PART = "page_id long, at int, kind string, key string, value string, path string"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -26,7 +40,9 @@ class Parts(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[tuple[str, str, str, str]] = []
-        self.open: list[tuple[str, dict, list[str]]] = []
+        self.open: list[tuple[str, dict, int]] = []  # with the place in ``texts`` where the element begins
+        self.texts: list[str] = []
+        self.standing: Counter[str] = Counter()  # open elements by tag
         self.label: tuple[str, int] | None = None  # key and depth of a pair whose value comes next
         self.row: list[str] | None = None
         self.table, self.rows, self.skip = "", 0, 0
@@ -41,26 +57,30 @@ class Parts(HTMLParser):
             self.table, self.rows = attributes.get("aria-label", ""), 0
         if tag == "tr":
             self.row = []
-        self.open.append((tag, attributes, []))
+        self.open.append((tag, attributes, len(self.texts)))
+        self.standing[tag] += 1
 
     def handle_data(self, data: str) -> None:
-        if not any(t in ("script", "style") for t, _, _ in self.open):
-            for _, _, text in self.open:
-                text.append(data)
+        if not self.standing["script"] and not self.standing["style"] and data.strip():
+            self.texts.append(data.strip())
 
     def handle_endtag(self, tag: str) -> None:
-        if not any(t == tag for t, _, _ in self.open):
-            return
-        while self.open:
-            name, attributes, parts = self.open.pop()
-            self._closed(name, attributes, parts)
-            if name == tag:
+        while self.standing[tag]:
+            if self._close() == tag:
                 break
 
-    def _closed(self, tag: str, attributes: dict, parts: list[str]) -> None:
-        bare = "".join(p.strip() for p in parts)
-        depth, classes = len(self.open), attributes.get("class", "").split()
-        path = " ".join(f"{t}.{a.get('class', '')}#{a.get('id', '')}" for t, a, _ in self.open)
+    def _close(self) -> str:
+        tag, attributes, start = self.open.pop()
+        self.standing[tag] -= 1
+        classes = attributes.get("class", "").split()
+        told = tag in ("a", "h1", "h2", "h3", "title", "td", "dt", "tr") or tag == "span" and "name" in classes or self.BLOCKS & set(classes) or attributes.get("id") == "projektbeschreibung"
+        if told or self.label and len(self.open) == self.label[1]:  # text and path of other elements aren't needed
+            path = " ".join(f"{t}.{a.get('class', '')}#{a.get('id', '')}" for t, a, _ in self.open)
+            self._closed(tag, attributes, classes, "".join(self.texts[start:]), path)
+        return tag
+
+    def _closed(self, tag: str, attributes: dict, classes: list[str], bare: str, path: str) -> None:
+        depth = len(self.open)
         if self.label and depth == self.label[1] and tag != "dt" and "name" not in classes:
             self.out.append(("pair", self.label[0], bare, path))
             self.label = None
@@ -81,8 +101,7 @@ class Parts(HTMLParser):
 
     def finish(self) -> list[tuple[str, str, str, str]]:
         while self.open:
-            name, attributes, parts = self.open.pop()
-            self._closed(name, attributes, parts)
+            self._close()
         return self.out
 
 
@@ -128,17 +147,15 @@ def project_pages(pages: DataFrame, as_of: str, source: str = "gepris") -> DataF
     number = F.regexp_extract("url", r"/gepris/projekt/(\d+)", 1)
     df = pages.select("page_id", number.alias("project_id")).join(heads, "page_id", "left").join(details(parts), "page_id", "left")
     d = lambda *keys: F.coalesce(*(filled(F.col("details")[k]) for k in keys))
-    amounts = [german_amount(F.nullif(F.regexp_extract(F.col("details")[k], r"([\d.,]+)\s*(?:EUR|€)", 1), F.lit(""))) for k in ("Gesamtförderung", "Overall Funding", "Funding", "DFG Programme")]
-    name = d("Applicant", "Spokesperson", "Spokespersons", "Antragsteller", "Sprecher")
+    amounts = [german_amount(F.nullif(F.regexp_extract(F.col("details")[k], r"([\d.,]+)\s*(?:EUR|€)", 1), F.lit(""))) for k in AMOUNT]
+    name = d(*APPLICANT)
     for mark in (";", ", since ", ", until "):
         name = F.trim(F.split_part(name, F.lit(mark), F.lit(1)))
-    term = d("Term", "Förderung")
+    term = d(*TERM)
     years = [F.nullif(F.regexp_extract(term, r"(\d{4})\s*(?:to|-)\s*(\d{4})", i), F.lit("")).cast("int") for i in (1, 2)]
     start, end = F.make_date(years[0], F.lit(1), F.lit(1)), F.make_date(years[1], F.lit(12), F.lit(31))
-    areas = F.filter(F.transform(F.split(F.coalesce(d("Subject Area", "Fachgebiet"), F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
-    institution = d(
-        "Applicant Institution", "Institution", "Einrichtung", "Antragstellende Institution", "Co-Applicant Institution", "Host", "Participating Institution", "Participating University", "Partner Organisation",
-    )
+    areas = F.filter(F.transform(F.split(F.coalesce(d(*AREA), F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
+    institution = d(*INSTITUTION)
     return df.select(
         F.coalesce(filled(F.col("first")), filled(F.col("second")), filled(F.col("third")), F.concat(F.lit("GEPRIS Project "), "project_id")).alias("project_title"), "project_id", "abstract",
         name.alias("pi_name"), institution.alias("pi_institution"), F.lit("DE").alias("pi_country"), start.alias("start_date"), end.alias("end_date"), F.coalesce(*amounts).alias("total_funding"),
@@ -178,11 +195,11 @@ def table_details(pages: DataFrame) -> DataFrame:
 def catalogue_grants(results: DataFrame, detail: DataFrame, as_of: str, source: str = "foerderkatalog") -> DataFrame:
     """Grants of result rows with their detail pages (fkz, details) where there are any: the longer title counts."""
     df = results.join(detail, "fkz", "left")
-    full = F.coalesce(F.col("details")["Thema des geförderten Vorhabens"], F.col("details")["Thema"])
+    full = F.coalesce(*(F.col("details")[k] for k in THEME))
     title = F.when(F.length(full) > F.length("title"), full).otherwise(F.col("title"))
-    plan = F.filter(F.transform(F.split(F.coalesce(F.col("details")["Leistungsplansystematik"], F.lit("")), ":"), lambda x: F.trim(x)), lambda x: x != "")
+    plan = F.filter(F.transform(F.split(F.coalesce(F.col("details")[PLAN], F.lit("")), ":"), lambda x: F.trim(x)), lambda x: x != "")
     return df.select(
-        title.alias("project_title"), F.col("fkz").alias("project_id"), F.coalesce(F.col("details")["Kurzbeschreibung"], F.col("details")["Projektbeschreibung"]).alias("abstract"),
+        title.alias("project_title"), F.col("fkz").alias("project_id"), F.coalesce(*(F.col("details")[k] for k in DESCRIPTION)).alias("abstract"),
         F.coalesce(filled(F.col("executing_institution")), F.col("institution")).alias("pi_institution"), F.lit("DE").alias("pi_country"), "start_date", "end_date", "total_funding", F.lit("EUR").alias("currency"),
         status_by_dates(F.col("start_date"), F.col("end_date"), as_of, open_counts=False).alias("status"), plan.alias("topic_keywords"), F.lit(source).alias("source"), F.concat(F.lit("foekat_"), "fkz").alias("source_id"),
     )
@@ -198,7 +215,7 @@ def person_institutions(pages: DataFrame) -> DataFrame:
     """(person_id, institution) of person pages: the first long link to an institution, else a labelled value."""
     parts = page_parts(pages)
     linked = (F.col("kind") == "link") & F.col("key").contains("/gepris/institution/") & (F.length("value") > 3)
-    labelled = (F.col("kind") == "pair") & F.col("key").isin("Institution", "Address", "Einrichtung", "Adresse") & (F.length("value") > 3)
+    labelled = (F.col("kind") == "pair") & F.col("key").isin(*ADDRESS) & (F.length("value") > 3)
     found = parts.groupBy("page_id").agg(F.min_by("value", F.when(linked, F.col("at"))).alias("a"), F.min_by("value", F.when(labelled, F.col("at"))).alias("b"))
     ids = pages.select("page_id", F.regexp_extract("url", r"/gepris/person/(\d+)", 1).alias("person_id"))
     return ids.join(found, "page_id").select("person_id", F.coalesce("a", "b").alias("institution")).where("institution IS NOT NULL")

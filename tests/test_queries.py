@@ -11,6 +11,8 @@ from grantlake.plans import registry
 SOME = [
     "integrity_pipeline", "to_eur", "open_calls", "funding_landscape", "income_projection", "top_institutions", "historical_trends", "programme_gaps", "sources_used", "funding_links",
     "subdomain_summary", "missing_data", "anomalies", "merge_upsert", "page_summary", "stream_latest_events", "exact_entities", "similar_names",
+    "source_projects", "source_archive", "source_staged", "source_investigators", "source_calls", "source_bulk_projects", "source_abstracts", "source_api_records", "source_curated", "source_registry", "source_result_list",
+    "source_project_pages", "source_catalogue", "source_people", "detail_abstracts", "load_status", "appended_ids", "replaced_sources", "parsed_columns", "to_eur_earlier", "integrity_counts", "status_counts",
 ]
 
 
@@ -23,7 +25,7 @@ def plain(v):
 @pytest.mark.parametrize("name", SOME)
 def test_query_equals_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = registry.QUERIES[name](spark, sf)
     columns = sorted(df.columns)
