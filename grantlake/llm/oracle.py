@@ -16,6 +16,25 @@ def windows(width: str) -> str:
     return f"list_transform(generate_series(1, len(w) - {width} + 1), lambda i: array_to_string(w[i : i + {width} - 1], ' '))"
 
 
+def filter_audit() -> str:
+    """Every order applied to every mask, without intervals."""
+    fails = {"A": "len(w) < 200", "B": "100 * len(list_distinct(w)) < 50 * len(w)", "C": "100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t)", "D": "regexp_matches(t, '[#$%&*|]')", "E": "coalesce(doc_id > least_id, false)"}
+    return rf"""WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+            min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least_id FROM documents),
+        marks AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        masks AS (SELECT part, {" || ".join(f"CASE WHEN {c} THEN '{f}' ELSE '' END" for f, c in fails.items())} AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM docs LEFT JOIN marks USING (doc_id)),
+        counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS filter),
+        orders AS (SELECT '' AS o UNION ALL SELECT o || filter FROM orders, letters WHERE NOT contains(o, filter)),
+        steps AS (SELECT o, step, o[step] AS filter FROM orders, (SELECT unnest(generate_series(1, 5)) AS step) WHERE length(o) = 5),
+        gone AS (SELECT part, o, n, good, toxic, list_min(list_filter([instr(o, f) for f in string_split(mask, '')], lambda i: i > 0)) AS step FROM counts, (SELECT DISTINCT o FROM steps) WHERE mask <> ''),
+        removed AS (SELECT part, o, step, sum(n) AS n, sum(good) AS good, sum(toxic) AS toxic FROM gone GROUP BY part, o, step),
+        totals AS (SELECT part, filter, sum(n) AS total, sum(CASE WHEN contains(mask, filter) THEN n ELSE 0 END) AS failing, sum(CASE WHEN mask = filter THEN n ELSE 0 END) AS alone FROM counts, letters GROUP BY part, filter),
+        rows AS (SELECT part, o, step, filter, total, failing, alone, coalesce(n, 0) AS n, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM steps JOIN totals USING (filter) LEFT JOIN removed USING (part, o, step))
+        SELECT part, o AS filter_order, CAST(step AS INT) AS step, filter, CAST(total - sum(n) OVER (PARTITION BY part, o ORDER BY step) AS BIGINT) AS kept, CAST(n AS BIGINT) AS removed, CAST(failing - n AS BIGINT) AS redundant,
+        CAST(alone AS BIGINT) AS unique_fails, CAST(good AS BIGINT) AS good_lost, CAST(toxic AS BIGINT) AS toxic_lost, CAST(sum(n) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM rows"""
+
+
 ORACLE = {
     "op3_decontamination": f"""WITH {DOCS},
         items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
@@ -51,4 +70,5 @@ ORACLE = {
         places AS (SELECT r, n, unnest(keys) AS phrase, unnest(generate_series(0, len(keys) - 1)) AS p FROM lists),
         found AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places JOIN phrases USING (n, phrase) GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels FROM docs LEFT JOIN found USING (r)""",
+    "op13_filter_audit": filter_audit(),
 }

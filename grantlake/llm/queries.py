@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grantlake.llm.cotrain import score_quality
 from grantlake.llm.decontam import decontaminate
+from grantlake.llm.filter_audit import filter_audit
 from grantlake.llm.language import identify
 from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
 from grantlake.llm.oracle import ORACLE as ORACLE
 from grantlake.llm.packing import pack, pack_conversations
+from grantlake.llm.pieces import decode, encode
 from grantlake.llm.quality_rules import base_statistics, quality_rules
 from grantlake.llm.substring import repeated_passages
 from grantlake.llm.toxicity import toxicity
@@ -76,6 +79,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,5 +105,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_html_extraction,
         op10_language_id,
+        op12_sentencepiece,
+        op13_filter_audit,
     )
 }

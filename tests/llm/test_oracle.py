@@ -5,7 +5,7 @@ import pytest
 
 from grantlake.llm.queries import ORACLE, QUERIES
 
-TABLES = ("documents", "benchmark")
+TABLES = ("documents", "benchmark", "labels", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
