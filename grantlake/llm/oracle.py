@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from grantlake.llm.decontam import SPAN
+from grantlake.llm.grid_codes import ENTRIES, PARTS, ROUNDS, SCALE
 from grantlake.llm.licences import PHRASES
 from grantlake.llm.neardup import SHINGLE, SIMILARITY
 
@@ -35,6 +36,28 @@ def filter_audit() -> str:
         CAST(alone AS BIGINT) AS unique_fails, CAST(good AS BIGINT) AS good_lost, CAST(toxic AS BIGINT) AS toxic_lost, CAST(sum(n) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM rows"""
 
 
+def vector_codes() -> str:
+    """Every part against every entry of its codebook, four rounds unrolled."""
+    nearest = """SELECT r, p, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d FROM (SELECT r, parts.p, e,
+        CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS BIGINT) AS d FROM parts JOIN book{} USING (p)) GROUP BY r, p"""
+    rounds = [
+        f"""near{i} AS MATERIALIZED ({nearest.format(i)}),
+        means{i} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS DOUBLE) AS m FROM near{i} JOIN parts USING (r, p), (SELECT unnest(generate_series(1, (SELECT max(len(x)) FROM parts))) AS i) GROUP BY p, e, i) GROUP BY p, e),
+        book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(means{i}.c, book{i}.c) AS c FROM book{i} LEFT JOIN means{i} USING (p, e)),"""
+        for i in range(ROUNDS)
+    ]
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        cuts AS (SELECT unnest(generate_series(0, {PARTS - 1})) AS p),
+        parts AS MATERIALIZED (SELECT r, p, v[p * len(v) // {PARTS} + 1 : (p + 1) * len(v) // {PARTS}] AS x FROM kept, cuts),
+        book0 AS MATERIALIZED (SELECT p, e, x AS c FROM parts JOIN (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {ENTRIES}) USING (r)),
+        {' '.join(rounds)}
+        last AS MATERIALIZED ({nearest.format(ROUNDS)}),
+        coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY r),
+        digest AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM (SELECT p, e, unnest(c) AS y, unnest(generate_series(1, len(c))) AS i FROM book{ROUNDS}))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN kept USING (r), digest"""
+
+
 ORACLE = {
     "op3_decontamination": f"""WITH {DOCS},
         items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
@@ -70,5 +93,6 @@ ORACLE = {
         places AS (SELECT r, n, unnest(keys) AS phrase, unnest(generate_series(0, len(keys) - 1)) AS p FROM lists),
         found AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places JOIN phrases USING (n, phrase) GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels FROM docs LEFT JOIN found USING (r)""",
+    "op11_vector_codes": vector_codes(),
     "op13_filter_audit": filter_audit(),
 }

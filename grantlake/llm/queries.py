@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from grantlake.llm.cotrain import score_quality
 from grantlake.llm.decontam import decontaminate
 from grantlake.llm.filter_audit import filter_audit
+from grantlake.llm.grid_codes import vector_codes
 from grantlake.llm.language import identify
 from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
@@ -79,6 +80,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
@@ -105,6 +110,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_html_extraction,
         op10_language_id,
+        op11_vector_codes,
         op12_sentencepiece,
         op13_filter_audit,
     )
