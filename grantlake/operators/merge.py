@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlake.operators.dedup import keep_last
+from grantlake.sources.landing import new_folder
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str], updates: list[str], id_column: str | None = "id") -> DataFrame:
@@ -48,23 +49,30 @@ def update_load_status(status: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def append_with_ids(target: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame:
-    """Both tables; the batch's rows get ids that go on after the target's largest, in an order.
+    """Both tables; the batch's rows get ids that go on after the target's largest, without gaps, in an order.
 
-    Rows are numbered inside ranges of the order, and the ranges' sizes (one number a partition) are added up, so no
-    task sees all rows.
+    The batch is stored in ranges of the order before it is numbered: sizes and rows then come from the same ranges,
+    while a second run of a range exchange would sample other borders.  Rows are numbered inside their range and the
+    ranges' sizes (one number each) are added up, so no task sees all rows.  Rows that the order doesn't tell apart are
+    spread by a hash of their columns.
     """
+    spark = batch.sparkSession
     top = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    ranged = batch.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
-    numbered = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
-    sizes = numbered.groupBy("__p").agg(F.max("__n").alias("size")).orderBy("__p").collect()
-    before, offsets = 0, {}
-    for r in sizes:
-        offsets[r["__p"]] = before
-        before += r["size"]
+    rest = [c for c, kind in batch.dtypes if c not in order and "map<" not in kind]
+    keys = [*map(F.col, order), *([F.xxhash64(*rest)] if rest else [])]
+    path = new_folder(spark, "ranges")
+    batch.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    before, offsets = 0, []
+    for r in ranged.groupBy("__range").count().orderBy("__range").collect():
+        offsets.append((r["__range"], top + before))
+        before += r["count"]
     if not offsets:
         return target
-    offset = F.create_map(*(F.lit(x) for p in offsets.items() for x in p))[F.col("__p")]
-    return target.unionByName(numbered.withColumn("id", (F.lit(top) + offset + F.col("__n")).cast("long")).drop("__p", "__n"), allowMissingColumns=True)
+    own = Window.partitionBy("__range").orderBy(*keys)
+    numbered = ranged.withColumn("__n", F.row_number().over(own)).join(F.broadcast(spark.createDataFrame(offsets, "__range int, __before long")), "__range")
+    rows = numbered.withColumn("id", F.col("__before") + F.col("__n"))
+    return target.unionByName(rows.drop("__range", "__before", "__n"), allowMissingColumns=True)
 
 
 def replace_source(df: DataFrame, path: str) -> None:

@@ -34,7 +34,8 @@ APPLICATION = table(
     "classical_baseline string, quantum_complexity string, maturity string, year_first_proposed int, seminal_reference string, notes string"
 )
 DATA_SOURCE = table("id string, name string, last_fetch timestamp, last_success timestamp, records_count long, status string, error_message string")
-FUNDING_LINK = table("application_id long, query_pattern string, grant_count long, total_funding_eur double, top_funders string, last_computed timestamp")
+SECTOR = table("id long, application_id long, sector string, relevance_notes string")
+FUNDING_LINK = table("id long, application_id long, query_pattern string, grant_count long, total_funding_eur double, top_funders string, last_computed timestamp")
 
 #: Keys that rows are merged on, and what a later load may overwrite.
 GRANT_KEY = ["source", "source_id"]
@@ -44,6 +45,12 @@ GRANT_UPDATES = [
 ]
 CALL_KEY = ["source", "source_id"]
 CALL_UPDATES = ["title", "description", "deadline", "status", "budget_total", "topic_keywords", "updated_at"]
+APPLICATION_KEY = ["name"]
+APPLICATION_UPDATES = [f.name for f in APPLICATION if f.name not in ("id", "name")]
+LINK_KEY = ["application_id"]
+LINK_UPDATES = ["query_pattern", "grant_count", "total_funding_eur", "top_funders", "last_computed"]
+SECTOR_KEY = ["application_id", "sector"]
+SECTOR_UPDATES = ["relevance_notes"]
 
 #: What a column may hold.
 ALLOWED = {

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantlake.operators.merge import merge_upsert, update_load_status
+from grantlake.operators import parted
+from grantlake.operators.merge import update_load_status
 from grantlake.schemas import DATA_SOURCE
 
 
@@ -37,26 +38,25 @@ def write_snapshot(df: DataFrame, path: str, number: int, kept: int = 3) -> None
         old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
 
-def upsert_batch(path: str, schema: T.StructType, keys: list[str], updates: list[str], status_path: str, source: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: merge a batch into the table and note the load.
+def upsert_batch(path: str, schema: T.StructType, keys: list[str], updates: list[str], status_path: str, source: str, kept: int = 3) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: merge a batch into a table in parts and note the load.
 
-    A batch that is run again after a failure starts from the snapshot before it, so the result is the same.  Only the
-    load status has the clock's time.  Parquet has no updates in place, so a batch writes the table anew; batches are as
-    large as what has landed since the last call.
+    A batch is read once, touches only the parts of its keys, and is committed under its number: one that is run again
+    after a failure changes nothing, and the load is noted with the rows that its commit counted.  Only the load status
+    has the clock's time.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = [n for n in _snapshots(spark, path) if n < f"v{number + 1:012d}"]
-        target = spark.read.schema(schema).parquet(f"{path}/{before[-1]}") if before else spark.createDataFrame([], schema)
-        write_snapshot(merge_upsert(target, batch, keys, updates), path, number + 1)
-        old = [n for n in _snapshots(spark, status_path) if n < f"v{number + 1:012d}"]
-        status = spark.read.schema(DATA_SOURCE).parquet(f"{status_path}/{old[-1]}") if old else spark.createDataFrame([], DATA_SOURCE)
-        loaded = batch.agg(F.count("*").alias("records_count")).select(
+        rows = parted.upsert(batch, path, schema, keys, updates, number + 1)
+        parted.vacuum(spark, path, kept)
+        loaded = spark.range(1).select(
             F.lit(source).alias("id"), F.lit(source).alias("name"), F.current_timestamp().alias("last_fetch"), F.current_timestamp().alias("last_success"),
-            "records_count", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error_message"),
+            F.lit(rows).cast("long").alias("records_count"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error_message"),
         )
-        write_snapshot(update_load_status(status, loaded), status_path, number + 1)
+        old = [n for n in _snapshots(spark, status_path) if n < f"v{number + 1:012d}"]
+        status = spark.read.schema(DATA_SOURCE).parquet(f"{status_path}/{old[-1]}") if old else spark.createDataFrame([], DATA_SOURCE)
+        write_snapshot(update_load_status(status, loaded), status_path, number + 1, kept)
 
     return run
 

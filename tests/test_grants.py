@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grantlake import schemas
 from grantlake.functions import columns as c
-from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, refresh, report, rollups
+from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, parted, refresh, report, rollups
 from grantlake.plans import binding
 
 D = dt.date
@@ -163,13 +163,105 @@ def test_merging_rows(spark):
     assert [r.id for r in good.collect()] == [1] and [r.broken_rules for r in bad.collect()] == [["known"]]
 
 
-def test_refresh_keeps_the_rows_of_a_source_that_fails(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_appended_ids_are_gapless_at_any_size(spark, adaptive):
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        target = spark.range(1, 6).select("id", F.lit("t").alias("name"), F.lit(0).cast("long").alias("k"))
+        # a third of the rows has the same name
+        batch = spark.range(0, 2_000_000, 1, 20).select(F.when(F.col("id") % 3 == 0, "same").otherwise(F.md5(F.col("id").cast("string"))).alias("name"), F.col("id").alias("k"))
+        out = merge.append_with_ids(target, batch, ["name"]).where("id > 5")
+        r = out.agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"), F.min("id").alias("a"), F.max("id").alias("b"), F.count_distinct("k").alias("k")).first()
+        assert tuple(r) == (2_000_000, 2_000_000, 6, 2_000_005, 2_000_000)
+        ends = out.groupBy(F.substring("name", 1, 2).alias("h")).agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("h").collect()
+        assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
+
+
+def test_appending_nothing_and_rows_without_an_order(spark):
+    target = spark.createDataFrame([(7, "x")], "id long, name string")
+    assert merge.append_with_ids(target, target.drop("id").limit(0), ["name"]).collect() == target.collect()
+    more = spark.createDataFrame([(None,), ("a",), (None,)], "name string")
+    assert sorted((r.id, r.name) for r in merge.append_with_ids(target, more, ["name"]).collect()) == [(7, "x"), (8, None), (9, None), (10, "a")]
+    assert [r.id for r in merge.append_with_ids(target.limit(0), more, ["name"]).orderBy("id").collect()] == [1, 2, 3]
+
+
+def test_a_load_touches_only_the_parts_of_its_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), spark.createDataFrame([], "id long, k string, v string, w string").schema
+    files = lambda: {str(p.relative_to(path)): p.stat().st_mtime_ns for p in (tmp_path / "t" / "data").rglob("*.parquet")}
+    rows = lambda: {r.k: (r.v, r.w) for r in parted.read_table(spark, path, schema).collect()}
+    first = spark.range(400).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("1").alias("v"), F.lit("1").alias("w"))
+    assert parted.upsert(first, path, schema, ["k"], ["v"]) == 400 and len(rows()) == 400
+    before, parts = files(), parted.commit_of(spark, path)["parts"]
+    assert len(parts) > 50
+    second = spark.createDataFrame([("k5", "2", "2"), ("new", "2", "2"), (None, "2", "2")], "k string, v string, w string")
+    assert parted.upsert(second, path, schema, ["k"], ["v"], 2) == 3
+    now = parted.commit_of(spark, path)["parts"]
+    assert sum(now[p] != parts.get(p) for p in now) <= 2 and before.items() <= files().items()
+    assert rows()["k5"] == ("2", "1") and rows()["new"] == ("2", "2") and rows()["k6"] == ("1", "1") and len(rows()) == 401
+    whole = files()
+    assert parted.upsert(second, path, schema, ["k"], ["v"], 2) == 3 and files() == whole  # the same load again
+    assert len(parted.read_table(spark, path, schema, 1).collect()) == 400
+
+    bad = spark.createDataFrame([("k7", "3", "3"), ("k8", "3", "3")], "k string, v string, w string").withColumn("v", F.when(F.col("k") == "k8", F.raise_error(F.lit("torn"))).otherwise(F.col("v")))
+    seen = rows()
+    with pytest.raises(Exception, match="torn"):
+        parted.upsert(bad, path, schema, ["k"], ["v"])
+    assert rows() == seen and parted.commits(spark, path) == [1, 2]
+    assert parted.upsert(second.limit(0), path, schema, ["k"], ["v"]) == 0 and rows() == seen
+    assert parted.vacuum(spark, path, kept=1) >= 1 and rows() == seen and parted.commits(spark, path) == [3]
+
+
+def test_a_crash_before_the_commit_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), spark.createDataFrame([], "id long, k string, v string").schema
+    rows = lambda: {r.k: r.v for r in parted.read_table(spark, path, schema).collect()}
+    make = lambda *r: spark.createDataFrame(list(r), "k string, v string")
+    parted.upsert(make(("a", "1"), ("b", "1")), path, schema, ["k"], ["v"], 1)
+
+    def crash(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(parted, "_commit", crash)
+        with pytest.raises(KeyboardInterrupt):
+            parted.upsert(make(("a", "2"), ("c", "2")), path, schema, ["k"], ["v"], 2)
+    assert rows() == {"a": "1", "b": "1"}
+    parted.upsert(make(("a", "2"), ("c", "2")), path, schema, ["k"], ["v"], 2)
+    assert rows() == {"a": "2", "b": "1", "c": "2"}
+    with pytest.raises(RuntimeError):
+        parted._commit(spark, path, 2, {"rows": 0, "parts": {}})  # a second writer of the same number
+
+
+def test_institutions_of_a_large_project_are_dealt_into_blocks(spark):
+    rows = [(f"p{i % 3}", f"inst{i % 40}") for i in range(200)] + [("", "x"), (None, "y"), ("p9", ""), ("p9", None), ("p8", "alone")]
+    df = spark.createDataFrame(rows, "project_id string, pi_institution string")
+    sets = {}
+    for p, i in rows:
+        if p and i:
+            sets.setdefault(p, set()).add(i)
+    expected = {}
+    for s in sets.values():
+        for a in s:
+            for b in s:
+                if a < b:
+                    expected[a, b] = expected.get((a, b), 0) + 1
+    for block in (1, 7, 500):
+        assert {(r.a, r.b): r.projects for r in refresh.co_participation(df, block).collect()} == expected
+
+
+def test_refresh_keeps_the_rows_of_a_source_that_fails(spark, tmp_path):
     def broken():
         raise OSError("not there")
 
     old = grants(spark, [row(1, "cordis_bulk", "1")])
     new = grants(spark, [row(2, "gepris", "2")])
-    out, states = refresh.refresh(old, binding.funders(spark), {"cordis_bulk": broken, "gepris": lambda: new})
+    path = str(tmp_path / "grants")
+    assert refresh.load_sources(spark, path, {"cordis_bulk": lambda: old}) == {"cordis_bulk": "ok"}
+    out, states = refresh.refresh(spark, path, binding.funders(spark), {"cordis_bulk": broken, "gepris": lambda: new})
     assert states == {"cordis_bulk": "error: OSError", "gepris": "ok"} and {r.source for r in out.collect()} == {"cordis_bulk", "gepris"}
 
 
@@ -197,10 +289,13 @@ def test_escaped_wildcards_are_literal():
             match.pieces(wrong)
 
 
-def test_a_bad_file_anywhere_fails_its_source_alone(spark):
+def test_a_bad_file_anywhere_fails_its_source_alone(spark, tmp_path):
     good = spark.createDataFrame([("gepris", "gepris_1", "T")], "source string, source_id string, project_title string")
     rows = spark.range(0, 100, 1, 10).selectExpr("'cordis_bulk' as source", "concat('c', id) as source_id", "if(id = 99, raise_error('bad file'), 'x') as project_title")
-    old = schemas.ensure_columns(spark.createDataFrame([("cordis_bulk", "old", "O")], "source string, source_id string, project_title string"), schemas.GRANT)
-    out, states = refresh.refresh(old, binding.funders(spark), {"cordis_bulk": lambda: rows, "gepris": lambda: good})
+    old = spark.createDataFrame([("cordis_bulk", "old", "O")], "source string, source_id string, project_title string")
+    path = str(tmp_path / "grants")
+    refresh.load_sources(spark, path, {"cordis_bulk": lambda: old})
+    out, states = refresh.refresh(spark, path, binding.funders(spark), {"cordis_bulk": lambda: rows, "gepris": lambda: good, "other": lambda: good})
+    assert states.pop("other").startswith("error")  # rows of another source
     assert states["gepris"] == "ok" and states["cordis_bulk"].startswith("error")
     assert {r.source_id for r in out.collect()} == {"old", "gepris_1"}

@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from grantlake import schemas
+from grantlake.operators import parted
 from grantlake.sources import api_json, bulk_json, calls_json, delimited, html_pages, seeds
 from grantlake.streaming import ingest
 
@@ -110,12 +111,12 @@ def test_streamed_files_are_merged_once(spark, tmp_path):
     def land(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(landed))
         ingest.ingest(spark.readStream.schema(schema).json(str(landed)), lambda d: d, run, f"{home}/c")
-        return {r.source_id: r.title for r in ingest.read_snapshot(spark, f"{home}/t", table).collect()}
+        return {r.source_id: r.title for r in parted.read_table(spark, f"{home}/t", table).collect()}
 
     assert land([("s", "a", "1", 1), ("s", "b", "1", 2)]) == {"a": "1", "b": "1"}
     assert land([("s", "b", "2", 3), ("s", "c", "2", 4)]) == {"a": "1", "b": "2", "c": "2"}
     run(spark.createDataFrame([("s", "b", "2", 3), ("s", "c", "2", 4)], schema), 1)  # the second batch again
-    assert {r.source_id: r.title for r in ingest.read_snapshot(spark, f"{home}/t", table).collect()} == {"a": "1", "b": "2", "c": "2"}
+    assert {r.source_id: r.title for r in parted.read_table(spark, f"{home}/t", table).collect()} == {"a": "1", "b": "2", "c": "2"}
     status = ingest.read_snapshot(spark, f"{home}/s", schemas.DATA_SOURCE).collect()
     assert [(r.id, r.status, r.records_count) for r in status] == [("src", "ok", 2)]
 
