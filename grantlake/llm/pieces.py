@@ -15,6 +15,7 @@ after the last of some letters.  The ids of short parts are remembered, up to a
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
@@ -36,6 +37,8 @@ LETTERS = "A-Za-zÀ-ɏ"
 PARTS = f"{SPACE}*[^{SPACE}{LETTERS}]*[{LETTERS}]*"
 #: Parts of up to so many characters are remembered, and twice so many of them; texts that are worked off together, in bytes.
 SHORT, REMEMBERED, TEXTS = 48, 400_000, 1 << 22
+#: Positions of a long part for which matches are held at a time.
+BLOCK = 1 << 12
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -99,9 +102,11 @@ class Pieces:
             if left == [p]:  # no other piece is ever left by merging
                 self.merges[p] = steps
         whole = list(self.merges)
+        self.width = max(map(len, whole), default=1)
         self.automaton = ahocorasick.Automaton()
         for p in whole:
-            self.automaton.add_word(p[::-1], len(p))
+            if len(p) > 1:  # a character stands for itself anyway
+                self.automaton.add_word(p[::-1], p)
         self.automaton.make_automaton()
         known = set(whole)
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in known), "") for p in whole}
@@ -171,54 +176,63 @@ class Pieces:
                 first = right[j][1]
                 j += 1
 
-    def _longest(self, text: str) -> dict[int, int] | array:
-        """For each position, counted from the end of the text, the length of the longest piece that starts there."""
-        if len(text) <= SHORT:
-            return dict(list(self.automaton.iter(text[::-1]))[::-1])  # of one place the longest comes first
-        out = array("H", bytes(2 * len(text)))
-        for end, size in self.automaton.iter(text[::-1]):
-            if size > out[end]:
-                out[end] = size
-        return out
+    def _longest(self, text: str):
+        """Function from a position, as its distance from the text's last, to the longest piece of two characters or more that starts there.
+
+        Of long texts a block of positions is looked at when one of it is asked for.
+        """
+        if len(text) <= BLOCK:
+            return dict(list(self.automaton.iter(text[::-1]))[::-1]).get  # of one place the longest comes first
+        held: dict[int, dict[int, str]] = {}
+
+        def get(distance: int) -> str | None:
+            block = distance // BLOCK
+            if block not in held:
+                if len(held) > 2:
+                    held.clear()
+                low = max(0, len(text) - (block + 1) * BLOCK)
+                high = len(text) - block * BLOCK
+                some = text[low : high + self.width]
+                past = len(some) - (high - low)
+                held[block] = {end - past + block * BLOCK: piece for end, piece in list(self.automaton.iter(some[::-1]))[::-1] if end >= past}
+            return held[block].get(distance)
+
+        return get
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text whose spaces are marked; a character that is in no piece stands for itself."""
-        n, longest = len(text), self._longest(text)
-        size = longest.get if isinstance(longest, dict) else lambda i, none: longest[i]
+        longest, compatible, shorter = self._longest(text), self.compatible, self.shorter
         failed = bytearray()  # a bit for each position that has no way on
         out: list[str] = []
-        at, fitting = 0, self.fitting
-        piece = text[: size(n - 1, 0) or 1]
+        at, n, last = 0, len(text), ""
+        piece = longest(n - 1) or text[0] if n else ""
         while at < n:
-            while True:
-                if out:
-                    piece = fitting(out[-1], piece)
-                if not piece or not failed or not failed[(end := at + len(piece)) >> 3] >> (end & 7) & 1:
-                    break
-                piece = self.shorter.get(piece, "")
-                if not piece:
+            while piece:
+                if last:
+                    held = compatible.get((last, piece))
+                    piece = self.fitting(last, piece) if held is None else held
+                if not failed or not failed[(end := at + len(piece)) >> 3] >> (end & 7) & 1:
                     break
+                piece = shorter.get(piece, "")
             if piece:
                 out.append(piece)
                 at += len(piece)
+                last = piece
                 if at < n:
-                    piece = text[at : at + (size(n - 1 - at, 0) or 1)]
+                    piece = longest(n - 1 - at) or text[at]
             else:
                 failed = failed or bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                last = out.pop()
+                piece = shorter.get(out.pop(), "")
                 at -= len(last)
-                piece = self.shorter.get(last, "")
+                last = out[-1] if out else ""
         return out
 
     def _ids(self, part: str) -> bytes:
-        out: list[int] = []
-        for piece in self.split(part):
-            known = self.ids.get(piece)
-            if known is None:
-                out += [self.bytes[b] for b in piece.encode()]
-            else:
-                out.append(known)
+        pieces = self.split(part)
+        out = list(map(self.ids.get, pieces))
+        if None in out:
+            out = [i for piece, known in zip(pieces, out) for i in ([self.bytes[b] for b in piece.encode()] if known is None else [known])]
         ids = array("i", out).tobytes()
         if len(part) <= SHORT:
             if len(self.codes) > REMEMBERED:
@@ -285,7 +299,9 @@ def _pieces(path: str | None) -> Pieces:
         import public_tokenizers
 
         path = public_tokenizers.path("piece_bpe_32k.model")
-    return Pieces(path)
+    made = Pieces(path)
+    gc.freeze()  # the model stays: the collector needn't walk over it again and again
+    return made
 
 
 def _mapped(df: DataFrame, column: str, made: str, kind: str, work) -> DataFrame:
