@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlake.operators import analytics, audit, rollups
@@ -36,19 +36,37 @@ def markdown(df: DataFrame, title: str, limit: int = MOST_ROWS) -> str:
     return "\n".join([*lines, *("| " + " | ".join(map(cell, r)) + " |" for r in rows), ""])
 
 
-def landscape_report(grants: DataFrame, calls: DataFrame, as_of: str, institution: str = "%HANNOVER%") -> str:
-    """The report of seven sections over all grants (flags included) and calls."""
+def landscape_sections(grants: DataFrame, calls: DataFrame, as_of: str, institution: str = "%HANNOVER%") -> dict[str, tuple[DataFrame, list[str]]]:
+    """The seven sections of the report over all grants (flags included) and calls: rows, and what they are ordered by."""
     rows = canonical(grants)
-    sections = [
-        ("Executive summary", executive_summary(rows, calls, institution), 1),
-        ("Deadlines", analytics.open_calls(calls, as_of, 12, False), 30),
-        ("Funding landscape", analytics.funding_landscape(rows), MOST_ROWS),
-        ("Income projection", analytics.income_projection(rows, institution), MOST_ROWS),
-        ("Gaps", analytics.programme_gaps(calls, rows, institution, as_of), 20),
-        ("Recommended calls", analytics.open_calls(calls, as_of, 12, True), 15),
-        ("Data quality", report_quality(rows), MOST_ROWS),
-    ]
-    return "\n".join(["# Funding landscape", "", *(markdown(df, title, n) for title, df, n in sections)])
+    due = ["deadline IS NULL", "deadline", "call_identifier"]
+    return {
+        "Executive summary": (executive_summary(rows, calls, institution).limit(1), ["total_grants"]),
+        "Deadlines": (analytics.open_calls(calls, as_of, 12, False).limit(30), due),
+        "Funding landscape": (analytics.funding_landscape(rows).limit(MOST_ROWS), ["-total_funding", "source"]),
+        "Income projection": (analytics.income_projection(rows, institution).limit(MOST_ROWS), ["year"]),
+        "Gaps": (analytics.programme_gaps(calls, rows, institution, as_of).limit(20), ["-open_calls", "framework_programme"]),
+        "Recommended calls": (analytics.open_calls(calls, as_of, 12, True).limit(15), due),
+        "Data quality": (report_quality(rows).limit(MOST_ROWS), ["-n", "source"]),
+    }
+
+
+def section_rows(sections: dict[str, tuple[DataFrame, list[str]]], columns: dict[str, list[str]]) -> DataFrame:
+    """(section, place, line): the rows of some sections as text, some columns of each between bars, nulls as ''."""
+    out = None
+    for title, names in columns.items():
+        rows, order = sections[title]
+        place = F.row_number().over(Window.orderBy(*map(F.expr, order)))
+        line = F.array_join(F.array(*(F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names)), "|")
+        part = rows.select(F.lit(title).alias("section"), place.alias("place"), line.alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def landscape_report(grants: DataFrame, calls: DataFrame, as_of: str, institution: str = "%HANNOVER%") -> str:
+    """The report as Markdown."""
+    sections = landscape_sections(grants, calls, as_of, institution)
+    return "\n".join(["# Funding landscape", "", *(markdown(df, title) for title, (df, _) in sections.items())])
 
 
 def catalogue_report(applications: DataFrame, links: DataFrame) -> str:

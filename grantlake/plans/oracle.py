@@ -94,6 +94,11 @@ best = lambda names, column, last: "CASE " + " ".join(f"WHEN bool_or({column} =
 ADV = ["exponential", "superpolynomial", "polynomial", "quadratic", "subquadratic", "constant"]
 EVI = ["proven", "proven_with_caveats", "conjectured", "heuristic_only"]
 FIELDS = ["pi_name", "pi_institution", "pi_country", "start_date", "end_date", "total_funding", "abstract", "ror_id", "funder_id"]
+call_line = "concat_ws('|', call_identifier, coalesce(CAST(deadline AS VARCHAR), ''), status, coalesce(framework_programme, ''))"
+RELEVANT = " OR ".join([
+    *(f"title ILIKE '{p}'" for p in ("%quantum%", "%ERC%", "%topolog%", "%many-body%", "%entangle%")), *(f"array_to_string(topic_keywords, ' ') ILIKE '{p}'" for p in ("%quantum%", "%physics%", "%computing%")),
+    *(f"call_identifier ILIKE '{p}'" for p in ("%ERC%", "%MSCA%", "%quantum%")),
+])
 
 ORACLE = {
     "clean_dates": "SELECT id, start_date, end_date FROM dated",
@@ -241,6 +246,13 @@ ORACLE = {
         SELECT application, draw, d.id, source, md5(project_title) AS title, pi_institution, patterns, fields FROM drawn d JOIN canonical c ON c.id = d.id WHERE n > 2 AND draw <= 10""",
     "similar_institutions": """WITH names AS (SELECT DISTINCT pi_institution FROM g WHERE source IN ('cordis_bulk', 'gepris') AND pi_institution <> '')
         SELECT id, g.pi_institution, 'org' || CAST(n_nationkey AS VARCHAR) AS ror_id FROM g JOIN names ON names.pi_institution = g.pi_institution JOIN nation ON lower(g.pi_institution) = 'university of ' || lower(n_name)""",
+    "report_sections": f"""WITH due AS (SELECT * FROM calls WHERE status IN ('open', 'forthcoming') AND (deadline IS NULL OR deadline BETWEEN {as_of} AND {as_of} + INTERVAL 360 DAY)),
+        gaps AS (SELECT p.framework_programme, p.open_calls, p.next_deadline, CASE WHEN EXISTS (SELECT 1 FROM canonical WHERE {inst} AND contains(source_id, lower(coalesce(p.framework_programme, '')))) THEN 'Applied' ELSE 'Never applied' END AS our_status
+          FROM (SELECT framework_programme, count(*) AS open_calls, min(deadline) AS next_deadline FROM calls WHERE status IN ('open', 'forthcoming') AND deadline >= {as_of} GROUP BY framework_programme) p)
+        SELECT section, CAST(place AS INT) AS place, line FROM (
+        {" UNION ALL ".join(f"SELECT '{title}' AS section, row_number() OVER (ORDER BY deadline IS NULL, deadline, call_identifier) AS place, {call_line} AS line FROM due WHERE {test} QUALIFY place <= {n}" for title, test, n in (("Deadlines", "true", 30), ("Recommended calls", RELEVANT, 15)))}
+        UNION ALL SELECT 'Gaps', row_number() OVER (ORDER BY open_calls DESC, framework_programme NULLS FIRST) AS place, concat_ws('|', coalesce(framework_programme, ''), open_calls, coalesce(CAST(next_deadline AS VARCHAR), ''), our_status) FROM gaps QUALIFY place <= 20
+        UNION ALL SELECT 'Data quality', row_number() OVER (ORDER BY n DESC, source), concat_ws('|', source, n, f, i, d) FROM (SELECT source, count(*) AS n, count(total_funding) AS f, count(nullif(pi_institution, '')) AS i, count(start_date) AS d FROM canonical GROUP BY source))""",
     "totals": "SELECT count(*) AS grants, count(*) FILTER (WHERE dedup_of IS NULL AND NOT is_aggregate) AS canonical, (SELECT count(*) FROM calls) AS calls FROM g",
     "exact_entities": """SELECT DISTINCT c.pi_institution AS name, 'org' || CAST(n.n_nationkey AS VARCHAR) AS ror_id FROM g c JOIN nation n ON lower(c.pi_institution) = 'university of ' || lower(n.n_name)""",
 }
@@ -250,7 +262,6 @@ ORACLE = {name: over(text) if not text.startswith("WITH") else f"WITH {PIPELINE}
 
 ORACLE |= {
     "latest_events": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, round(arg_max(value, (ts, event_id)), 6) AS value FROM events GROUP BY user_id, event_type",
-    "stream_latest_events": "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type",
     "page_summary": r"""SELECT page_id, regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1) AS title, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS heading,
         CAST(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS INTEGER) AS n_links, list_filter(regexp_extract_all(html, '(?s)<p>([^<]*)</p>', 1), lambda x: length(x) > 50)[1] AS block FROM pages""",
     "page_links": r"""SELECT page_id, href AS link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) GROUP BY page_id, href""",

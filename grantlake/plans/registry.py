@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from grantlake import schemas
 from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, refresh, report, rollups
-from grantlake.plans import binding, landed, oracle
+from grantlake.plans import binding, landed, oracle, stored
 from grantlake.sources import html_pages
-from grantlake.sources.landing import new_folder
 from grantlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -451,6 +450,15 @@ def report_quality(spark, sf_dir):
     return report.report_quality(Tables(spark, sf_dir).canonical())
 
 
+@query
+def report_sections(spark, sf_dir):
+    """The sections of the report that have a limit on rows (30, 20 and 15), and the one on data quality, line by line."""
+    t = Tables(spark, sf_dir)
+    calls = {n: ["call_identifier", "deadline", "status", "framework_programme"] for n in ("Deadlines", "Recommended calls")}
+    columns = {**calls, "Gaps": ["framework_programme", "open_calls", "next_deadline", "our_status"], "Data quality": ["source", "n", "with_total_funding", "with_pi_institution", "with_start_date"]}
+    return report.section_rows(report.landscape_sections(t.whole(), t.calls, binding.AS_OF, binding.INSTITUTION), columns)
+
+
 @query
 def totals(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -539,19 +547,5 @@ def latest_events(spark, sf_dir):
     return rows.withColumn("value", F.round("value", 6))
 
 
-@query
-def stream_latest_events(spark, sf_dir):
-    """The events as a stream of landed files, merged by key; the table and its checkpoint are in the shared folder."""
-    home = new_folder(spark, "stream")
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    target = "user_id long, event_type string, event_id long, ts timestamp, id long"
-    table = spark.createDataFrame([], target).schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    shaped = lambda df: df.select("user_id", "event_type", "event_id", "ts", F.struct("ts", "event_id").alias("position"))
-    run = ingest.upsert_batch(f"{home}/events", table, ["user_id", "event_type"], ["event_id", "ts"], f"{home}/status", "events")
-    ingest.ingest(stream, shaped, run, f"{home}/checkpoint")
-    return ingest.read_snapshot(spark, f"{home}/events", table).select("user_id", "event_type", "event_id")
-
-
-QUERIES |= landed.QUERIES
-ORACLE = {name: text for name, text in (oracle.ORACLE | landed.ORACLE).items() if name in QUERIES}
+QUERIES |= landed.QUERIES | stored.QUERIES
+ORACLE = {name: text for name, text in (oracle.ORACLE | landed.ORACLE | stored.ORACLE).items() if name in QUERIES}

@@ -13,6 +13,7 @@ SOME = [
     "subdomain_summary", "missing_data", "anomalies", "merge_upsert", "page_summary", "stream_latest_events", "exact_entities", "similar_names",
     "source_projects", "source_archive", "source_staged", "source_investigators", "source_calls", "source_bulk_projects", "source_abstracts", "source_api_records", "source_curated", "source_registry", "source_result_list",
     "source_project_pages", "source_catalogue", "source_people", "detail_abstracts", "load_status", "appended_ids", "replaced_sources", "parsed_columns", "to_eur_earlier", "integrity_counts", "status_counts",
+    "upserted_calls", "upserted_applications", "upserted_links", "upserted_sectors", "refreshed_sources", "stream_load_status", "report_sections", "co_participation",
 ]
 
 
