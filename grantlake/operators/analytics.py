@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlake.functions.columns import any_ilike, month_borders
+from grantlake.operators.substring_join import containing
 
 OPEN = ("open", "forthcoming")
 
@@ -83,23 +84,16 @@ def programme_availability(calls: DataFrame, as_of: str) -> DataFrame:
     return rows.agg(F.count("*").alias("open_calls"), F.min("deadline").alias("next_deadline"))
 
 
-#: Programmes are a dimension; a number beyond this is an error in the data.
-MOST_PROGRAMMES = 2000
-
-
 def programme_gaps(calls: DataFrame, grants: DataFrame, institution: str, as_of: str) -> DataFrame:
     """Programmes with open calls, and whether a grant of the institution carries the programme in its key.
 
-    The programmes (checked to be few) are looked for in the keys of the institution's grants in one pass, so that the
-    theta condition needs no join of the two tables.  A missing programme counts as applied for if there is any grant.
+    The programmes, in lower case, are looked for in the distinct keys of the institution's grants through an index of
+    grams, so the condition needs no join of every key with every programme.  A missing programme counts as applied for
+    if there is any grant.
     """
     available = programme_availability(calls, as_of).withColumn("needle", F.lower(F.coalesce("framework_programme", F.lit(""))))
-    needles = [r.needle for r in available.select("needle").distinct().limit(MOST_PROGRAMMES + 1).collect()]
-    if len(needles) > MOST_PROGRAMMES:
-        raise ValueError("too many programmes")
-    keys = grants.where(F.col("pi_institution").ilike(institution) & F.col("source_id").isNotNull()).select("source_id")
-    looked = F.array(*map(F.lit, needles)) if needles else F.array().cast("array<string>")
-    found = keys.select(F.explode(F.filter(looked, lambda p: F.contains(F.col("source_id"), p))).alias("needle")).distinct().withColumn("applied", F.lit(True))
+    keys = grants.where(F.col("pi_institution").ilike(institution) & F.col("source_id").isNotNull()).select(F.col("source_id").alias("key"), F.col("source_id").alias("text")).distinct()
+    found = containing(keys, available.select("needle")).select("needle").distinct().withColumn("applied", F.lit(True))
     status = F.when(F.col("applied"), "Applied").otherwise("Never applied")
     return available.join(found, "needle", "left").select("framework_programme", "open_calls", "next_deadline", status.alias("our_status")).orderBy(F.desc("open_calls"), "framework_programme")
 

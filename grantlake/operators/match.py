@@ -1,20 +1,19 @@
-"""Matching of many patterns against many texts in one pass, with totals per application.
+"""Matching of many patterns against many texts, with totals per application.
 
-A pattern is '%a%b%': its pieces stand in the text in this order, without overlap, in either case.  Patterns are a
-dimension (checked to hold at most ``MOST_PATTERNS``): an automaton over one piece of each pattern runs over every text
-inside the tasks, and only patterns whose piece occurs are tested whole.
+A pattern is '%a%b%': its pieces stand in the text in this order, without overlap, in either case.  Each pattern is found
+by its longest piece through an index of grams (``substring_join``), and the texts that have it are tested for the other
+pieces.  Patterns are a table like any other: none of them goes through the driver.
 """
 
 from __future__ import annotations
 
 import re
 
-import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_PATTERNS = 200_000
+from grantlake.operators.substring_join import containing
 
 
 def pieces(pattern: str) -> list[str]:
@@ -23,7 +22,7 @@ def pieces(pattern: str) -> list[str]:
     A backslash takes the special meaning from the wildcard or backslash after it.
     """
     parts = [""]
-    for token in re.findall(r"\\[%_\\]|.", pattern.lower(), re.S):
+    for token in re.findall(r"\\[%_\\]|.", pattern, re.S):
         if token == "_":
             raise ValueError(f"not a pattern of pieces: {pattern!r}")
         if token == "%":
@@ -35,48 +34,23 @@ def pieces(pattern: str) -> list[str]:
     return [p for p in parts if p]
 
 
-class Patterns:
-    """Compiled patterns of one task."""
-
-    def __init__(self, patterns: list[str]):
-        self.pieces = [pieces(p) for p in patterns]
-        self.always = [i for i, p in enumerate(self.pieces) if not p]
-        by: dict[str, list[int]] = {}
-        for i, p in enumerate(self.pieces):
-            if p:
-                by.setdefault(max(p, key=len), []).append(i)
-        self.automaton = ahocorasick.Automaton()
-        for piece, numbers in by.items():
-            self.automaton.add_word(piece, numbers)
-        if by:
-            self.automaton.make_automaton()
-        self.some = bool(by)
-
-    def found(self, text: str | None) -> list[int]:
-        """Numbers of the patterns that the text is like, in order."""
-        if text is None:
-            return []
-        text = text.lower()
-        open_ = {i for _, numbers in self.automaton.iter(text) for i in numbers} if self.some else set()
-        return sorted([*self.always, *(i for i in open_ if self._holds(text, self.pieces[i]))])
-
-    @staticmethod
-    def _holds(text: str, parts: list[str]) -> bool:
-        at = 0
-        for p in parts:
-            at = text.find(p, at)
-            if at < 0:
-                return False
-            at += len(p)
-        return True
-
-
-def pattern_list(patterns: DataFrame) -> list[str]:
-    """The distinct patterns of a dimension (application, pattern), in order."""
-    rows = patterns.select("pattern").where("pattern IS NOT NULL").distinct().orderBy("pattern").limit(MOST_PATTERNS + 1).collect()
-    if len(rows) > MOST_PATTERNS:
-        raise ValueError("too many patterns for a dimension")
-    return [r.pattern for r in rows]
+def split_patterns(patterns: DataFrame) -> DataFrame:
+    """(pattern, pieces, needle) of the distinct patterns; the needle is the longest piece, '' where there is none."""
+
+    def run(batches):
+        for batch in batches:
+            split = [pieces(p) for p in batch.column(1).to_pylist()]
+            needles = [max(p, key=lambda x: (len(x.encode()), x), default="") for p in split]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split, pa.list_(pa.string())), pa.array(needles, pa.string())], ["pattern", "pieces", "needle"])
+
+    distinct = patterns.select("pattern").where("pattern IS NOT NULL").distinct()
+    return distinct.select("pattern", F.lower("pattern")).mapInArrow(run, "pattern string, pieces array<string>, needle string")
+
+
+def in_order(text: Column, parts: Column) -> Column:
+    """Whether the pieces stand in the text one after the other: each is looked for behind the one before it."""
+    at = F.aggregate(parts, F.lit(1), lambda at, p: F.when(at > 0, F.call_function("locate", p, text, at) + F.when(F.call_function("locate", p, text, at) > 0, F.length(p)).otherwise(0)).otherwise(0))
+    return at > 0
 
 
 def merge_patterns(*lists: DataFrame) -> DataFrame:
@@ -88,21 +62,15 @@ def merge_patterns(*lists: DataFrame) -> DataFrame:
 
 
 def matched_patterns(df: DataFrame, patterns: DataFrame, columns: tuple[str, ...] = ("project_title", "abstract"), key: str = "id") -> DataFrame:
-    """(key, pattern, field): every pattern that a text column is like; each column is tested by itself."""
-    listed = pattern_list(patterns)
+    """(key, pattern, field): every pattern that a text column is like; each column is tested by itself.
 
-    def find(batches):
-        compiled = Patterns(listed)
-        for batch in batches:
-            out = ([], [], [])
-            for n, name in enumerate(columns, 1):
-                for k, text in zip(batch.column(0).to_pylist(), batch.column(n).to_pylist()):
-                    for i in compiled.found(text):
-                        out[0].append(k), out[1].append(listed[i]), out[2].append(name)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())], ["key", "pattern", "field"])
-
-    rows = df.select(F.col(key).alias("key"), *(F.col(c).cast("string").alias(c) for c in columns))
-    return rows.mapInArrow(find, f"key {dict(df.dtypes)[key]}, pattern string, field string")
+    Keys are distinct; rows without one match nothing.
+    """
+    fields = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.lower(F.col(c).cast("string")).alias("text")) for c in columns))).alias("f")
+    texts = df.select(F.col(key).alias("own"), fields).where("own IS NOT NULL AND f.text IS NOT NULL").select(F.struct("own", "f.field").alias("key"), "f.text")
+    split = split_patterns(patterns)
+    found = containing(texts, split.select("needle")).join(split, "needle")
+    return found.where((F.size("pieces") < 2) | in_order(F.col("text"), F.col("pieces"))).select(F.col("key.own").alias("key"), "pattern", F.col("key.field").alias("field"))
 
 
 def matches(df: DataFrame, patterns: DataFrame, columns: tuple[str, ...] = ("project_title", "abstract")) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grantlake import schemas
 from grantlake.functions import columns as c
-from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, parted, refresh, report, rollups
+from grantlake.operators import analytics, audit, clean, dedup, enrich, entity, fx, integrity, match, merge, parted, refresh, report, rollups, substring_join
 from grantlake.plans import binding
 
 D = dt.date
@@ -280,15 +280,55 @@ def test_no_similar_pair_is_lost_at_any_cutoff(spark):
     assert [tuple(r)[:2] for r in entity.similar_pairs(odd, odd, 90).collect()] == [("b a", "b a")]
 
 
-def test_escaped_wildcards_are_literal():
+def test_escaped_wildcards_are_literal(spark):
     assert match.pieces(r"%a\_b%") == ["a_b"] and match.pieces(r"%50\%%x\\%") == ["50%", "x\\"] and match.pieces("%") == []
-    found = match.Patterns([r"%a\_b%", "%A%c%"]).found
-    assert found("xA_By") == [0] and found("a-b c") == [1] and found("axb") == []
+    texts = spark.createDataFrame([(1, "xA_By"), (2, "a-b c"), (3, "axb"), (4, None), (None, "a_b")], "id long, project_title string").withColumn("abstract", F.lit(None).cast("string"))
+    found = lambda *p: {tuple(r) for r in match.matched_patterns(texts, spark.createDataFrame([("x", q) for q in p], "application string, pattern string")).collect()}
+    assert found(r"%a\_b%", "%A%c%") == {(1, r"%a\_b%", "project_title"), (2, "%A%c%", "project_title")}
+    assert found("%", "%%") == {(i, p, "project_title") for i in (1, 2, 3) for p in ("%", "%%")}
     for wrong in ("a%", "%a", "%a_b%", "", r"%a\%"):
         with pytest.raises(ValueError):
             match.pieces(wrong)
 
 
+def test_needles_in_texts_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    some = lambda n, letters="abcé ": "".join(rng.choice(letters) for _ in range(n))
+    texts = [some(rng.randint(0, 300)) for _ in range(120)] + ["", "a", "same " * 30, "same " * 30, "日本語" * 9, "ab" * 500_000]
+    needles = {t[i : i + n] for t in texts[:120] for n in (1, 2, 3, 5, 8, 13, 21, 40) if len(t) > n for i in [rng.randrange(len(t) - n)]}
+    needles |= {"", "zz", "same same", "語日", "ab" * 200, "ba" * 3, some(25, "xyz")} | {some(rng.randint(1, 9)) for _ in range(200)}
+    rows = spark.createDataFrame([*enumerate(texts), (None, "a"), (999, None)], "key long, text string").repartition(3)
+    wanted = spark.createDataFrame([(n,) for n in [*needles, None, "same same"]], "needle string")
+    expected = {(k, n) for k, t in enumerate(texts) for n in needles if n in t}
+    for most in (10**6, 3):  # the needles' grams sent to tasks, and joined
+        got = [(r.key, r.needle) for r in substring_join.containing(rows, wanted, most).select("key", "needle").collect()]
+        assert len(got) == len(set(got)) and set(got) == expected
+    assert substring_join.containing(rows, wanted.limit(0)).count() == 0 and substring_join.containing(rows.limit(0), wanted).count() == 0
+
+
+def test_pieces_stand_in_order(spark):
+    import random
+
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcAB ") for _ in range(n))
+    texts, patterns = [some(rng.randint(0, 30)) for _ in range(150)], sorted({"%" + "%".join(some(rng.randint(0, 3)) for _ in range(rng.randint(1, 4))) + "%" for _ in range(120)})
+
+    def like(text, pattern):
+        at = 0
+        for piece in pattern.lower().split("%"):
+            at = text.lower().find(piece, at)
+            if at < 0:
+                return False
+            at += len(piece)
+        return True
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, project_title string").withColumn("abstract", F.lit(None).cast("string"))
+    got = {(r.key, r.pattern) for r in match.matched_patterns(df, spark.createDataFrame([("x", p) for p in patterns], "application string, pattern string")).collect()}
+    assert got == {(i, p) for i, t in enumerate(texts) for p in patterns if like(t, p)}
+
+
 def test_a_bad_file_anywhere_fails_its_source_alone(spark, tmp_path):
     good = spark.createDataFrame([("gepris", "gepris_1", "T")], "source string, source_id string, project_title string")
     rows = spark.range(0, 100, 1, 10).selectExpr("'cordis_bulk' as source", "concat('c', id) as source_id", "if(id = 99, raise_error('bad file'), 'x') as project_title")
