@@ -304,11 +304,12 @@ def _pieces(path: str | None) -> Pieces:
     return made
 
 
-def _mapped(df: DataFrame, column: str, made: str, kind: str, work) -> DataFrame:
-    """All columns by place and one more, which ``work`` makes of an array of ``column``; a column named as that is replaced."""
-    kept = [c for c in df.columns if c != made]
+def _mapped(df: DataFrame, column: str, made: dict[str, str], work) -> DataFrame:
+    """All columns by place and new ones (name: kind), which ``work`` makes of an array of ``column``; columns of their names are replaced."""
+    kept = [c for c in df.columns if c not in made]
     rows = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), F.col(f"`{column}`").alias("value"))
-    schema = ", ".join([*(f"c{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(kept))), f"made {kind}"])
+    names = [*(f"c{i}" for i in range(len(kept))), *(f"made{i}" for i in range(len(made)))]
+    kinds = [*(rows.schema[i].dataType.simpleString() for i in range(len(kept))), *made.values()]
 
     def run(batches):
         for batch in batches:
@@ -316,30 +317,35 @@ def _mapped(df: DataFrame, column: str, made: str, kind: str, work) -> DataFrame
             while at < batch.num_rows:
                 some = batch.slice(at, size)
                 at += size
-                yield pa.RecordBatch.from_arrays([*some.columns[:-1], work(some.column(len(kept)))], [*(f"c{i}" for i in range(len(kept))), "made"])
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], *work(some.column(len(kept)))], names)
 
-    return rows.mapInArrow(run, schema).toDF(*kept, made)
+    return rows.mapInArrow(run, ", ".join(map(" ".join, zip(names, kinds)))).toDF(*kept, *made)
 
 
-def encode(documents: DataFrame, path: str | None = None, column: str = "text", ids: str = "ids") -> DataFrame:
+def encode(documents: DataFrame, path: str | None = None, column: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """The rows with the ids of a text column, as ``sentencepiece`` encodes it without sampling, begin or end.
 
-    A null or empty text has no ids (an empty list).  Repeated rows stay.  A column named as the result is replaced; all
-    others stay, whatever their names.  The model's path is looked up in the tasks if none is given.
+    With ``decoded``, what the ids decode to is a column too.  A null or empty text has no ids (an empty list).  Repeated
+    rows stay.  Columns named as the results are replaced; all others stay, whatever their names.  The model's path is
+    looked up in the tasks if none is given.
     """
 
-    def work(texts: pa.Array) -> pa.Array:
-        packed = [_pieces(path).packed(t or "") for t in texts.to_pylist()]
-        offsets = np.cumsum([0, *(len(p) // 4 for p in packed)])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+    def work(texts: pa.Array) -> list[pa.Array]:
+        model = _pieces(path)
+        packed = [np.frombuffer(model.packed(t or ""), np.int32) for t in texts.to_pylist()]
+        offsets = np.cumsum([0, *map(len, packed)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *packed])))
+        return [lists, pa.array([model.decode(p.tolist()) for p in packed], pa.string())] if decoded else [lists]
 
-    return _mapped(documents.withColumn(column, F.col(f"`{column}`").cast("string")), column, ids, "array<int>", work)
+    made = {ids: "array<int>"} | ({decoded: "string"} if decoded else {})
+    return _mapped(documents.withColumn(column, F.col(f"`{column}`").cast("string")), column, made, work)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The rows with the text of their ids; null and empty lists give an empty text, null ids count as none."""
 
-    def work(lists: pa.Array) -> pa.Array:
-        return pa.array([_pieces(path).decode([i for i in some if i is not None] if None in some else some) if some else "" for some in lists.to_pylist()], pa.string())
+    def work(lists: pa.Array) -> list[pa.Array]:
+        model = _pieces(path)
+        return [pa.array([model.decode([i for i in some if i is not None] if None in some else some) if some else "" for some in lists.to_pylist()], pa.string())]
 
-    return _mapped(encoded, ids, text, "string", work)
+    return _mapped(encoded, ids, {text: "string"}, work)

@@ -14,7 +14,7 @@ from grantlake.llm.licences import licence_scan
 from grantlake.llm.neardup import near_duplicates
 from grantlake.llm.oracle import ORACLE as ORACLE
 from grantlake.llm.packing import pack, pack_conversations
-from grantlake.llm.pieces import decode, encode
+from grantlake.llm.pieces import encode
 from grantlake.llm.quality_rules import base_statistics, quality_rules
 from grantlake.llm.substring import repeated_passages
 from grantlake.llm.toxicity import toxicity
@@ -85,7 +85,8 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    # the ids take the place of the text, which needn't come back
+    both = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ids="text", decoded="decoded").withColumnRenamed("text", "ids")
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

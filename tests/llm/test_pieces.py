@@ -111,6 +111,7 @@ def test_odd_rows(spark, library):
     rows = out.collect()
     assert len(rows) == docs.count()
     assert all(r.ids == library.encode(r.text or "") and r.decoded == library.decode(r.ids) and r.c0 == "en" for r in rows)
+    assert [(r.ids, r.decoded) for r in encode(docs, decoded="decoded").collect()] == [(r.ids, r.decoded) for r in rows]
     assert decode(encode(docs.limit(0))).count() == 0
     assert decode(spark.createDataFrame([(None,), ([None, 264],)], "ids array<int>")).collect()[1].decoded == "a"
 
