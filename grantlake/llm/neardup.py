@@ -117,7 +117,10 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def signatures(documents: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, key of the word sequence, size of the bag, band hashes); a text without words has a key of its own."""
+    """(doc_id, text_key, key of the word sequence, size of the bag, band hashes) of the rows (doc_id, text, text_key).
+
+    A text without words has a key of its own.
+    """
 
     def sign(batches):
         hashes = WordHashes()
@@ -136,10 +139,10 @@ def signatures(documents: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
                     band = mix(band ^ values[:, k])
                 keys.append(xxh3_128_hexdigest(b" ".join(parts))), sizes.append(int(counts.sum())), out.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.string()), pa.array(sizes, pa.int32()), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "key", "size", "bands"]
+                [batch.column(0), batch.column(2), pa.array(keys, pa.string()), pa.array(sizes, pa.int32()), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "text_key", "key", "size", "bands"]
             )
 
-    return documents.mapInArrow(sign, "doc_id long, key string, size int, bands array<long>")
+    return documents.select("doc_id", "text", "text_key").mapInArrow(sign, "doc_id long, text_key long, key string, size int, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -173,7 +176,6 @@ def components(edges: DataFrame) -> DataFrame:
         if not new.where("moved").limit(1).count():
             return new.select(F.col("v").alias("doc_id"), F.col("l").alias("label"))
         labels = new.select("v", "l")
-        release(edges.sparkSession)
 
 
 def _shingles(texts: DataFrame) -> DataFrame:
@@ -238,16 +240,27 @@ def _mixed(placed: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document row: doc_id and class_id, the smallest doc_id of its class.
+    """One row per document row: doc_id and class_id, the smallest doc_id of its class.  See ``classified``."""
+    return classified(documents, similarity, bands, rows).select("doc_id", "class_id")
+
+
+def classified(documents: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per document row: doc_id, text_key (xxhash64 of its text), class_id, the smallest doc_id of its class, and class_key.
+
+    ``class_key`` is the class_id unless a doc_id has several texts, whose classes may have the same smallest doc_id.
 
     A text without words is in a class of its own; texts with the same words in the same order are always together;
-    repeated rows of one doc_id share a class; rows without doc_id have none.  Other columns are left out.
+    rows that repeat a doc_id are told apart by their texts; rows without doc_id have no class.  Other columns are left out.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     signed = cut(signatures(docs, bands, rows))
     copies = signed.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
-    heads = signed.join(copies.select(F.col("key"), F.col("first").alias("doc_id")), ["key", "doc_id"], "left_semi")
-    banded = heads.select("doc_id", "size", F.explode("bands").alias("band"))
+    # a text goes by its first doc_id, but for the texts that have the same one, which go by their hash
+    several = copies.groupBy("first").agg(F.count("*").alias("n")).where("n > 1")
+    own_number = -F.abs(F.shiftright(F.xxhash64("key"), 1)) - 2
+    nodes = cut(copies.join(several, "first", "left").select("key", "first", F.when(F.col("n").isNull(), F.col("first")).otherwise(own_number).alias("node")))
+    heads = signed.join(nodes.select("key", F.col("first").alias("doc_id"), "node"), ["key", "doc_id"]).dropDuplicates(["key", "doc_id"])
+    banded = heads.select(F.col("node").alias("doc_id"), "size", F.explode("bands").alias("band"))
     # one row a band is stored before it meets the members, so that Spark can split the members of a large band
     buckets = cut(banded.groupBy("band").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("band", "n"))
     full = cut(banded.join(buckets, "band"))  # only members of buckets with two texts or more
@@ -257,7 +270,8 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     stars = full.join(centres, "band").where("doc_id <> b").where(_may_reach(F.least("size", "size_b"), F.col("size"), F.col("size_b"), similarity))
     tested = cut(stars.select(F.col("doc_id").alias("a"), "b").distinct())
     release(documents.sparkSession)
-    texts = cut(docs.join(middle.select("doc_id"), "doc_id", "left_semi"))
+    placed_heads = heads.select("doc_id", "text_key", "node").join(middle.select(F.col("doc_id").alias("node")), "node", "left_semi")
+    texts = cut(docs.join(placed_heads, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select(F.col("node").alias("doc_id"), "text"))
     edges = cut(verified(tested, texts, similarity))
     release(documents.sparkSession)
     labels = components(edges)
@@ -285,11 +299,31 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, bands:
     release(documents.sparkSession)
     if late.limit(1).count():
         labels = components(edges.unionByName(late))
-    classes = copies.join(labels.select(F.col("doc_id").alias("first"), "label"), "first", "left").select("key", F.coalesce("label", "first").alias("class_id"))
-    return signed.select("doc_id", "key").join(classes, "key", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
+    classes = nodes.join(labels.select(F.col("doc_id").alias("node"), "label"), "node", "left").select("key", "first", F.coalesce("label", "node").alias("class_key"))
+    least_id = classes.where("class_key < 0").groupBy("class_key").agg(F.min("first").alias("least"))
+    classes = classes.join(least_id, "class_key", "left").select("key", F.coalesce("least", "class_key").alias("class_id"), "class_key")
+    known = F.col("doc_id").isNotNull()
+    joined = signed.select("doc_id", "text_key", "key").join(classes, "key", "left")
+    return joined.select("doc_id", "text_key", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("class_key")).alias("class_key"))
 
 
 def drop_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, the one with the smallest id; all its columns stay.  Rows without doc_id stay."""
-    copies = near_duplicates(documents, similarity).where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(copies, "doc_id", "left_anti").select(*documents.columns)
+    """One row of each class with all its columns: of the smallest doc_id, and there of the smallest hash of the text.
+
+    Rows that repeat a doc_id are judged each: one with a text of its own is a class of its own and stays, and of rows
+    with the same id and text one stays.  Rows without doc_id stay.
+    """
+    found = cut(classified(documents, similarity).where("doc_id IS NOT NULL"))
+    # of a class the rows of its smallest id; those that have its smallest text are the row that stays, and its repeats
+    heads = found.where("doc_id = class_id").groupBy("class_key", F.col("class_id").alias("of"), F.col("text_key").alias("key")).agg(F.count("*").alias("n"))
+    least = heads.groupBy("class_key").agg(F.min("key").alias("key"))
+    kept = cut(heads.join(least, ["class_key", "key"]).select("of", "key", "n"))
+    repeated = kept.where("n > 1").select("of", "key")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"), F.xxhash64(text).alias("key"))
+    one = rows.where("of IS NOT NULL").join(kept.where("n = 1").select("of", "key"), ["of", "key"], "left_semi").unionByName(rows.where("of IS NULL"))
+    if repeated.limit(1).count():
+        # the smallest by all columns' text, so that a task that runs again keeps the same one
+        first = rows.join(repeated, ["of", "key"], "left_semi").groupBy("of", "key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        one = one.unionByName(first.select("row", "of", "key"))
+    return one.select("row.*")

@@ -1,7 +1,7 @@
 """Packing of token sequences by vector bin packing.
 
 An example is a vector (tokens, segments, loss-bearing tokens) and a sequence has a limit on each.  Each task keeps up to
-``WAITING`` examples that fit a sequence.  When they are that many it fills one sequence: among the examples that still
+``WAITING`` examples that fit a sequence, more if these are so short that they don't fill two.  When they are that many it fills one sequence: among the examples that still
 fit it takes the one whose need has the largest dot product with the room left (both as shares of the limits), until
 none fits.  So examples that fit a sequence are placed whole.  Longer examples are cut anyway: they are the stock, from
 which full sequences are made and gaps are closed, and a reserve of it is kept to the end of the task.  Only where the
@@ -74,7 +74,7 @@ class Packer:
         self.waiting: list[tuple | None] = [None] * waiting
         self.free_places = list(range(waiting))[::-1]
         self.stock: deque[list] = deque()  # [key, ids, marks of loss-bearing tokens or None, next token]
-        self.stocked = 0
+        self.stocked = self.held = 0  # tokens of the stock and of those that wait
         self.rows: list[tuple] = []
 
     def _loss(self, trained: np.ndarray | None, start: int, end: int) -> int:
@@ -90,13 +90,24 @@ class Packer:
             return
         place = self.free_places.pop()
         self.needs[place], self.waiting[place] = need, (key, ids, trained)
+        self.held += len(ids)
         if not self.free_places:
-            self._fill()
+            if self.held < 2 * self.length:  # they are too short to fill a sequence: more of them wait
+                self._widen()
+            else:
+                self._fill()
+
+    def _widen(self) -> None:
+        n = len(self.waiting)
+        self.needs = np.concatenate([self.needs, np.full((n, 3), np.inf)])
+        self.waiting += [None] * n
+        self.free_places = list(range(n, 2 * n))[::-1]
 
     def _take(self, place: int) -> tuple:
         out = self.waiting[place]
         self.needs[place], self.waiting[place] = np.inf, None
         self.free_places.append(place)
+        self.held -= len(out[1])
         return out
 
     def _fill(self, whole: bool = True, last: bool = False) -> None:
@@ -180,11 +191,12 @@ def _place(batches: Iterator, ranks_path: str | None, limits: tuple[int, int, in
     yield out()
 
 
-def pack(documents: DataFrame, ranks_path: str | None = None, length: int = LENGTH, segments: int = SEGMENTS, loss_tokens: int = LENGTH) -> DataFrame:
+def pack(documents: DataFrame, ranks_path: str | None = None, length: int = LENGTH, segments: int = LENGTH, loss_tokens: int = LENGTH) -> DataFrame:
     """One row per piece of a document: where it starts in the document, its length, and its sequence and offset.
 
     A null or empty text is one end token.  Every token lies in exactly one piece; pieces of a sequence follow each
-    other without a gap.  Repeated rows are packed each.  All tokens of plain documents bear loss.  The vocabulary's
+    other without a gap.  By default a sequence may hold as many pieces as tokens, so that short documents leave no
+    padding.  Repeated rows are packed each.  All tokens of plain documents bear loss.  The vocabulary's
     path is looked up in the tasks if none is given.
     """
 

@@ -82,58 +82,65 @@ def covering(ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(documents: DataFrame, least: int) -> DataFrame:
-    """(doc_id, first, size, digest in two halves) of every run of chunks that just covers ``least`` bytes of UTF-8."""
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    names = ["doc_id", "first", "size", "high", "low"]
+    """(doc_id, text_key, first, size, digest in two halves) of every run of chunks that just covers ``least`` bytes of UTF-8.
 
-    def some(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+    ``text_key`` is a hash of the text: it tells the texts of one doc_id apart.
+    """
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["doc_id", "text_key", "first", "size", "high", "low"]
+
+    def some(ids: list, keys: list, texts: list[bytes]) -> pa.RecordBatch:
         found = [covering(e, least) for e in borders(texts)]
         counts = np.array([len(f) for f, _ in found], np.int64)
         none = [np.zeros(0, np.int64)]
         first, last = (np.concatenate(none + [f[k] for f in found]) for k in (0, 1))
         digests = [xxh3_128_digest(t[a:b]) for t, (f, e) in zip(texts, found) for a, b in zip(f.tolist(), e.tolist())]
         halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        columns = [np.repeat(np.array(ids, np.int64), counts), first, last - first, halves[:, 0], halves[:, 1]]
+        columns = [np.repeat(np.array(ids, np.int64), counts), np.repeat(np.array(keys, np.int64), counts), first, last - first, halves[:, 0], halves[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     def cut_up(batches):
         for batch in batches:
-            ids, texts, held = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), byte_column(batch.column(1))):
-                ids.append(doc_id), texts.append(text)
+            ids, keys, texts, held = [], [], [], 0
+            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_column(batch.column(2))):
+                ids.append(doc_id), keys.append(key), texts.append(text)
                 held += len(text)
                 if held >= BLOCK:
-                    yield some(ids, texts)
-                    ids, texts, held = [], [], 0
+                    yield some(ids, keys, texts)
+                    ids, keys, texts, held = [], [], [], 0
             if ids:
-                yield some(ids, texts)
+                yield some(ids, keys, texts)
 
-    rows = documents.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(cut_up, "doc_id long, first int, size int, high long, low long")
+    text = F.col("text").cast("string")
+    rows = documents.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long"), F.xxhash64(text), text)
+    return rows.mapInArrow(cut_up, "doc_id long, text_key long, first int, size int, high long, low long")
 
 
 def repeated_passages(documents: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, first, last, kept_in): byte ranges [first, last) of passages that documents with a smaller id have too.
+    """(doc_id, text_key, first, last, kept_in): byte ranges [first, last) of passages that documents with a smaller id have too.
 
     Each byte of them is part of ``least`` bytes or more that stand in one piece in one such document; passages that
     overlap or touch are one range, and ``kept_in`` is the document that owns most of it.  Null and empty texts and
-    rows without doc_id have no passages; rows that repeat a doc_id count as one document.  Passages of under ``least``
-    bytes are left alone.
+    rows without doc_id have no passages.  Rows that repeat a doc_id count as one document, which doesn't repeat itself;
+    where their texts differ, each text has ranges of its own (``text_key``, xxhash64 of the text), and equal texts have
+    them once.  Passages of under ``least`` bytes are left alone.
     """
     rows = runs(documents, least)
     owners = rows.groupBy("high", "low").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other")).where("owner < other").select("high", "low", "owner")
-    repeats = rows.join(owners, ["high", "low"]).where("doc_id > owner").select("doc_id", "first", (F.col("first") + F.col("size")).alias("last"), "owner")
-    order = Window.partitionBy("doc_id").orderBy("first", "last")
+    repeats = rows.join(owners, ["high", "low"]).where("doc_id > owner").select("doc_id", "text_key", "first", (F.col("first") + F.col("size")).alias("last"), "owner")
+    repeats = repeats.repartition("doc_id", "text_key").dropDuplicates()  # rows with the same id and text
+    own = ["doc_id", "text_key"]
+    order = Window.partitionBy(*own).orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum(F.when(F.col("first") <= before, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     # the bytes up to the next start belong to the smallest owner of the few runs that hold that place
     near = F.collect_list(F.struct("last", "owner")).over(order.rowsBetween(-2 * (least // REACH + 2), 0))
     smallest = F.array_min(F.transform(F.filter(near, lambda x: x["last"] > F.col("first")), lambda x: x["owner"]))
     until = F.least("last", F.coalesce(F.lead("first").over(order), "last"))
-    parts = repeats.select("doc_id", "first", "last", run.alias("run"), smallest.alias("owner"), (until - F.col("first")).alias("own"))
-    shares = parts.groupBy("doc_id", "run", "owner").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("own").alias("bytes"))
-    found = shares.groupBy("doc_id", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max_by("owner", F.struct("bytes", -F.col("owner"))).alias("kept_in"))
-    return found.select("doc_id", "first", "last", "kept_in")
+    parts = repeats.select(*own, "first", "last", run.alias("run"), smallest.alias("owner"), (until - F.col("first")).alias("own"))
+    shares = parts.groupBy(*own, "run", "owner").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("own").alias("bytes"))
+    found = shares.groupBy(*own, "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max_by("owner", F.struct("bytes", -F.col("owner"))).alias("kept_in"))
+    return found.select(*own, "first", "last", "kept_in")
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -154,13 +161,14 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def drop_repeated_passages(documents: DataFrame, least: int = LEAST) -> DataFrame:
     """Documents with repeated passages cut out of all texts but the first; all columns stay, n_chars follows the text.
 
-    A document of which no word is left goes.
+    A row loses the ranges of its own text alone, also where other rows have its doc_id.  A row of which no word is left
+    goes; rows without doc_id stay as they are.
     """
     own = F.struct("first", "last")
-    spans = repeated_passages(documents, least).groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(own).alias("spans"))
-    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"))
+    spans = repeated_passages(documents, least).groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("key")).agg(F.collect_list(own).alias("spans"))
+    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"), F.xxhash64(F.col("text").cast("string")).alias("key"))
     # the columns of documents in their order, then the ranges: columns are told apart by place, whatever their names
-    joined = row.join(spans, "of", "left").select(*(F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(documents.columns)), "spans")
+    joined = row.join(spans, ["of", "key"], "left").select(*(F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(documents.columns)), "spans")
     at, text, schema = len(documents.columns), documents.columns.index("text"), documents.schema
 
     def edit(batches):

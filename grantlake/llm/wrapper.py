@@ -58,10 +58,11 @@ ASIDE = frozenset(
 HEADED = frozenset("article main section".split())
 #: Words of class, id and role that mark parts which are no article text.
 MARKED = frozenset(
-    "ad ads advert adverts advertisement advertisements banner sponsor sponsored promo promotion popup modal cookie cookies consent notice notices alert alerts newsletter subscribe subscription "
-    "sidebar side nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments reply replies respond disqus discussion share sharing social related "
-    "recommended widget login signup search pagination pager toc copyright legal disclaimer complementary contentinfo hidden".split()
+    "ad ads advert adverts advertisement advertisements banner sponsor sponsored promo promotion popup modal cookie cookies consent newsletter subscribe subscription "
+    "sidebar nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments disqus login signup pagination pager disclaimer complementary contentinfo".split()
 )
+#: Words that mark such parts on the page, but may well name a part of an article: inside of one the template decides.
+WEAK = frozenset("notice notices alert alerts side menu header reply replies respond discussion share sharing social related recommended widget search toc copyright legal hidden".split())
 KEPT = frozenset("article content main body post entry story text page".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -75,6 +76,7 @@ class Node:
 
     tag: str
     aside: bool
+    weak: bool = False  # marked by a word that means nothing inside an article
     parts: list = field(default_factory=list)  # Node or str
 
     @property
@@ -83,23 +85,23 @@ class Node:
         return [p for p in self.parts if isinstance(p, Node) and p.tag not in ("p", "br")]
 
 
-def _is_aside(tag: str, attributes: str) -> bool:
-    """Whether tag or attributes declare that the element is no article text."""
+def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether tag or attributes declare that the element is no article text, and whether they do so by a weak word alone."""
     if tag in ASIDE:
-        return True
-    if not attributes.strip():
-        return False
-    for name, a, b, c, bare in ATTRIBUTE.findall(attributes):
+        return True, False
+    weak = False
+    for name, a, b, c, bare in ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         name, value = (name or bare).lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id", "role"):
+            return True, False
+        if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
             marks = set(re.split(r"[^a-z]+", value))
-            if marks & MARKED and tag not in ("html", "body", "article", "main") and not (marks & KEPT and marks & MARKED <= {"text", "page", "side", "header"}):
-                return True
-    return False
+            if marks & MARKED or name == "role" and marks & WEAK:
+                return True, False
+            weak |= bool(marks & WEAK) and not (marks & KEPT and marks & WEAK <= {"side", "header"})
+    return False, weak
 
 
 def parse(page: str) -> Node:
@@ -138,8 +140,8 @@ def parse(page: str) -> Node:
                     raw = tag if re.compile(rf"</{tag}\s*>", re.I).search(page, m.end()) else None
                     endless |= set() if raw else {tag}
                 continue
-            aside = _is_aside(tag, m[3])
-            if tag in BLOCK or aside:
+            aside, weak = _marks(tag, m[3])
+            if tag in BLOCK or aside or weak:
                 flush()
                 if tag in BLOCK and stack[-1].tag == "p" and tag != "br":
                     standing[stack.pop().tag] -= 1
@@ -147,7 +149,7 @@ def parse(page: str) -> Node:
                     standing[stack.pop().tag] -= 1
                 if tag == "br" or tag in VOID or m[3].endswith("/"):
                     continue
-                node = Node(tag, aside)
+                node = Node(tag, aside, weak)
                 stack[-1].parts.append(node)
                 stack.append(node)
                 standing[tag] += 1
@@ -296,13 +298,14 @@ def digests(root: Node) -> dict[int, tuple[int, int]]:
 
 def _blocks(starts: list[Node], template: set[int], declared: bool) -> Iterator[str]:
     """Text blocks under the nodes, outside of the template and of what is declared to be no article."""
-    todo: list = starts[::-1]
+    todo: list = [(start, False) for start in starts[::-1]]
     while todo:
-        part = todo.pop()
+        part, inside = todo.pop()
         if isinstance(part, str):
             yield part
-        elif id(part) not in template and not (part.aside and declared):
-            todo += reversed(part.parts)
+        elif id(part) not in template and not (declared and (part.aside or part.weak and not inside)):
+            inside = inside or part.tag in ("article", "main")
+            todo += [(p, inside) for p in reversed(part.parts)]
 
 
 def _articles(root: Node) -> list[Node]:
@@ -312,7 +315,7 @@ def _articles(root: Node) -> list[Node]:
         node = todo.pop()
         if node.tag in ("article", "main") and not node.aside:
             out.append(node)
-        elif not node.aside:
+        elif not (node.aside or node.weak):
             todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
     return out
 
@@ -346,10 +349,12 @@ def _outline(root: Node, declared: bool = True) -> Outline:
     tree, texts = Tree(root), digests(root)
     paths: list[int] = []
     read: list[bool] = []
+    inside: list[bool] = []  # of an article
     found = []
     for at, (node, parent) in enumerate(zip(tree.nodes, tree.parents)):
         paths.append(_signed(f"{paths[parent] if parent >= 0 else ''}/{node.tag}"))
-        read.append(not (node.aside and declared) and (parent < 0 or read[parent]))
+        inside.append(node.tag in ("article", "main") or parent >= 0 and inside[parent])
+        read.append(not (declared and (node.aside or node.weak and not inside[-1])) and (parent < 0 or read[parent]))
         if read[-1] and parent >= 0 and id(node) in texts:
             found.append((at, paths[-1], texts[id(node)][1]))
     return Outline(_signed(repr(sorted({p for _, p, _ in found}))) if found else None, tree, found)

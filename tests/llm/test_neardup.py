@@ -99,3 +99,16 @@ def test_recall_of_every_fiftieth_document_against_all(spark):
         links += len(near) - 1
         lost += sum(classes[int(ids[k])] != classes[int(ids[q])] for k in near.tolist())
     assert links > 20 and lost == 0
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark):
+    words_of = lambda seed: " ".join(random.Random(seed).choice("abcdefghijklmnopqrstuvwxyz") + str(random.Random(seed * 100 + k).randrange(900)) for k in range(60))
+    a, b, c = map(words_of, (1, 2, 3))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, a), (None, b), (4, None), (4, ""), (5, b + " more")]
+    out = drop_near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string").repartition(3))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == ["doc_id", "text", "key"]
+    assert [r for r in got if r[0] != 4] == sorted([(1, a), (2, b), (3, c), (None, a), (None, b)], key=str) and sum(r[0] == 4 for r in got) == 1
+    many = [(7, words_of(k)) for k in range(30)] + [(8, words_of(k)) for k in range(0, 30, 2)]
+    left = drop_near_duplicates(spark.createDataFrame(many, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in left) == sorted({t for _, t in many})

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -104,3 +105,15 @@ def test_odd_conversations(spark):
     assert {(r.doc_id, r.first_turn) for r in out} == {(1, 0), (1, 192), (None, None), (2, 0)}
     assert sum(r.length for r in out if r.first_turn == 0 and r.doc_id == 1) == 3
     assert pack_conversations(table.limit(0)).count() == 0
+
+
+def test_short_documents_leave_no_padding(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " word" * rng.randint(0, 7)) for i in range(5000)], "doc_id long, text string").coalesce(1)
+    rows = pack(docs).collect()
+    ends = {}
+    for r in rows:
+        ends[r.sequence_id] = max(ends.get(r.sequence_id, 0), r.offset + r.length)
+    tokens = sum(r.length for r in rows)
+    padded = sum(n if n & (n - 1) == 0 else 1024 for n in ends.values())
+    assert tokens == sum(ends.values()) and padded <= 1.01 * tokens

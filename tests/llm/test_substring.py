@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from grantlake.llm.substring import borders, covering, drop_repeated_passages, repeated_passages, without
+from grantlake.llm.substring import LEAST, borders, covering, drop_repeated_passages, repeated_passages, without
 from tests.llm.odd import documents
 
 
@@ -130,6 +130,36 @@ def brute(texts, least):
     return out
 
 
+def test_rows_that_repeat_an_id_lose_only_what_their_own_text_repeats(spark):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    a, b, tail = text(2000), text(1977), text(700)
+    schema = "doc_id long, text string, key string"
+    left = lambda rows: sorted(((r.doc_id, r.text) for r in drop_repeated_passages(spark.createDataFrame([(*r, "x") for r in rows], schema).repartition(3)).collect()), key=str)
+    got = left([(1, a), (2, a), (2, b), (None, a)])
+    assert (1, a) in got and (2, b) in got and (None, a) in got and sum(len(t) for d, t in got if d == 2) < len(b) + 100
+    # 30 rows of one id with the same passage, and two with a text of their own
+    rows = [(5, f"{text(300)} {tail}") for _ in range(30)] + [(5, b), (9, f"{text(200)} {tail}"), (9, f"{text(200)} {tail}"), (9, a), (9, a)]
+    got = left(rows)
+    assert [r for r in got if r[0] == 5] == sorted((r for r in rows if r[0] == 5), key=str)  # an id doesn't repeat itself
+    assert got.count((9, a)) == 2 and all(len(t) < 400 for d, t in got if d == 9 and t != a)
+    found = repeated_passages(spark.createDataFrame([(*r, "x") for r in rows], schema)).collect()
+    assert {(r.doc_id, r.kept_in) for r in found} == {(9, 5)} and len({r.text_key for r in found}) == 2
+
+
+def test_passages_against_brute_force_at_the_registered_size(spark):
+    rng = random.Random(18)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    pool = [text(rng.randint(300, 900)) for _ in range(12)]
+    docs = [(d, text(rng.randint(0, 300)) + "".join(rng.choice(pool) + text(rng.randint(0, 60)) for _ in range(rng.randint(0, 3)))) for d in range(40)]
+    true = brute({d: t.encode() for d, t in docs}, LEAST)
+    got = {d: set() for d, _ in docs}
+    for r in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.doc_id] |= set(range(r["first"], r["last"]))
+    assert all(got[d] <= true[d] for d in got)
+    assert sum(map(len, got.values())) > 0.85 * sum(map(len, true.values()))
+
+
 def test_passages_against_brute_force(spark):
     """Every byte reported is one that brute force finds, and of long passages all but the ends are reported."""
     rng = random.Random(8)

@@ -49,7 +49,7 @@ def test_declared_parts_markup_and_references():
 
 
 def tree(tag, *children):
-    return Node(tag, False, list(children))
+    return Node(tag, False, parts=list(children))
 
 
 def largest(a, b):
@@ -146,3 +146,18 @@ def test_the_template_alone_finds_menus_and_adverts_of_the_tables(spark):
     less = [k for k in told if len(induced[k]) < len(plain[k])]
     assert len(less) > 0.95 * len(told)  # induction takes something away
     assert sum(len(induced[k]) - len(told[k]) for k in told) < 0.35 * sum(len(plain[k]) - len(told[k]) for k in told)
+
+
+def test_words_of_classes_inside_an_article_tell_nothing(spark):
+    """Weak words mark parts of the page, but parts of an article only where the host's template has them as well."""
+    article = '<article><p>Intro {0}.</p><div class="legal-history"><p>One {0}</p></div><p class="share">Two {0}</p><div class="discussion">Three {0}</div><div class="comments">C {0}</div>{1}<p>Last {0}</p></article>'
+    side = '<div class="related">More</div><div class="legal">Terms</div>'
+    text = lambda k: f"Intro {k}. One {k} Two {k} Three {k} Last {k}"
+    single = spark.createDataFrame([(1, "https://one.example/a", f"<body>{side}{article.format('x', '')}</body>")], "page_id long, url string, html string")
+    assert extract(single).first().text == text("x")
+    shared = '<div class="share">Share this page</div>'
+    many = [(k, f"https://many.example/{k}", f"<body>{side}{article.format(f'word{k}', shared)}</body>") for k in range(12)]
+    rows = {r.page_id: r.text for r in extract(spark.createDataFrame(many, "page_id long, url string, html string")).collect()}
+    assert rows == {k: text(f"word{k}") for k in range(12)}  # the constant part goes, by the template
+    few = {r.page_id: r.text for r in extract(spark.createDataFrame(many[:2], "page_id long, url string, html string")).collect()}
+    assert all("Share this page" in t for t in few.values())  # two pages have no template
