@@ -82,16 +82,44 @@ def _grams(df: DataFrame, width: int) -> DataFrame:
     return counted.select("k", "t", "n", F.explode(F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.concat_ws("#", "g", i.cast("string")))).alias("gram"))
 
 
-def _candidates(names: DataFrame, width: int, cutoff: float) -> DataFrame:
-    """(a, b) of the names (k, t) of either side that share one of their rarest runs of ``width`` characters."""
+#: Names of either side that meet in one task under a gram.
+BLOCK = 1000
+
+
+def _blocks(prefix: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The prefixes of both sides by (gram, x, y): a gram's names are dealt into blocks on each side, x and y.
+
+    Each pair of blocks is a key of its own, so the pairs of a frequent gram are spread over tasks.  Grams that one side
+    alone has go.
+    """
+    of = lambda k: F.ceil(F.count_if(F.col("k") == k) / block).cast("int")
+    sizes = prefix.groupBy("gram").agg(of(0).alias("left"), of(1).alias("right")).where("left > 0 AND right > 0")
+    dealt = prefix.join(sizes, "gram").withColumn("h", F.xxhash64("t"))
+    side = lambda k, own, other, count, others: dealt.where(F.col("k") == k).select(
+        "gram", F.col("t").alias("ab"[k]), F.col("n").alias(f"n_{'ab'[k]}"), F.col("at").alias(f"at_{'ab'[k]}"), F.pmod("h", F.col(count)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other)
+    )
+    return side(0, "x", "y", "left", "right"), side(1, "y", "x", "right", "left")
+
+
+def _candidates(names: DataFrame, width: int, cutoff: float, block: int = BLOCK) -> DataFrame:
+    """(a, b) of the names (k, t) of either side that share one of their rarest runs of ``width`` characters.
+
+    Pairs whose lengths or shared runs rule the ratio out are left out: at most the shared runs of the prefixes and those
+    behind the last of them are common, and a character that goes destroys ``width`` runs of its name at most, one that
+    comes a run less.
+    """
     grams = _grams(names, width)
     frequency = grams.groupBy("gram").agg(F.count("*").alias("f"))
     rank = F.row_number().over(Window.partitionBy("k", "t").orderBy("f", "gram"))
     prefix = grams.join(frequency, "gram").withColumn("at", rank).where(F.col("at") <= width * _most_edits(cutoff) + 1)
-    a = prefix.where("k = 0").select("gram", F.col("t").alias("a"))
-    b = prefix.where("k = 1").select("gram", F.col("t").alias("b"))
+    a, b = _blocks(prefix, block)
     la, lb = F.length("a"), F.length("b")
-    return a.join(b, "gram").where(F.least(la, lb) * 200.0 / (la + lb) >= cutoff).select("a", "b").distinct()
+    shared = a.join(b, ["gram", "x", "y"]).where(F.least(la, lb) * 200.0 / (la + lb) >= cutoff)
+    pairs = shared.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
+    edits = F.floor((la + lb) * (1 - cutoff / 100) + 1e-9)
+    needed = lambda n, own, other: F.col(n) - width * F.floor((edits + own - other) / 2) - (width - 1) * F.floor((edits + other - own) / 2)
+    most = F.col("c") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    return pairs.where((most >= needed("n_a", la, lb)) & (most >= needed("n_b", lb, la))).select("a", "b")
 
 
 def _most_edits(cutoff: float) -> Column:
@@ -100,7 +128,7 @@ def _most_edits(cutoff: float) -> Column:
     return F.floor(F.length("t") * (1 + (1 + share) / (1 - share)) * share + 1e-9)
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF, block: int = BLOCK) -> DataFrame:
     """(a, b, score) of all pairs of sorted forms (column t in both) with a ratio of at least the cutoff, above 67.
 
     Null and empty forms have no pairs.
@@ -109,7 +137,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) ->
         raise ValueError("below a cutoff of 67 names need not share a character of their rarest ones")
     names = left.select(F.lit(0).alias("k"), "t").unionByName(right.select(F.lit(1).alias("k"), "t")).where("t <> ''").distinct()
     short = F.greatest(F.length("t") - 2, F.lit(1)) <= 3 * _most_edits(cutoff)
-    pairs = _candidates(names, 3, cutoff).unionByName(_candidates(names.where(short | (F.length("t") < 3)), 1, cutoff)).distinct()
+    pairs = _candidates(names, 3, cutoff, block).unionByName(_candidates(names.where(short | (F.length("t") < 3)), 1, cutoff, block)).distinct()
     return pairs.withColumn("score", ratio("a", "b")).where(F.col("score") >= cutoff)
 
 

@@ -271,9 +271,15 @@ def test_no_similar_pair_is_lost_at_any_cutoff(spark):
     rng = random.Random(3)
     names = sorted({"".join(rng.choice("abcd ") for _ in range(rng.randint(1, 12))).strip() or "a" for _ in range(160)} | {"abcde", "abxde"})
     df = spark.createDataFrame([(n,) for n in names], "t string")
-    for cutoff in (70, 80, 90):
+    for cutoff, block in ((68, 1000), (70, 3), (80, 20), (90, 1), (97, 1000), (100, 5)):
         expected = {(a, b) for a in names for b in names if 200 * entity.common_subsequence(a, b) / (len(a) + len(b)) >= cutoff}
-        assert {(r.a, r.b) for r in entity.similar_pairs(df, df, cutoff).collect()} == expected
+        assert {(r.a, r.b) for r in entity.similar_pairs(df, df, cutoff, block).collect()} == expected
+    words = ["institute", "of", "technology", "university", "national", "centre", "for", "physics", "north", "south"]
+    long = sorted({" ".join(sorted(rng.choice(words)[: rng.randint(1, 12)] for _ in range(rng.randint(2, 6)))) for _ in range(120)})
+    many = spark.createDataFrame([(n,) for n in long], "t string")
+    for cutoff in (75, 90):
+        expected = {(a, b) for a in long for b in long if 200 * entity.common_subsequence(a, b) / (len(a) + len(b)) >= cutoff}
+        assert {(r.a, r.b) for r in entity.similar_pairs(many, many, cutoff, 10).collect()} == expected
     with pytest.raises(ValueError):
         entity.similar_pairs(df, df, 60)
     odd = spark.createDataFrame([(None,), ("",), ("b a",)], "t string")
