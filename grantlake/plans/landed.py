@@ -6,13 +6,18 @@ must come back.
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlake.functions import columns as c
 from grantlake.operators import dedup, enrich, entity, merge
 from grantlake.plans import binding
-from grantlake.sources import api_json, bulk_json, calls_json, delimited, html_pages, seeds
+from grantlake.sources import api_json, archives, bulk_json, calls_json, delimited, html_pages, seeds
 from grantlake.sources.landing import land_documents, new_folder
 
 QUERIES, ORACLE = {}, {}
@@ -40,6 +45,24 @@ def land_delimited(df: DataFrame, path: str, order: list[str], columns: list[str
     return path
 
 
+def land_archives(files: DataFrame, member: str, path: str) -> str:
+    """Write one archive of one member for each row (name, text); each appears under its name as a whole."""
+
+    def pack(batches):
+        system, at = fs.FileSystem.from_uri(path)
+        system.create_dir(at, recursive=True)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                draft = f"{at}/{uuid.uuid4().hex}.part"
+                with system.open_output_stream(draft) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(member, text)
+                system.move(draft, f"{at}/{name}.zip")
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["name"])
+
+    files.select(F.col("name").cast("string"), "text").mapInArrow(pack, "name string").write.format("noop").mode("overwrite").save()
+    return path
+
+
 # delimited lists (A1 to A4, A8, A20)
 
 PROJECTS = f"""
@@ -87,8 +110,8 @@ def source_archive(spark, sf_dir):
     names = ["id", "acronym", "status", "title", "startDate"]
     row = F.struct("at", F.array_join(F.array(*map(quoted, names)), ";").alias("line"))
     files = lines.groupBy("block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["line"]), "\n").alias("body"))
-    zipped = delimited.zipped(files.select(F.concat(F.lit(";".join(names) + "\n"), "body").alias("text")), "project.csv")
-    grants = delimited.project_grants(delimited.archived_rows(zipped, "project.csv", names), "horizon")
+    path = land_archives(files.select(F.col("block").alias("name"), F.concat(F.lit(";".join(names) + "\n"), "body").alias("text")), "project.csv", new_folder(spark, "archives"))
+    grants = delimited.project_grants(archives.read_archives(spark, path, "project.csv", names), "horizon")
     return grants.select("source_id", "project_title", "acronym", "status", "start_date")
 
 

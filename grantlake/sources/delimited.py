@@ -1,13 +1,7 @@
-"""Delimited sources: project and organisation lists, archives, staged bulk rows, lists of people."""
+"""Delimited sources: project and organisation lists, staged bulk rows, lists of people."""
 
 from __future__ import annotations
 
-import csv
-import io
-import zipfile
-from itertools import islice
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,60 +59,6 @@ def with_coordinators(grants: DataFrame, organisations: DataFrame) -> DataFrame:
     return grants.drop("pi_institution", "pi_country").join(coordinators(organisations), "project_id", "left")
 
 
-def read_archived(spark: SparkSession, path: str, member: str) -> DataFrame:
-    """(archive, text) of one member of each archive under a path; a task reads an archive.  For archives that fit a task."""
-
-    def unpack(batches):
-        for batch in batches:
-            names, texts = [], []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    if member in archive.namelist():
-                        names.append(name), texts.append(archive.read(member).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["archive", "text"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(unpack, "archive string, text string")
-
-
-def zipped(files: DataFrame, member: str) -> DataFrame:
-    """(path, content): an archive of one member for each row's text, as a reader of binary files gives it."""
-
-    def pack(batches):
-        for batch in batches:
-            out = []
-            for text in batch.column(0).to_pylist():
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr(member, text)
-                out.append(buffer.getvalue())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(out), pa.string()), pa.array(out, pa.binary())], ["path", "content"])
-
-    return files.select("text").mapInArrow(pack, "path string, content binary")
-
-
-def archived_rows(archives: DataFrame, member: str, columns: list[str], separator: str = ";", batch: int = 10_000) -> DataFrame:
-    """The rows of one delimited member of each archive (path, content), as text columns chosen by the header.
-
-    A task reads a member as a stream, ``batch`` rows at a time; archives without the member have no rows.
-    """
-    schema = pa.schema([(c, pa.string()) for c in columns])
-
-    def rows(content: bytes):
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            if member in archive.namelist():
-                with archive.open(member) as stream:
-                    yield from csv.DictReader(io.TextIOWrapper(stream, "utf-8", newline=""), delimiter=separator)
-
-    def unpack(batches):
-        for contents in batches:
-            for content in contents.column(0).to_pylist():
-                source = rows(content)
-                while some := list(islice(source, batch)):
-                    yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in some], pa.string()) for c in columns], schema=schema)
-
-    return archives.select("content").mapInArrow(unpack, ", ".join(f"{c} string" for c in columns))
-
-
 STAGED = (
     "source_id string, project_title string, project_id string, acronym string, pi_country string, start_date string, end_date string, total_funding string, "
     "currency string, status string, funder_short string, funder_name string, funding_stream string, keywords string, abstract string"

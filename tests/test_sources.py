@@ -7,11 +7,12 @@ import gzip
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from grantlake import schemas
 from grantlake.operators import parted
-from grantlake.sources import api_json, bulk_json, calls_json, delimited, html_pages, seeds
+from grantlake.sources import api_json, archives, bulk_json, calls_json, delimited, html_pages, seeds
 from grantlake.streaming import ingest
 
 D = dt.date
@@ -24,14 +25,43 @@ def test_project_lists(spark, tmp_path):
     got = {r.project_id: r for r in delimited.with_coordinators(rows, delimited.read_delimited(spark, str(tmp_path / "organization.csv"))).collect()}
     assert set(got) == {"1", "2"} and got["1"].project_title == 'T "q" 1' and got["1"].topic_keywords == ["a", "b", "ERC-1"] and got["1"].pi_institution == "Last" and got["1"].status == "active"
     assert got["1"].source_id == "horizon_1" and got["1"].total_funding == 10.5 and got["2"].start_date is None and got["2"].total_funding is None and got["2"].pi_institution is None
-    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("project.csv", "x;y")
-    assert delimited.read_archived(spark, str(tmp_path / "a.zip"), "project.csv").first().text == "x;y"
     (tmp_path / "staged.tsv").write_text("h\n" + "\t".join(["oaire_X_1", "T", "1", "", "", "2020-01-01", "", "5.5", "EUR", "active", "X", "", "", "X;k", ""]) + "\n")
     staged = delimited.read_staged(spark, str(tmp_path / "staged.tsv")).first()
     assert staged.start_date == D(2020, 1, 1) and staged.end_date is None and staged.total_funding == 5.5 and staged.acronym is None and staged.topic_keywords == ["X", "k"]
 
 
+def test_members_of_archives_are_partitions_and_read_as_streams(spark, tmp_path):
+    import tracemalloc
+
+    folder = tmp_path / "zips"
+    (folder / "more").mkdir(parents=True)
+    with zipfile.ZipFile(folder / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("project.csv", '\ufeff"id";"title"\n"1";"T ""q"""\n"2";"two\nlines; one value"\n"3"\n')
+        z.writestr("other.csv", "id;title\n9;no\n")
+        z.writestr("data/project.csv", "title;rest;id\nlast;x;4\n")
+    with zipfile.ZipFile(folder / "more" / "b.ZIP", "w") as z:
+        z.writestr("readme.txt", "nothing")
+    (folder / "c.txt").write_text("no archive")
+    df = archives.read_archives(spark, str(folder), "*project.csv", ["id", "title", "absent"])
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", 'T "q"', None), ("2", "two\nlines; one value", None), ("3", None, None), ("4", "last", None)]
+    assert archives.read_archives(spark, f"file://{folder}/a.zip", "other.csv", ["id"]).collect() == [("9",)]
+    assert archives.read_archives(spark, str(folder), "none.csv", ["id"]).count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        archives.read_archives(spark, str(tmp_path / "nowhere"), "x", ["id"]).count()
+    line = "12345;" + "x" * 500 + "\n"
+    with zipfile.ZipFile(tmp_path / "big.zip", "w") as z, z.open("project.csv", "w") as out:
+        out.write(b"id;title\n")
+        for _ in range(200):
+            out.write((line * 1000).encode())  # 100 MB as stored
+    reader = archives.MemberReader({"path": str(tmp_path / "big.zip"), "member": "project.csv"}, ["id", "title"])
+    (member,) = reader.partitions()
+    tracemalloc.start()
+    assert sum(b.num_rows for b in reader.read(member)) == 200_000
+    assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    tracemalloc.stop()
+
+
 def test_calls(spark, tmp_path):
     entries = [{"ccm2Id": 7, "identifier": "HORIZON-1", "title": "T", "deadlineDatesLong": [1700000000000, 1600000000000], "frameworkProgramme": {"abbreviation": "HORIZON"}, "status": {"abbreviation": "Open"}, "tags": ["a"]}, {"identifier": "X", "status": None}]
     (tmp_path / "calls.json").write_text(json.dumps({"fundingData": {"GrantTenderObj": entries}}))
