@@ -30,6 +30,37 @@ def run_integrity(grants: DataFrame, funders: DataFrame, registry: DataFrame | N
     return entity.match_institutions(df, registry) if registry is not None else df
 
 
+BUCKETS = 64
+
+
+def store_grants(grants: DataFrame, table: str, buckets: int = BUCKETS) -> None:
+    """Store grants as the steps left them, in buckets by project.
+
+    Queries over the stored table have no cleaning, linking or flagging in their plan, and what is grouped or joined by
+    ``project_key`` needs no exchange.  Rows without a project have a key of their own, so no bucket holds them all.
+    """
+    keyed = grants.withColumn("project_key", dedup.project_key(F.col("id")))
+    keyed.repartition(buckets, "project_key").write.mode("overwrite").bucketBy(buckets, "project_key").sortBy("project_key").saveAsTable(table)
+
+
+def projects(grants: DataFrame) -> DataFrame:
+    """(project_id, grants, sources, total_funding) of the canonical rows of stored grants that have a project."""
+    rows = dedup.canonical(grants).where(dedup.has_project()).groupBy("project_key")
+    return rows.agg(F.count("*").alias("grants"), F.count_distinct("source").alias("sources"), F.sum("total_funding").alias("total_funding")).withColumnRenamed("project_key", "project_id")
+
+
+def superseded(grants: DataFrame) -> DataFrame:
+    """(id, dedup_of, source, kept_source) of stored grants that point to another row of their project.
+
+    The buckets are by one of the two join keys, so Spark needs no exchange where
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is off.
+    """
+    keyed = lambda df, *names: df.select("project_key", *names)
+    one = keyed(grants.where(F.col("dedup_of").isNotNull() & dedup.has_project()), "id", "dedup_of", "source")
+    other = keyed(grants, F.col("id").alias("kept"), F.col("source").alias("kept_source"))
+    return one.join(other, (one["project_key"] == other["project_key"]) & (F.col("dedup_of") == F.col("kept"))).select("id", "dedup_of", "source", "kept_source")
+
+
 def integrity_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     """Counters of the steps (one row): what the rows before needed, and what the rows after carry."""
     needs = before.agg(*(v.alias(k) for k, v in {**c.date_fixes(), **c.code_fixes(), **c.name_fixes()}.items()))

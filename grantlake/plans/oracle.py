@@ -115,6 +115,8 @@ ORACLE = {
     "estimate_funding": "SELECT id, round(total_funding_estimated, 2) AS total_funding_estimated FROM estimated WHERE total_funding_estimated IS NOT NULL",
     "integrity_pipeline": """SELECT id, source, source_id, pi_name, pi_institution, pi_country, start_date, end_date, round(total_funding, 2) AS total_funding, currency, funder_id, dedup_of, is_aggregate,
         round(total_funding_estimated, 2) AS total_funding_estimated FROM g""",
+    "stored_projects": "SELECT project_id, count(*) AS grants, count(DISTINCT source) AS sources, round(sum(total_funding), 2) AS total_funding FROM canonical WHERE project_id <> '' GROUP BY project_id",
+    "stored_superseded": "SELECT a.id, a.dedup_of, a.source, b.source AS kept_source FROM g a JOIN g b ON a.dedup_of = b.id AND a.project_id = b.project_id WHERE a.project_id <> ''",
     "canonical_view": "SELECT source, count(*) AS n, sum(id) AS ids FROM canonical GROUP BY source",
     "within_source_pointers": "SELECT count(*) AS within_source_flagged FROM g a JOIN g b ON a.dedup_of = b.id WHERE a.source = b.source AND a.source_id = b.source_id",
     "integrity_counts": """SELECT d.*, (SELECT count(*) FROM raw WHERE pi_country IN ('UK', 'EL')) AS countries_fixed,

@@ -13,7 +13,7 @@ SOME = [
     "subdomain_summary", "missing_data", "anomalies", "merge_upsert", "page_summary", "stream_latest_events", "exact_entities", "similar_names",
     "source_projects", "source_archive", "source_staged", "source_investigators", "source_calls", "source_bulk_projects", "source_abstracts", "source_api_records", "source_curated", "source_registry", "source_result_list",
     "source_project_pages", "source_catalogue", "source_people", "detail_abstracts", "load_status", "appended_ids", "replaced_sources", "parsed_columns", "to_eur_earlier", "integrity_counts", "status_counts",
-    "upserted_calls", "upserted_applications", "upserted_links", "upserted_sectors", "refreshed_sources", "stream_load_status", "report_sections", "co_participation",
+    "upserted_calls", "upserted_applications", "upserted_links", "upserted_sectors", "refreshed_sources", "stream_load_status", "report_sections", "co_participation", "stored_projects", "stored_superseded",
 ]
 
 
@@ -41,3 +41,20 @@ def test_query_equals_sql(spark, sf, name):
 def test_entry_and_names(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_stored_grants_are_read_without_exchanges(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        grants = registry.stored(spark, sf)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        from grantlake.operators import analytics, dedup, integrity
+
+        assert "Exchange" not in plan(integrity.projects(grants)) and "Exchange" not in plan(integrity.superseded(grants))
+        landscape = plan(analytics.funding_landscape(dedup.canonical(grants)))
+        assert landscape.count("Exchange hashpartitioning") == 1 and "Join" not in landscape  # the grouping's own
+        assert "hashpartitioning(source" in landscape
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
