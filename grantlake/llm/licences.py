@@ -2,7 +2,8 @@
 
 The automaton has a state for each class of word runs that end at the same places of the templates.  A text is
 streamed through it word by word; after each word the state gives the longest run that ends there and stands in some
-template (its matching statistic).  Runs that can't be lengthened and are ``LEAST`` words or longer are matches; for
+template (its matching statistic); the states of its suffixes give the longest runs of the other templates.  Runs
+that can't be lengthened in their template and are ``LEAST`` words or longer are matches; for
 each template the matches that stand in it, in the same order as in the text and close together, are chained, and the
 share of the template's words that a chain covers is its coverage.  A licence is found at a coverage of ``COVERED``, as
 often as such chains stand beside each other; templates of notices, headers and whole texts are told apart.
@@ -107,12 +108,28 @@ class Automaton:
             if self.link[state] > 0:
                 own[self.link[state]] |= own[state]
         self.ends = [sorted(s) for s in own]
-        # templates that end with the runs of each state as a whole, its own and those of shorter runs
-        self.whole: list[list[int]] = [[] for _ in own]
-        for state in sorted(range(1, len(self.next)), key=lambda s: self.length[s]):
-            shorter = self.whole[self.link[state]]
-            least = self.length[self.link[state]]
-            self.whole[state] = shorter + [t for t, at in self.ends[state] if at + 1 == len(templates[t]) and least < at + 1 <= self.length[state]]
+        self.shorter: dict[int, dict[int, tuple[int, list[int]]]] = {}
+
+    def inside(self, state: int, length: int) -> dict[int, tuple[int, list[int]]]:
+        """template -> (words, its last words) of the longest run of each template that ends where a run of this state ends.
+
+        The templates of the state itself have the whole run; others have what the states of its suffixes are.
+        """
+        if state not in self.shorter:
+            out: dict[int, tuple[int, list[int]]] = {}
+            at = self.link[state]
+            while at > 0 and self.length[at] >= LEAST:
+                found: dict[int, list[int]] = {}
+                for template, last in self.ends[at]:
+                    found.setdefault(template, []).append(last)
+                for template, lasts in found.items():
+                    out.setdefault(template, (self.length[at], lasts))
+                at = self.link[at]
+            self.shorter[state] = out
+        own: dict[int, list[int]] = {}
+        for template, last in self.ends[state]:
+            own.setdefault(template, []).append(last)
+        return self.shorter[state] | {template: (length, lasts) for template, lasts in own.items()}
 
     def _state(self, length: int, like: int | None = None) -> int:
         self.next.append({} if like is None else dict(self.next[like]))
@@ -178,20 +195,21 @@ class Scanner:
         return out
 
     def matches(self, ids: np.ndarray) -> list[tuple[int, int, list[tuple[int, int]]]]:
-        """(first, end, [(template, its last word)]) of the runs of LEAST words or more that can't be lengthened, and of
-        whole templates inside them."""
+        """(first, end, [(template, its last word)]) of each template's runs of LEAST words or more that can't be lengthened.
+
+        A run of one template may lie inside a longer one of another.
+        """
         out = []
         gaps = np.flatnonzero(np.concatenate(([True], ids == 0, [True]))) - 1
         for a, b in zip(gaps[:-1] + 1, gaps[1:]):  # a word of no template ends every run
             if b - a >= LEAST:
-                found = self.automaton.statistics(ids[a:b].tolist())
-                for i, (length, state) in enumerate(found):
-                    end = int(a) + i + 1
-                    if length >= LEAST and (i + 1 == len(found) or found[i + 1][0] <= length):
-                        out.append((end - length, end, self.automaton.ends[state]))
-                    for t in self.automaton.whole[state]:
-                        if LEAST <= (n := len(self.templates[t])) <= length:
-                            out.append((end - n, end, [(t, n - 1)]))
+                before: dict[int, tuple[int, list[int]]] = {}
+                for end, (length, state) in enumerate([*self.automaton.statistics(ids[a:b].tolist()), (0, 0)], int(a)):
+                    now = self.automaton.inside(state, length) if length >= LEAST else {}
+                    for template, (n, lasts) in before.items():
+                        if template not in now or now[template][0] <= n:
+                            out.append((end - n, end, [(template, last) for last in lasts]))
+                    before = now
         return out
 
     def chains(self, ids: np.ndarray) -> list[tuple[str, str, float, int, int]]:

@@ -1,7 +1,9 @@
 import random
 import re
 
-from grantlake.llm.licences import PHRASES, TEMPLATES, Automaton, Scanner, licence_scan
+import numpy as np
+
+from grantlake.llm.licences import LEAST, PHRASES, TEMPLATES, Automaton, Scanner, licence_scan
 from tests.llm.odd import documents
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -28,6 +30,35 @@ def test_matching_statistics_equal_brute_force():
                 assert automaton.ends[state] == ends
 
 
+def test_matches_of_every_template_equal_brute_force():
+    rng = random.Random(5)
+    letters = "abcdefgh"
+    for _ in range(40):
+        texts = [" ".join(rng.choice(letters) for _ in range(rng.randrange(3, 16))) for _ in range(3)]
+        texts.append(texts[0] + " " + texts[1])  # a template inside another
+        scanner = Scanner({f"t{i}": {"text": t} for i, t in enumerate(texts)}, {})
+        words_ = [rng.choice(letters + "z") for _ in range(25)] + texts[3].split() + texts[1].split()
+        ids = np.array([scanner.vocabulary.get(w.encode(), 0) for w in words_])
+        expected = set()
+        for n, t in enumerate(texts):
+            of = t.split()
+            best = [max((k for k in range(1, i + 2) if any(of[j : j + k] == words_[i + 1 - k : i + 1] for j in range(len(of)))), default=0) for i in range(len(words_))]
+            for i, k in enumerate(best):
+                if k >= LEAST and (i + 1 == len(best) or best[i + 1] <= k):
+                    expected |= {(i + 1 - k, i + 1, n, j + k - 1) for j in range(len(of)) if of[j : j + k] == words_[i + 1 - k : i + 1]}
+        got = [(a, b, n, last) for a, b, places in scanner.matches(ids) for n, last in places]
+        assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_a_template_covered_inside_another_one_is_found():
+    words_of = lambda p, n: [f"{p}{i}" for i in range(n)]
+    b = words_of("b", 50)
+    scanner = Scanner({"a": {"text": " ".join(b[:45] + words_of("x", 20))}, "b": {"text": " ".join(b)}}, {})
+    both = scanner.scan(" ".join(b[:45] + words_of("x", 20)).encode())
+    assert both["labels"] == "a,b" and {s["label"]: round(s["coverage"], 2) for s in both["spans"]} == {"a": 1.0, "b": 0.9}
+    assert scanner.scan(" ".join(b[:45]).encode())["labels"] == "b"
+
+
 def test_base_columns_equal_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
