@@ -300,8 +300,11 @@ def classified(documents: DataFrame, similarity: float = SIMILARITY, bands: int
     if late.limit(1).count():
         labels = components(edges.unionByName(late))
     classes = nodes.join(labels.select(F.col("doc_id").alias("node"), "label"), "node", "left").select("key", "first", F.coalesce("label", "node").alias("class_key"))
-    least_id = classes.where("class_key < 0").groupBy("class_key").agg(F.min("first").alias("least"))
-    classes = classes.join(least_id, "class_key", "left").select("key", F.coalesce("least", "class_key").alias("class_id"), "class_key")
+    # the other classes are named by their smallest doc_id already, and aren't dealt by class
+    odd = classes.where("class_key < 0")
+    least_id = cut(odd.groupBy("class_key").agg(F.min("first").alias("class_id")))
+    named = classes.where("class_key >= 0").select("key", F.col("class_key").alias("class_id"), "class_key")
+    classes = named.unionByName(odd.join(least_id, "class_key").select("key", "class_id", "class_key"))
     known = F.col("doc_id").isNotNull()
     joined = signed.select("doc_id", "text_key", "key").join(classes, "key", "left")
     return joined.select("doc_id", "text_key", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("class_key")).alias("class_key"))

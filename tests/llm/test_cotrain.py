@@ -1,6 +1,6 @@
 import numpy as np
 
-from grantlake.llm.cotrain import cotrain, drop_low_quality, score_quality, train
+from grantlake.llm.cotrain import KEEP_SCORE, cotrain, drop_low_quality, metadata_view, score_quality, text_view, train
 from tests.llm.odd import documents
 
 
@@ -15,6 +15,22 @@ def test_labelled_documents_are_classified_and_the_stage_keeps_what_the_operator
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.kept} and kept.columns == docs.columns
 
 
+def test_scores_equal_those_worked_out_row_by_row(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    m = train(docs, labels)
+
+    def logit(view, x):
+        z = np.clip([(a - b) / c for a, b, c in zip(x, view.mean, view.scale)], -6, 6)
+        return min(12, max(-12, float(sum(a * w for a, w in zip(z, view.weights)) + view.weights[-1])))
+
+    found = {r.doc_id: r for r in score_quality(docs, labels).collect()}
+    for r in docs.collect():
+        text, data = text_view([r.text.encode()])[0], metadata_view([r.source], [r.lang], [r.n_chars])[0]
+        parts = [logit(v, x) * c[0] + c[1] for v, x, c in zip((m.text, m.metadata), (text, data), m.calibration)]
+        score = 1 / (1 + np.exp(-(parts[0] * m.combination[0] + parts[1] * m.combination[1] + m.combination[2])))
+        assert abs(found[r.doc_id].score - score) < 1e-9 and found[r.doc_id].kept == (score >= KEEP_SCORE)
+
+
 def test_a_view_learns_from_the_other():
     rng = np.random.default_rng(5)
     n = 3000
