@@ -25,12 +25,12 @@ NAME_TITLES = [
     "Dr. ",
 ]
 
-#: What may follow the programme in a project description.
-AFTER_PROGRAMME = [
-    "Subject Area", "Subproject of", "Participating", "Term ", "International Connection", "Applicant",
-    "Spokesperson", "Major", "Project Identifier", "Co-Applicant", "Further", "Instrumentation Group",
-]
-PROGRAMME_ENDINGS = ["Grants", "Programmes", "Centres", "Units", "Groups", "Schools", "Fellowships"]
+#: The pattern that finds a programme in a project description, and the one for what stands behind its kind.
+PROGRAMME = (
+    r"DFG Programme\s*(.+?)(?:Subject Area|Subproject of|Participating|Term |International Connection|Applicant|"
+    r"Spokesperson|Major|Project Identifier|Co-Applicant|Further|Instrumentation Group)"
+)
+PROGRAMME_KIND = r"(Grants|Programmes|Centres|Units|Groups|Schools|Fellowships).*"
 
 
 def filled(c: Column) -> Column:
@@ -132,16 +132,13 @@ def institution_name(c: Column, source: Column) -> Column:
     )
 
 
-#: Where a description names its programme, and how listings state their number of entries.
-PROGRAMME_MARK = "DFG Programme"
+#: How listings state their number of entries.
 PAGE_INDEX, PAGE_SIZE, STATED = r"index=(\d+)", r"hitsPerPage=(\d+)", r"([\d,.\s]+)\s*(?:results|Treffer|Projects)"
 
 
 def programme_type(c: Column) -> Column:
     """The programme that a project description names, or null."""
-    ends = "|".join(AFTER_PROGRAMME)
-    found = F.trim(F.regexp_extract(c, rf"{PROGRAMME_MARK}\s*(.+?)(?:{ends})", 1))
-    return F.nullif(F.regexp_replace(found, rf"({'|'.join(PROGRAMME_ENDINGS)}).*", "$1"), F.lit(""))
+    return F.nullif(F.regexp_replace(F.trim(F.regexp_extract(c, PROGRAMME, 1)), PROGRAMME_KIND, "$1"), F.lit(""))
 
 
 def keywords(c: Column, by: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from grantlake.functions.columns import AFTER_PROGRAMME, NAME_TITLES, PROGRAMME_ENDINGS
+from grantlake.functions.columns import NAME_TITLES, PROGRAMME, PROGRAMME_KIND
 from grantlake.operators.enrich import FUNDERS, OTHER_RATE, PROGRAMME_RATES
 from grantlake.operators.fx import RATES
 from grantlake.plans import binding
@@ -25,8 +25,7 @@ def _names(column: str) -> str:
 
 
 all_funders = [f[:1] + f[2:4] for f in binding.FUNDERS] + [(4 + i, code, FUNDERS[code][1]) for i, code in enumerate(sorted(FUNDERS))]
-ends = "|".join(AFTER_PROGRAMME)
-programme = rf"regexp_replace(trim(regexp_extract(abstract, 'DFG Programme\s*(.+?)(?:{ends})', 1)), '({'|'.join(PROGRAMME_ENDINGS)}).*', '\1')"
+programme = rf"regexp_replace(trim(regexp_extract(abstract, '{PROGRAMME}', 1)), '{PROGRAMME_KIND}', '\1')"
 has_project = "coalesce(project_id <> '', false)"
 
 
