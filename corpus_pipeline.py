@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir), where docs is what the stage before it kept, and returns a DataFrame; all but
 the last return the columns of documents.  The tables that a stage needs besides come from sf_dir.  What a stage keeps
-is written as Parquet to the shared folder and read again by the next one, so no stage is computed twice.
+is written as Parquet to the shared folder and read again by the next one, so no stage is computed twice; what the next
+one has stored its own rows from is deleted.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from grantlake.llm.cotrain import drop_low_quality
 from grantlake.llm.decontam import drop_contaminated
 from grantlake.llm.neardup import drop_near_duplicates
 from grantlake.llm.packing import pack
-from grantlake.llm.shared import shared_folder
+from grantlake.llm.shared import discard, shared_folder
 from grantlake.llm.substring import drop_repeated_passages
 
 
@@ -64,4 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{home}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            discard(spark, before)
+        before = path
     return docs

@@ -34,3 +34,9 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored rows that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
