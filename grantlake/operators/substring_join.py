@@ -9,12 +9,16 @@ grams apart.  Nothing depends on words or on where a needle begins.
 
 Grams of texts that no needle has are left out at once where the needles' grams are few enough to be sent to the tasks
 (a checked number), else by a join.
+
+Needles of ``MOST_BYTES`` at most altogether need no index: an automaton of all of them goes once over each text, where
+it is, and nothing is stored or shuffled.  Both ways give the same pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,8 @@ from grantlake.sources.landing import new_folder
 TIERS = ((20, 12, 9), (12, 8, 5), (7, 6, 2), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
 #: Grams of needles that are sent to tasks (8 bytes each), and texts that show how frequent grams are.
 MOST_SENT, SAMPLE = 2_000_000, 20_000
+#: Bytes of needles, with so many more for each, up to which they are sent to the tasks themselves.
+MOST_BYTES, EACH = 1 << 20, 32
 BLOCK = 1 << 20
 EVERYWHERE = 0  # the gram of an empty needle, which all texts have
 
@@ -121,17 +127,65 @@ def text_grams(texts: DataFrame, tiers: list[int], wanted: np.ndarray | None) ->
     return texts.select("key", "text").where("text IS NOT NULL").mapInArrow(run, f"key {kind}, gram long")
 
 
-def containing(texts: DataFrame, needles: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
+def searched(texts: DataFrame, needles: list[bytes]) -> DataFrame:
+    """(key, text, needle) of texts (key, text) and the needles that stand in them; one pass over the texts."""
+    kind = dict(texts.dtypes)["key"]
+    sent = texts.sparkSession.sparkContext.broadcast(needles)
+
+    def run(batches):
+        automaton = ahocorasick.Automaton()
+        everywhere = {i for i, needle in enumerate(sent.value) if not needle}
+        for i, needle in enumerate(sent.value):
+            if needle:
+                automaton.add_word(needle.decode("latin-1"), i)  # a character for each byte
+        automaton.make_automaton()
+        names = pa.array(sent.value, pa.binary()).cast(pa.string())
+        for batch in batches:
+            rows, found, size = [], [], 0
+
+            def pairs() -> pa.RecordBatch:
+                at = pa.array(rows, pa.int64())
+                return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), names.take(pa.array(found, pa.int64()))], ["key", "text", "needle"])
+
+            for row, text in enumerate(_bytes(batch.column(1))):
+                own = sorted(everywhere | {i for _, i in automaton.iter(text.decode("latin-1"))}) if len(automaton) else list(everywhere)
+                step = BLOCK // (len(text) + 1) + 1  # rows of pairs are sent on before they become large
+                for first in range(0, len(own), step):
+                    part = own[first : first + step]
+                    rows += [row] * len(part)
+                    found += part
+                    size += len(part) * (len(text) + 1)
+                    if size >= BLOCK:
+                        yield pairs()
+                        rows, found, size = [], [], 0
+            yield pairs()
+
+    return texts.select("key", "text").where("key IS NOT NULL AND text IS NOT NULL").mapInArrow(run, f"key {kind}, text string, needle string")
+
+
+def containing(texts: DataFrame, needles: DataFrame, most_sent: int = MOST_SENT, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(key, text, needle) of all texts (key, text) and distinct needles that stand in them, byte for byte.
 
-    Keys should be distinct; rows that share a key are told apart by nothing, so each of them is compared with what any
-    of them has.  Null keys, texts and needles have no pairs; an empty needle stands in every text.
+    Keys should be distinct; rows that share a key are told apart by nothing.  Null keys, texts and needles have no
+    pairs; an empty needle stands in every text.
+    """
+    needles = needles.select("needle").where("needle IS NOT NULL").distinct()
+    size = needles.agg(F.sum(F.octet_length("needle") + EACH)).first()[0] or 0
+    if size <= most_bytes:
+        return searched(texts, sorted(r.needle.encode() for r in needles.collect()))
+    return indexed(texts, needles, most_sent)
+
+
+def indexed(texts: DataFrame, needles: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
+    """The rows of ``containing`` through the index of grams, for distinct needles of any number.
+
+    Each row of a key is compared with what any row of the key has.
     """
     spark = texts.sparkSession
     home = new_folder(spark, "grams")
     texts.select("key", "text").where("key IS NOT NULL AND text IS NOT NULL").write.parquet(f"{home}/texts")  # read three times
     texts = spark.read.parquet(f"{home}/texts")
-    needle_grams(needles.select("needle").where("needle IS NOT NULL").distinct()).write.parquet(f"{home}/needles")
+    needle_grams(needles).write.parquet(f"{home}/needles")
     own = spark.read.parquet(f"{home}/needles")
     tiers = sorted(r.tier for r in own.select("tier").distinct().collect())
     if not tiers:

@@ -308,10 +308,10 @@ def test_needles_in_texts_equal_brute_force(spark):
     rows = spark.createDataFrame([*enumerate(texts), (None, "a"), (999, None)], "key long, text string").repartition(3)
     wanted = spark.createDataFrame([(n,) for n in [*needles, None, "same same"]], "needle string")
     expected = {(k, n) for k, t in enumerate(texts) for n in needles if n in t}
-    for most in (10**6, 3):  # the needles' grams sent to tasks, and joined
-        got = [(r.key, r.needle) for r in substring_join.containing(rows, wanted, most).select("key", "needle").collect()]
+    for most, size in ((1, 10**6), (10**6, 0), (3, 0)):  # needles sent to tasks, their grams sent, grams joined
+        got = [(r.key, r.needle) for r in substring_join.containing(rows, wanted, most, size).select("key", "needle").collect()]
         assert len(got) == len(set(got)) and set(got) == expected
-    assert substring_join.containing(rows, wanted.limit(0)).count() == 0 and substring_join.containing(rows.limit(0), wanted).count() == 0
+        assert substring_join.containing(rows, wanted.limit(0), most, size).count() == 0 and substring_join.containing(rows.limit(0), wanted, most, size).count() == 0
 
 
 def test_pieces_stand_in_order(spark):
