@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlake.functions.columns import decimal, filled, iso_date, keywords, looked_up
 from grantlake.operators.dedup import keep_last
 
+log = logging.getLogger(__name__)
+
+#: Bytes of a file with line ends inside values from which its single task is worth a warning.
+LARGE = 2 << 30
+
 PROJECT_COLUMNS = (
     "id string, acronym string, status string, title string, startDate string, endDate string, totalCost string, ecMaxContribution string, legalBasis string, topics string, "
     "ecSignatureDate string, frameworkProgramme string, masterCall string, subCall string, fundingScheme string, objective string, keywords string, contentUpdateDate string, rcn string, grantDoi string"
@@ -16,15 +23,24 @@ PROJECT_COLUMNS = (
 PROJECT_STATES = {"SIGNED": "active", "TERMINATED": "terminated", "CLOSED": "completed"}
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str = ";") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, separator: str = ";", line_ends: bool = True, large: int = LARGE) -> DataFrame:
     """A quoted file with a header, all columns as text; quotes are doubled inside quotes, and values may have line ends.
 
     Columns are read by the header's names.  enforceSchema is off and nothing is inferred: types are cast afterwards.
     ``position`` rises with the files' names and the place in a file.  With line ends inside values, a file is read by one
-    task; large lists are landed in several files.
+    task, and files above ``large`` bytes are named in a warning: such lists are better landed in several files.  Where no
+    value has one (``line_ends=False``), files are split among tasks.
     """
-    rows = spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
-    return rows.withColumn("position", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
+    if line_ends:
+        for row in large_files(spark, path, large).limit(20).collect():
+            log.warning("one task reads the %d bytes of %s", row.length, row.path)
+    rows = spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", line_ends).csv(path)
+    return rows.withColumn("position", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
+
+
+def large_files(spark: SparkSession, path: str, large: int = LARGE) -> DataFrame:
+    """(path, length) of the files above a size; their content isn't read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length").where(F.col("length") > large).orderBy("path")
 
 
 def _positioned(rows: DataFrame) -> DataFrame:

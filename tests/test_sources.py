@@ -155,3 +155,21 @@ def test_latest_rows(spark):
     df = spark.createDataFrame([(1, "a", 1, 5), (1, "a", 2, 6), (2, "a", 1, 7)], "u int, k string, t int, v int")
     assert sorted(map(tuple, ingest.latest_by_key(df, ["u", "k"], ["t"], ["v"]).collect())) == [(1, "a", 6), (2, "a", 7)]
     assert df.where(F.col("u") == 3).count() == 0
+
+
+def test_a_list_without_line_ends_is_split(spark, tmp_path, caplog):
+    path = str(tmp_path / "list.csv")
+    with open(path, "w") as f:
+        f.write("id;title\n" + "".join(f'{i};"a ""quoted""; title {i}"\n' for i in range(20_000)))
+    whole = delimited.read_delimited(spark, path, large=1000)
+    assert "one task reads" in caplog.text and whole.rdd.getNumPartitions() == 1
+    caplog.clear()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        split = delimited.read_delimited(spark, path, line_ends=False)
+        assert split.rdd.getNumPartitions() > 3 and not caplog.text
+        rows = [(r.id, r.title) for r in split.orderBy("position").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == [(r.id, r.title) for r in whole.orderBy("position").collect()] == [(str(i), f'a "quoted"; title {i}') for i in range(20_000)]
