@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlake.functions.columns import any_ilike
@@ -88,15 +88,29 @@ def top_funders(grants: DataFrame, funders: DataFrame, limit: int = 15) -> DataF
     return named.agg(F.sum("c").alias("cnt"), F.sum("s").alias("funding")).orderBy(F.desc("cnt"), "short_name", "country").limit(limit)
 
 
-def language_coverage(grants: DataFrame) -> DataFrame:
-    """Rows that look German, and rows on quanta in either language (one row)."""
+def language_marks() -> dict[str, Column]:
+    """What language_coverage asks of the texts of a row."""
     title, abstract = F.col("project_title"), F.col("abstract")
+    return {
+        "german_title": any_ilike([title], ["%quanten%", "%forschung%", "%verfahren%"]),
+        "english_quantum": any_ilike([title], ["%quantum%"]), "german_quantum": any_ilike([title, abstract], ["%quanten%"]),
+    }
+
+
+def language_coverage(grants: DataFrame) -> DataFrame:
+    """Rows that look German, and rows on quanta in either language (one row).  Grants may have the marks already."""
+    marks = {n: F.col(n) if n in grants.columns else v for n, v in language_marks().items()}
     return grants.agg(
-        F.count_if(F.coalesce(F.col("source").isin("gepris", "foerderkatalog"), F.lit(False)) | any_ilike([title], ["%quanten%", "%forschung%", "%verfahren%"])).alias("german"),
-        F.count_if(any_ilike([title], ["%quantum%"])).alias("english_quantum"), F.count_if(any_ilike([title, abstract], ["%quanten%"])).alias("german_quantum"),
+        F.count_if(F.coalesce(F.col("source").isin("gepris", "foerderkatalog"), F.lit(False)) | marks["german_title"]).alias("german"),
+        F.count_if(marks["english_quantum"]).alias("english_quantum"), F.count_if(marks["german_quantum"]).alias("german_quantum"),
     )
 
 
+def filled_mark(column: str) -> dict[str, Column]:
+    """The first character of a text in its place: null and empty texts stay what they are."""
+    return {column: F.left(F.col(column), F.lit(1))}
+
+
 def abstract_coverage(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("abstract") != "").alias("with_abstract")).orderBy("source")
 
