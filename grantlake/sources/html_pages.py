@@ -6,7 +6,9 @@ which part is what and how its text is read, is columns.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -28,7 +30,13 @@ PLAN = "Leistungsplansystematik"
 DESCRIPTION = ["Kurzbeschreibung", "Projektbeschreibung"]
 ADDRESS = ["Institution", "Address", "Einrichtung", "Adresse"]
 
-PART = "page_id long, at int, kind string, key string, value string, path string"
+PARSED = "page_id long, url string, parts array<struct<at: int, kind: string, key: string, value: string, path: string>>"
+#: Plain tags and texts, which most pages consist of, and elements whose content isn't read as tags.
+TOKEN = r'<([a-zA-Z][a-zA-Z0-9]*)((?:[ \n\t]+[a-zA-Z][a-zA-Z-]*="[^"<>&]*")*)>|</([a-zA-Z][a-zA-Z0-9]*)>|([^<]+)'
+TOKENS, PLAIN, ATTRIBUTE = re.compile(TOKEN), re.compile(f"(?:{re.sub('[(](?![?])', '(?:', TOKEN)})*+"), re.compile(r'([a-zA-Z-]+)="([^"]*)"')
+OPAQUE = re.compile("<(?:script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|plaintext|svg|math)", re.IGNORECASE)
+#: Parts of a batch that is sent on.
+PARTS = 20_000
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -47,6 +55,20 @@ class Parts(HTMLParser):
         self.row: list[str] | None = None
         self.table, self.rows, self.skip = "", 0, 0
 
+    def read(self, html: str) -> list[tuple[str, str, str, str]]:
+        """The parts of a page.  Plain pages need no more than their tags and texts in order; others go through the standard parser."""
+        if html.endswith(">") and PLAIN.fullmatch(html) and not OPAQUE.search(html):
+            for start, attributes, end, text in TOKENS.findall(html):
+                if text:
+                    self.handle_data(unescape(text) if "&" in text else text)
+                elif start:
+                    self.handle_starttag(start.lower(), [(k.lower(), v) for k, v in ATTRIBUTE.findall(attributes)] if attributes else [])
+                else:
+                    self.handle_endtag(end.lower())
+        else:
+            self.feed(html)
+        return self.finish()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in VOID:
             return
@@ -105,22 +127,38 @@ class Parts(HTMLParser):
         return self.out
 
 
-def page_parts(pages: DataFrame) -> DataFrame:
-    """(page_id, at, kind, key, value, path) of the parts of every page, in page order.  A null page has none."""
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, parts): the parts (at, kind, key, value, path) of every page, in page order.  A null page has none.
+
+    Pages are taken out of a batch one by one and parts are sent on by thousands, so memory doesn't grow with the batch.
+    """
+    fields = [("at", pa.int32()), *((n, pa.string()) for n in ("kind", "key", "value", "path"))]
+
+    def sent(heads: list[list], ends: list[int], out: list[list]) -> pa.RecordBatch:
+        parts = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(out, fields)], [n for n, _ in fields])
+        return pa.RecordBatch.from_arrays([pa.array(heads[0], pa.int64()), pa.array(heads[1], pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)], ["page_id", "url", "parts"])
 
     def split(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parser = Parts()
-                parser.feed(html or "")
-                for at, part in enumerate(parser.finish()):
-                    for column, v in zip(out, (page_id, at, *part)):
+            heads, ends, out = [[], []], [0], [[] for _ in fields]
+            for page_id, url, html in zip(*batch.columns):
+                heads[0].append(page_id.as_py()), heads[1].append(url.as_py())
+                for at, part in enumerate(Parts().read(html.as_py() or "")):
+                    for column, v in zip(out, (at, *part)):
                         column.append(v)
-            types = [pa.int64(), pa.int32(), *[pa.string()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["page_id", "at", "kind", "key", "value", "path"])
+                ends.append(len(out[0]))
+                if ends[-1] >= PARTS:
+                    yield sent(heads, ends, out)
+                    heads, ends, out = [[], []], [0], [[] for _ in fields]
+            yield sent(heads, ends, out)
 
-    return pages.select(F.col("page_id").cast("long"), F.col("html").cast("string")).mapInArrow(split, PART)
+    url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
+    return pages.select(F.col("page_id").cast("long"), url, F.col("html").cast("string")).mapInArrow(split, PARSED)
+
+
+def page_parts(pages: DataFrame) -> DataFrame:
+    """(page_id, at, kind, key, value, path) of the parts of every page, in page order."""
+    return parsed_pages(pages).select("page_id", F.inline("parts"))
 
 
 def result_links(parts: DataFrame) -> DataFrame:
@@ -137,15 +175,18 @@ def details(parts: DataFrame) -> DataFrame:
 
 def project_pages(pages: DataFrame, as_of: str, source: str = "gepris") -> DataFrame:
     """Grants of project pages; the project's number is in the address."""
-    parts = page_parts(pages)
-    heads = parts.groupBy("page_id").agg(
-        F.min_by("value", F.when((F.col("kind") == "h1") & F.array_contains(F.split("key", " "), "facelift"), F.col("at"))).alias("first"),
-        F.min_by("value", F.when((F.col("kind") == "h1") & F.col("path").contains("#detailseite") & ~F.array_contains(F.split("key", " "), "hidden"), F.col("at"))).alias("second"),
-        F.min_by("value", F.when((F.col("kind") == "h3") & F.col("path").contains("detail_head"), F.col("at"))).alias("third"),
-        F.min_by("value", F.when((F.col("kind") == "block") & (F.length("value") > 50), F.col("at"))).alias("abstract"),
-    )
-    number = F.regexp_extract("url", r"/gepris/projekt/(\d+)", 1)
-    df = pages.select("page_id", number.alias("project_id")).join(heads, "page_id", "left").join(details(parts), "page_id", "left")
+    first = lambda test: F.get(F.filter("parts", test), F.lit(0))["value"]
+    pairs = F.filter("parts", lambda x: (x["kind"] == "pair") & (x["key"] != ""))
+    keys = F.array_distinct(F.transform("pairs", lambda x: x["key"]))
+    # a page's parts are in one row, so nothing is grouped or joined; of equal keys the first counts
+    df = parsed_pages(pages).select(
+        F.regexp_extract("url", r"/gepris/projekt/(\d+)", 1).alias("project_id"),
+        first(lambda x: (x["kind"] == "h1") & F.array_contains(F.split(x["key"], " "), "facelift")).alias("first"),
+        first(lambda x: (x["kind"] == "h1") & x["path"].contains("#detailseite") & ~F.array_contains(F.split(x["key"], " "), "hidden")).alias("second"),
+        first(lambda x: (x["kind"] == "h3") & x["path"].contains("detail_head")).alias("third"),
+        first(lambda x: (x["kind"] == "block") & (F.length(x["value"]) > 50)).alias("abstract"), pairs.alias("pairs"),
+    )
+    df = df.withColumn("details", F.map_from_arrays(keys, F.transform(keys, lambda k: F.get(F.filter("pairs", lambda x: x["key"] == k), F.lit(0))["value"])))
     d = lambda *keys: F.coalesce(*(filled(F.col("details")[k]) for k in keys))
     amounts = [german_amount(F.nullif(F.regexp_extract(F.col("details")[k], r"([\d.,]+)\s*(?:EUR|€)", 1), F.lit(""))) for k in AMOUNT]
     name = d(*APPLICANT)
