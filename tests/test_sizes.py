@@ -86,3 +86,12 @@ def test_project_pages_need_no_exchange(spark):
     rows = html_pages.project_pages(pages, "2024-01-01")
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     assert [(r.project_title, r.start_date.year, r.end_date.year) for r in rows.collect()] == [("T", 1995, 1998)]
+
+
+def test_landed_pages_are_dealt_among_tasks_by_their_number(spark):
+    from pyspark.sql import functions as F
+
+    from grantlake.plans import landed
+
+    rows = spark.range(1000).withColumnRenamed("id", "page_id").coalesce(1)
+    assert len(landed._pages(rows, "dealt", F.lit("<p>x</p>"), most=100).inputFiles()) == 10
