@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from grantlake.operators.dedup import keep_last
 from grantlake.sources.landing import new_folder
 
 
@@ -16,25 +18,58 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str], updates:
     the largest.  Columns that aren't in ``updates`` keep their old value.  New rows get the id that their key hashes
     to, unless they bring one.  Both sides meet on the key once; rows of the batch with a null in the key are left out.
     """
-    position = "position" if "position" in batch.columns else None
     keyed = batch.na.drop(subset=keys)
-    rest = [c for c in batch.columns if c not in keys]
-    last = keep_last(keyed, keys, position).drop(position) if position else keyed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r")).select(*keys, "r.*")
-    given = [c for c in updates if c in last.columns]
+    last = keyed.groupBy(*keys).agg(_last(batch, keys).alias("r")).select(*keys, "r.*")
     side = last.select(*(F.col(c).alias(f"__{c}") for c in last.columns), F.lit(True).alias("__in"))
     on = [F.col(k) == F.col(f"__{k}") for k in keys]
     joined = target.withColumn("__old", F.lit(True)).join(side, on, "full")
+    return _merged(joined, target.schema, last.columns, keys, updates, id_column)
+
+
+def merge_grouped(target: DataFrame, batch: DataFrame, keys: list[str], updates: list[str], groups: dict[str, Column], id_column: str | None = "id") -> DataFrame:
+    """The rows of ``merge_upsert`` and the columns ``groups``, which follow from the key, for a target with each key once and no null in it.
+
+    Rows of both sides go through one exchange, by the groups alone, and so are in the task of their group when they are stored.
+    """
+    rest, own = [c for c in batch.columns if c not in keys], [c for c in target.columns if c not in keys]
+    typed = batch.na.drop(subset=keys).withColumns({k: F.col(k).cast(target.schema[k].dataType) for k in keys})
+    new = typed.select(*keys, F.struct(*rest).alias("__n"), F.lit(None).cast(target.select(F.struct(*own)).schema[0].dataType).alias("__o"))
+    old = target.select(*keys, F.lit(None).cast(new.schema["__n"].dataType).alias("__n"), F.struct(*own).alias("__o"))
+    rows = new.unionByName(old).withColumns(groups).repartition(*groups)
+    last = _last(batch, keys, lambda c: F.col("__n")[c], F.col("__n"))
+    one = rows.groupBy(*groups, *keys).agg(last.alias("__n"), F.first("__o", ignorenulls=True).alias("__o"))
+    values = [c for c in rest if c != "position"]
+    there, here = F.col("__o").isNotNull(), F.col("__n").isNotNull()
+    joined = one.select(
+        *groups, *(F.when(there, F.col(k)).alias(k) for k in keys), *(F.col("__o")[c].alias(c) for c in own), there.alias("__old"),
+        *(F.when(here, F.col(k)).alias(f"__{k}") for k in keys), *(F.col("__n")[c].alias(f"__{c}") for c in values), here.alias("__in"),
+    )
+    return _merged(joined, target.schema, [*keys, *values], keys, updates, id_column, list(groups))
+
+
+def _last(batch: DataFrame, keys: list[str], at: Callable[[str], Column] = F.col, whole: Column | None = None) -> Column:
+    """Aggregate: the columns of the row of a key that counts, without position."""
+    rest = [c for c in batch.columns if c not in keys]
+    if "position" not in rest:
+        return F.max(F.struct(*rest) if whole is None else whole)
+    return F.max_by(F.struct(*(at(c).alias(c) for c in rest if c != "position")), at("position"))
+
+
+def _merged(joined: DataFrame, schema: T.StructType, last: list[str], keys: list[str], updates: list[str], id_column: str | None, more: list[str] | None = None) -> DataFrame:
+    """The merged rows of pairs: columns of the old row, of the new one behind '__', and which of the two are there."""
+    given = [c for c in updates if c in last]
     old = F.coalesce(F.col("__old"), F.lit(False))
 
     def value(c: str):
-        new = F.col(f"__{c}").cast(target.schema[c].dataType) if c in last.columns else F.lit(None).cast(target.schema[c].dataType)
+        kind = schema[c].dataType
+        new = F.col(f"__{c}").cast(kind) if c in last else F.lit(None).cast(kind)
         if c == id_column:
             new = F.coalesce(new, F.xxhash64(*(F.col(f"__{k}") for k in keys)))
         if c in given:
             return F.when(F.coalesce(F.col("__in"), F.lit(False)), new).otherwise(F.col(c)).alias(c)
         return F.when(old, F.col(c)).otherwise(new).alias(c)
 
-    return joined.select(*(value(c) for c in target.columns))
+    return joined.select(*(more or []), *(value(c) for c in schema.names))
 
 
 def update_load_status(status: DataFrame, batch: DataFrame) -> DataFrame:

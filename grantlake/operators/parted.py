@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantlake.operators.merge import merge_upsert
+from grantlake.operators.merge import merge_grouped
 
 SLOTS = 64
-PART, NO_KEY = "__part", "__none"
+PART = "__part"
+#: Rows of a part, old ones and those of a load, that one task is given.
+SLICE = 100_000
 
 
 def _at(spark: SparkSession, path: str):
@@ -67,17 +69,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, number: int
     return _rows(spark, path, sorted(commit_of(spark, path, number)["parts"].values()), schema)
 
 
-def _write(df: DataFrame, part: Column, path: str) -> list[str]:
-    """Writes the rows in folders by part; the names of the folders."""
-    df.withColumn(PART, part).hint("rebalance", PART).write.partitionBy(PART).parquet(path)
-    return [n for n in _names(df.sparkSession, path) if n.startswith(f"{PART}=")]
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in _names(spark, path) if n.startswith(f"{PART}=")]
 
 
 def upsert(batch: DataFrame, path: str, schema: T.StructType, keys: list[str], updates: list[str], number: int | None = None, part: Column | None = None) -> int:
     """Merge a batch into a table and commit it under a number (by default the next); the rows of the batch.
 
-    The batch is read once: it is stored by part, and its rows are counted from what is stored, so that tasks that are
-    run again don't count twice.  Only parts that it has rows for are read and written, with the rules of
+    The batch is read once: it is stored as it comes, and its rows are counted from what is stored, so that tasks that are
+    run again don't count twice.  Then it and the old rows go through one exchange, by slices of parts.  Only parts that it has rows for are read and written, with the rules of
     ``merge_upsert``; rows with a null in the key count but are left out.  ``part`` must follow from the key; by default
     it is a hash of it.
     """
@@ -89,14 +89,20 @@ def upsert(batch: DataFrame, path: str, schema: T.StructType, keys: list[str], u
     part = F.pmod(F.xxhash64(*keys), F.lit(SLOTS)) if part is None else part
     load = f"{number:012d}-{uuid.uuid4().hex}"
     keyed = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
-    stored = _write(batch, F.when(keyed, part.cast("string")).otherwise(NO_KEY), f"{path}/loads/{load}")
-    touched = [t for t in stored if t != f"{PART}={NO_KEY}"]
-    read = lambda some: spark.read.schema(batch.schema).parquet(*(f"{path}/loads/{load}/{t}" for t in some))
-    rows = read(stored).count() if stored else 0
+    batch.withColumn(PART, F.when(keyed, part.cast("string"))).write.parquet(f"{path}/loads/{load}")
+    stored = spark.read.schema(batch.select("*", F.lit("").alias(PART)).schema).parquet(f"{path}/loads/{load}")
+    counts = {r[PART]: r["count"] for r in stored.groupBy(PART).count().collect()}  # a row for each part
+    rows = sum(counts.values())
     before = commit_of(spark, path)["parts"]
-    if touched:
-        old = _rows(spark, path, [before[t] for t in touched if t in before], schema)
-        _write(merge_upsert(old, read(touched), keys, updates), part, f"{path}/data/{load}")
+    asked = [f"{PART}={p}" for p in counts if p is not None]
+    touched = []
+    if asked:
+        old = _rows(spark, path, [before[t] for t in asked if t in before], schema)
+        slices = max(1, -(-(rows + old.count()) // (len(asked) * SLICE)))
+        groups = {PART: part.cast("string"), "__slice": F.pmod(F.hash(*keys), F.lit(slices))}
+        merged = merge_grouped(old, stored.drop(PART), keys, updates, groups)
+        merged.drop("__slice").write.partitionBy(PART).parquet(f"{path}/data/{load}")
+        touched = _parts(spark, f"{path}/data/{load}")
     _commit(spark, path, number, {"rows": rows, "parts": before | {t: f"{load}/{t}" for t in touched}})
     fs, at = _at(spark, f"{path}/loads/{load}")
     fs.delete(at, True)
