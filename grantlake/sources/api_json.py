@@ -22,21 +22,28 @@ def funder_country(code: Column) -> Column:
 
 def api_grants(pages: DataFrame, as_of: str, source: str = "openaire") -> DataFrame:
     """Grants of pages (keyword, page, record as JSON text); records that are no JSON or have no title are left out."""
-    v = F.try_parse_json("record")
-    at = lambda path, kind="string": F.try_variant_get(v, path, kind)
-    value = lambda name, kind="string": at(f"{PROJECT}['{name}']['$']", kind)
-    funder = F.coalesce(at(f"{PROJECT}['fundingtree']['funder']['shortname']['$']"), at(f"{PROJECT}['fundingtree'][0]['funder']['shortname']['$']"), F.lit(""))
-    money = lambda name: F.when(value(name).try_cast("double") != 0, value(name).try_cast("double"))
-    start, end = iso_date(value("startdate")), iso_date(value("enddate"))
-    code, name = F.coalesce(value("code"), F.lit("")), F.coalesce(at(f"{PROJECT}['collectedfrom']['@name']"), F.lit(""))
-    object_id = F.coalesce(at("$.header['dri:objIdentifier']['$']"), F.lit(""))
-    rows = pages.select(
+    # a record without a brace is no object and has no title; a failed parse costs more than one that succeeds
+    v = F.when(F.contains(F.col("record"), F.lit("{")), F.try_parse_json("record"))
+    at = lambda path: F.try_variant_get("__v", path, "string")
+    inside = lambda name: at(f"{PROJECT}['{name}']['$']")
+    # columns of their own, so that a record is parsed once and a value read once, however often it is used
+    own = {n: inside(n) for n in ("title", "code", "summary", "startdate", "enddate", "fundedamount", "totalcost", "currency")}
+    own["funder"] = F.coalesce(at(f"{PROJECT}['fundingtree']['funder']['shortname']['$']"), at(f"{PROJECT}['fundingtree'][0]['funder']['shortname']['$']"), F.lit(""))
+    own |= {"name": F.coalesce(at(f"{PROJECT}['collectedfrom']['@name']"), F.lit("")), "object": F.coalesce(at("$.header['dri:objIdentifier']['$']"), F.lit(""))}
+    kept = [c for c in ("keyword", "page", "position") if c in pages.columns]
+    read = pages.select(*kept, F.explode(F.array(v)).alias("__v")).select(*kept, *(c.alias(f"__{n}") for n, c in own.items()))
+    value = lambda name: F.col(f"__{name}")
+    read = read.withColumns({"__start": iso_date(value("startdate")), "__end": iso_date(value("enddate")), "__funded": value("fundedamount").try_cast("double"), "__total": value("totalcost").try_cast("double")})
+    money = lambda name: F.when(value(name) != 0, value(name))
+    start, end, funder, name = value("start"), value("end"), value("funder"), value("name")
+    code, object_id = F.coalesce(value("code"), F.lit("")), value("object")
+    rows = read.select(
         value("title").alias("project_title"), code.alias("project_id"), F.substring(F.coalesce(value("summary"), F.lit("")), 1, 10_000).alias("abstract"), funder_country(funder).alias("pi_country"),
-        start.alias("start_date"), end.alias("end_date"), F.coalesce(money("fundedamount"), money("totalcost")).alias("total_funding"),
+        start.alias("start_date"), end.alias("end_date"), F.coalesce(money("funded"), money("total")).alias("total_funding"),
         F.coalesce(F.nullif(value("currency"), F.lit("")), F.lit("EUR")).alias("currency"), status_by_dates(start, end, as_of).alias("status"),
         F.when(funder != "", F.array(funder, name)).otherwise(F.array().cast("array<string>")).alias("topic_keywords"), F.lit(source).alias("source"),
         F.when(funder != "", F.concat(F.lit("openaire_"), funder, F.lit("_"), code)).otherwise(F.concat(F.lit("openaire_"), F.substring(object_id, 1, 20))).alias("source_id"),
-        *(c for c in ("keyword", "page", "position") if c in pages.columns),
+        *kept,
     )
     return rows.where(F.coalesce(F.col("project_title") != "", F.lit(False)))
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from grantlake.operators import merge
+from grantlake.sources import api_json
 
 
 def test_a_load_goes_through_one_exchange_and_merges_as_before(spark):
@@ -16,3 +19,11 @@ def test_a_load_goes_through_one_exchange_and_merges_as_before(spark):
         expected = merge.merge_upsert(target, new, ["k"], ["v"])
         assert sorted(map(str, out.drop(*groups).collect())) == sorted(map(str, expected.collect())) and out.count() == 70
         assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_a_record_is_parsed_once(spark):
+    project = {"metadata": {"oaf:entity": {"oaf:project": {"title": {"$": "T"}, "fundedamount": {"$": 2.5}, "startdate": {"$": "2020-01-01"}}}}}
+    rows = [(text,) for text in (json.dumps(project), " \n" + json.dumps(project), json.dumps([project]), "{", "{}", "no json", "", None)]
+    df = api_json.api_grants(spark.createDataFrame(rows, "record string"), "2024-01-01")
+    assert df._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "").count("parsejson") == 1
+    assert [(r.project_title, r.total_funding, r.currency, str(r.start_date)) for r in df.collect()] == [("T", 2.5, "EUR", "2020-01-01")] * 2
