@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from grantlake.operators import merge
+from grantlake.operators import entity, merge
 from grantlake.sources import api_json
 
 
@@ -27,3 +27,14 @@ def test_a_record_is_parsed_once(spark):
     df = api_json.api_grants(spark.createDataFrame(rows, "record string"), "2024-01-01")
     assert df._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "").count("parsejson") == 1
     assert [(r.project_title, r.total_funding, r.currency, str(r.start_date)) for r in df.collect()] == [("T", 2.5, "EUR", "2020-01-01")] * 2
+
+
+def test_grants_are_read_once_more_for_their_distinct_institutions_alone(spark, tmp_path):
+    rows = [(i, "gepris", n, None) for i, n in enumerate(["Delft Institute of Things", "Institute of Things Delfts", None, "abcd"])]
+    spark.createDataFrame(rows, "id long, source string, pi_institution string, ror_id string").write.parquet(str(tmp_path / "grants"))
+    registry = spark.createDataFrame([("r2", "Delft Institute of Things", "D", None, 1)], "ror_id string, name string, display_name string, country string, position long")
+    out = entity.match_institutions(spark.read.parquet(str(tmp_path / "grants")), registry)
+    leaves = out._jdf.queryExecution().optimizedPlan().collectLeaves()
+    names = [{leaves.apply(i).output().apply(j).name() for j in range(leaves.apply(i).output().size())} for i in range(leaves.size())]
+    assert sum("pi_institution" in n for n in names) == 1
+    assert {r.id: r.ror_id for r in out.collect()} == {0: "r2", 1: "r2", 2: None, 3: None}
