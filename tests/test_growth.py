@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from grantlake.operators import entity, merge
+from grantlake.plans import stored
 from grantlake.sources import api_json
 
 
@@ -38,3 +39,15 @@ def test_grants_are_read_once_more_for_their_distinct_institutions_alone(spark,
     names = [{leaves.apply(i).output().apply(j).name() for j in range(leaves.apply(i).output().size())} for i in range(leaves.size())]
     assert sum("pi_institution" in n for n in names) == 1
     assert {r.id: r.ror_id for r in out.collect()} == {0: "r2", 1: "r2", 2: None, 3: None}
+
+
+def test_sources_are_made_once_for_all_loads(spark, sf, monkeypatch):
+    plans = []
+
+    def load_sources(spark, path, loaders):
+        plans.extend(load()._jdf.queryExecution().optimizedPlan().toString() for load in loaders.values())
+        return dict.fromkeys(loaders, "ok")
+
+    monkeypatch.setattr(stored.refresh, "load_sources", load_sources)
+    stored.refreshed_sources(spark, sf)
+    assert len(plans) == 8 and not any("Aggregate" in p for p in plans)
