@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from grantlake.operators import entity, merge
-from grantlake.plans import stored
+from grantlake.operators import entity, match, merge
+from grantlake.plans import registry, stored
 from grantlake.sources import api_json
 
 
@@ -51,3 +51,21 @@ def test_sources_are_made_once_for_all_loads(spark, sf, monkeypatch):
     monkeypatch.setattr(stored.refresh, "load_sources", load_sources)
     stored.refreshed_sources(spark, sf)
     assert len(plans) == 8 and not any("Aggregate" in p for p in plans)
+
+
+def test_a_text_that_many_grants_have_is_searched_once(spark, sf, monkeypatch):
+    t, plain, searched = registry.Tables(spark, sf), match.matched_patterns, []
+    expected = sorted(map(tuple, plain(t.raw, t.patterns).collect()))
+    monkeypatch.setattr(match, "matched_patterns", lambda df, *rest: (searched.append(df), plain(df, *rest))[1])
+    found = sorted(map(tuple, t.found().collect()))
+    assert found == expected and len(found) > 10
+    assert len(searched) == 1 and 2 * searched[0].count() < t.raw.count()
+
+
+def test_rows_share_the_matches_of_their_text(spark):
+    texts = spark.createDataFrame([(1, "Quantum gates", None), (2, "other", "a QUANTUM walk on gates"), (3, None, None)], "t int, project_title string, abstract string")
+    rows = spark.createDataFrame([(10, 1), (11, 1), (12, 2), (13, 3), (14, None), (None, 1), (15, 9)], "id long, t int")
+    patterns = spark.createDataFrame([("A", "%quantum%"), ("B", "%quantum%gates%"), ("B", "%quantum%")], "application string, pattern string")
+    found = match.matched_once(texts, patterns, rows, "t").collect()
+    both = ("%quantum%", "%quantum%gates%")
+    assert sorted(map(tuple, found)) == sorted((k, p, f) for k, f in ((10, "project_title"), (11, "project_title"), (12, "abstract")) for p in both)
