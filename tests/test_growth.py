@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from grantlake.operators import entity, match, merge
+from grantlake.operators import entity, integrity, match, merge
 from grantlake.plans import registry, stored
 from grantlake.sources import api_json
 
@@ -69,3 +69,19 @@ def test_rows_share_the_matches_of_their_text(spark):
     found = match.matched_once(texts, patterns, rows, "t").collect()
     both = ("%quantum%", "%quantum%gates%")
     assert sorted(map(tuple, found)) == sorted((k, p, f) for k, f in ((10, "project_title"), (11, "project_title"), (12, "abstract")) for p in both)
+
+
+def test_stored_grants_take_no_exchange_of_their_own(spark, sf, monkeypatch):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    monkeypatch.setattr(type(spark.range(1)), "repartition", None)
+    try:
+        table = registry.stored(spark, sf)
+        files = table.inputFiles()
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    assert 1 < len(files) <= integrity.BUCKETS  # the join deals by the buckets' hash, so no two tasks have the same bucket
+    names = [c for c in table.columns if c not in ("project_key", "topic_keywords")]
+    rows = lambda df: sorted(map(str, df.select(*names).collect()))
+    assert rows(table) == rows(registry.Tables(spark, sf).whole())
