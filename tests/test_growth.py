@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from grantlake.operators import entity, integrity, match, merge
 from grantlake.plans import registry, stored
 from grantlake.sources import api_json
+from tests.test_sizes import join_outputs
 
 
 def test_a_load_goes_through_one_exchange_and_merges_as_before(spark):
@@ -85,3 +86,8 @@ def test_stored_grants_take_no_exchange_of_their_own(spark, sf, monkeypatch):
     names = [c for c in table.columns if c not in ("project_key", "topic_keywords")]
     rows = lambda df: sorted(map(str, df.select(*names).collect()))
     assert rows(table) == rows(registry.Tables(spark, sf).whole())
+
+
+def test_no_dates_pass_the_joins_by_project_and_key_for_estimates(spark, sf):
+    out = join_outputs(registry.funding_split(spark, sf))
+    assert "__amount" in out and not {"start_date", "end_date", "__programme"} & out
